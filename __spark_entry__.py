@@ -212,25 +212,29 @@ def top_products(spark: SparkSession, sf: str) -> DataFrame:
 # --- summaries and live metrics -------------------------------------------------
 
 
-def event_summaries(spark: SparkSession, sf: str, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
-    """One summary per topic and time slice of the events table."""
+def _sliced(rows: DataFrame, slice_seconds: int) -> DataFrame:
+    second = F.unix_seconds("event_timestamp")
+    return rows.withColumn("batch_id", F.call_function("div", second, F.lit(slice_seconds)))
 
-    def of(rows: DataFrame, feed: Feed) -> DataFrame:
-        second = F.unix_seconds("event_timestamp")
-        sliced = rows.withColumn(
-            "batch_id", F.call_function("div", second, F.lit(slice_seconds))
-        )
-        shown = [*feed.event.fieldNames(), "kafka_key", "source_topic", "event_timestamp"]
-        return live.summarise(
-            sliced,
-            sample_by=["event_timestamp", feed.key],
-            at=F.col("event_timestamp"),
-            sample_columns=shown,
-        )
 
-    return of(landed_purchases(spark, sf), ORDERS).unionByName(
-        of(landed_clicks(spark, sf), CLICKS)
-    )
+def event_summaries(
+    spark: SparkSession, sf: str, slice_seconds: int = SLICE_SECONDS, sampled: bool = False
+) -> DataFrame:
+    """One summary per topic and time slice of the events table."""
+    parts = []
+    for rows, feed in (
+        (landed_purchases(spark, sf), ORDERS),
+        (landed_clicks(spark, sf), CLICKS),
+    ):
+        batches = _sliced(rows, slice_seconds)
+        part = live.summarise(batches, at=F.col("event_timestamp"))
+        if sampled:
+            shown = [*feed.event.fieldNames(), "kafka_key", "source_topic", "event_timestamp"]
+            part = live.with_samples(
+                part, live.samples(batches, ["event_timestamp", feed.key], shown)
+            )
+        parts.append(part)
+    return parts[0].unionByName(parts[1])
 
 
 def _sample_as_text(df: DataFrame) -> DataFrame:
@@ -239,7 +243,7 @@ def _sample_as_text(df: DataFrame) -> DataFrame:
 
 
 def batch_summaries(spark: SparkSession, sf: str) -> DataFrame:
-    return _sample_as_text(event_summaries(spark, sf))
+    return _sample_as_text(event_summaries(spark, sf, sampled=True))
 
 
 def topic_totals(spark: SparkSession, sf: str) -> DataFrame:
@@ -260,11 +264,11 @@ def current_rate(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def live_feed(spark: SparkSession, sf: str) -> DataFrame:
-    return _sample_as_text(live.live_feed(event_summaries(spark, sf)))
+    return _sample_as_text(live.live_feed(event_summaries(spark, sf, sampled=True)))
 
 
 def replay_buffer(spark: SparkSession, sf: str) -> DataFrame:
-    return _sample_as_text(live.replay_buffer(event_summaries(spark, sf)))
+    return _sample_as_text(live.replay_buffer(event_summaries(spark, sf, sampled=True)))
 
 
 def layer_summary(spark: SparkSession, sf: str) -> DataFrame:

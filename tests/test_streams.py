@@ -1,0 +1,233 @@
+"""Streams over a folder of records, run until the folder is used up."""
+
+import json
+import shutil
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tests.helpers import at, click, envelopes, facts, order
+from tierflow.contracts import CLICKS, ORDERS
+from tierflow.functions import records
+from tierflow.operators import live
+from tierflow.plans import silver
+from tierflow.plans.lake import Lake
+from tierflow.sources import bronze, snapshots, topics
+from tierflow.streaming import aggregates, dedup, ingest
+
+
+def send_orders(spark, root, rows):
+    sent = records.encode(
+        spark.createDataFrame(rows, ORDERS.event), ORDERS.key, ORDERS.topic
+    )
+    topics.publish(sent, ORDERS.topic, "parquet", {"path": f"{root}/topics/orders"})
+
+
+def source(root, feed):
+    return {"path": f"{root}/topics/{feed.name}"}
+
+
+def ingest_orders(spark, root, lake, **options):
+    ingest.start_stream(
+        spark, ORDERS, lake, "parquet", {**source(root, ORDERS), **options}, available_now=True
+    ).awaitTermination()
+
+
+def landed(spark, lake, feed=ORDERS):
+    return bronze.read_bronze(spark, lake.bronze(feed), feed.bronze_stored)
+
+
+@pytest.fixture
+def lake(root):
+    return Lake.under(f"{root}/lake")
+
+
+def test_stream_lands_what_a_batch_decodes(spark, root, lake):
+    send_orders(spark, root, [order("a"), order("b", status=None)])
+    raw = envelopes(spark, ["not json", None])
+    topics.publish(raw, ORDERS.topic, "parquet", source(root, ORDERS))
+    ingest_orders(spark, root, lake)
+    whole = spark.read.schema(raw.schema).parquet(f"{root}/topics/orders")
+    expected = records.decode(whole, ORDERS.event, ORDERS.topic)
+    assert facts(landed(spark, lake).drop("run", "batch_id")) == facts(expected)
+
+
+def test_restart_resumes_and_summaries_hold_true_counts(spark, root, lake):
+    send_orders(spark, root, [order(str(i)) for i in range(47)])
+    ingest_orders(spark, root, lake)
+    ingest_orders(spark, root, lake)
+    assert landed(spark, lake).count() == 47
+    send_orders(spark, root, [order("late")])
+    ingest_orders(spark, root, lake)
+    assert landed(spark, lake).count() == 48
+    assert landed(spark, lake).select("run").distinct().count() == 1
+    log = ingest.read_summaries(spark, lake).orderBy("batch_id").collect()
+    assert [r["records"] for r in log] == [47, 1]
+    assert [len(r["sample"]) for r in log] == [3, 1]
+    assert {(r["type"], r["topic"]) for r in log} == {("batch", "raw.orders")}
+    assert json.loads(log[1]["sample"][0])["order_id"] == "late"
+
+
+def test_replayed_batch_adds_nothing(spark, root, lake):
+    """The checkpoint forgets that the last batch was finished, as after a crash."""
+    send_orders(spark, root, [order(str(i)) for i in range(5)])
+    ingest_orders(spark, root, lake)
+    commits = f"{lake.checkpoint(ORDERS)}/commits"
+    shutil.move(commits, f"{root}/commits-set-aside")
+    ingest_orders(spark, root, lake)
+    assert landed(spark, lake).count() == 5
+    assert ingest.read_summaries(spark, lake).count() == 1
+
+
+def test_new_checkpoint_is_a_new_run_and_silver_does_not_change(spark, root, lake):
+    send_orders(spark, root, [order(str(i)) for i in range(5)])
+    ingest_orders(spark, root, lake)
+    silver.refresh_silver(spark, lake, ORDERS)
+    before = facts(snapshots.read_table(spark, lake.silver(ORDERS)))
+    shutil.move(lake.checkpoint(ORDERS), f"{root}/checkpoint-set-aside")
+    ingest_orders(spark, root, lake)
+    assert landed(spark, lake).count() == 10
+    assert silver.refresh_silver(spark, lake, ORDERS).rows == 5
+    assert facts(snapshots.read_table(spark, lake.silver(ORDERS))) == before
+
+
+def test_small_batches_give_the_same_table(spark, root, lake):
+    for i in range(3):
+        send_orders(spark, root, [order(f"{i}-{n}") for n in range(4)])
+    ingest_orders(spark, root, lake, maxFilesPerTrigger="1")
+    rows = landed(spark, lake)
+    assert rows.count() == 12 and rows.select("batch_id").distinct().count() > 1
+    totals = live.topic_totals(ingest.read_summaries(spark, lake)).collect()
+    assert {r["kind"]: r["records"] for r in totals} == {"orders": 12, "total": 12}
+
+
+def test_empty_batch_gives_a_zero_summary(spark, root, lake):
+    empty = records.decode(envelopes(spark, ["x"]).limit(0), ORDERS.event)
+    spark.sparkContext.setLocalProperty("sql.streaming.queryId", "run-x")
+    try:
+        ingest.batch_handler(ORDERS, lake)(empty, 0)
+    finally:
+        spark.sparkContext.setLocalProperty("sql.streaming.queryId", None)
+    assert landed(spark, lake) is None
+    row = ingest.read_summaries(spark, lake).first()
+    assert (row["records"], row["sample"]) == (0, [])
+
+
+def test_source_is_read_once_per_batch(spark, root, lake):
+    """The landing job alone touches the source; a counting column would see a second read."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for pdf in batches:
+            seen.add(len(pdf))
+            yield pdf
+
+    rows = records.decode(envelopes(spark, ['{"order_id":"a"}'] * 10), ORDERS.event)
+    counted = rows.mapInPandas(count, rows.schema)
+    spark.sparkContext.setLocalProperty("sql.streaming.queryId", "run-y")
+    try:
+        ingest.batch_handler(ORDERS, lake)(counted, 0)
+    finally:
+        spark.sparkContext.setLocalProperty("sql.streaming.queryId", None)
+    assert seen.value == 10
+    assert ingest.read_summaries(spark, lake).first()["records"] == 10
+
+
+def click_records(spark, rows, start=0):
+    """Records with running offsets."""
+    schema = T.StructType([*CLICKS.event.fields, T.StructField("n", T.LongType())])
+    df = spark.createDataFrame([(*r, start + i) for i, r in enumerate(rows)], schema)
+    return df.select(
+        F.col(CLICKS.key).cast("binary").alias("key"),
+        F.to_json(F.struct(*CLICKS.event.fieldNames())).cast("binary").alias("value"),
+        F.lit(CLICKS.topic).alias("topic"),
+        F.lit(0).alias("partition"),
+        F.col("n").alias("offset"),
+    )
+
+
+def publish_clicks(spark, root, rows, start=0):
+    topics.publish(
+        click_records(spark, rows, start), CLICKS.topic, "parquet", source(root, CLICKS)
+    )
+
+
+def test_two_topics_side_by_side(spark, root, lake):
+    send_orders(spark, root, [order("a")])
+    publish_clicks(spark, root, [click("s"), click("t")])
+    options = {f.name: source(root, f) for f in (ORDERS, CLICKS)}
+    ingest.run_streams(spark, lake, "parquet", options, available_now=True)
+    assert landed(spark, lake).count() == 1 and landed(spark, lake, CLICKS).count() == 2
+    log = live.topic_totals(ingest.read_summaries(spark, lake)).collect()
+    assert {r["kind"]: r["records"] for r in log} == {"orders": 1, "clicks": 2, "total": 3}
+    assert not spark.streams.active
+
+
+def run_dedup(spark, root, spread_by, salts=4):
+    raw = topics.topic_stream(spark, CLICKS.topic, "parquet", source(root, CLICKS))
+    rows = records.decode(raw, CLICKS.event, CLICKS.topic, keep=["partition", "offset"])
+    passed = dedup.first_within(rows, CLICKS.dedup, "1 hour", spread_by, salts)
+    passed.writeStream.format("parquet").option("path", f"{root}/out").option(
+        "checkpointLocation", f"{root}/dedup-checkpoint"
+    ).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{root}/out")
+
+
+@pytest.mark.parametrize("spread_by", [(), ("partition", "offset")])
+def test_dedup_within_and_across_batches(spark, root, spread_by):
+    hot = [click("hot", timestamp=at(0))] * 50
+    publish_clicks(spark, root, [*hot, click("a", timestamp=at(1)), click("a", action="hover")])
+    assert run_dedup(spark, root, spread_by).count() == 3
+    publish_clicks(spark, root, [*hot[:9], click("b", timestamp=at(2))], start=100)
+    got = run_dedup(spark, root, spread_by)
+    assert sorted((r["session_id"], r["action"]) for r in got.collect()) == [
+        ("a", "hover"), ("a", "view"), ("b", "view"), ("hot", "view"),
+    ]
+
+
+def run_revenue(spark, root, lateness="1 hour"):
+    raw = topics.topic_stream(spark, ORDERS.topic, "parquet", source(root, ORDERS))
+    rows = records.decode(raw, ORDERS.event, ORDERS.topic)
+    aggregates.start_revenue_stream(
+        rows, f"{root}/revenue", f"{root}/revenue-checkpoint", lateness, available_now=True
+    ).awaitTermination()
+    got = aggregates.read_revenue(spark, f"{root}/revenue").collect()
+    return [(str(r["minute"])[14:16], r["revenue"]) for r in got]
+
+
+def test_revenue_follows_later_batches_and_drops_late_rows(spark, root):
+    send_orders(spark, root, [order("1", amount=0.1, timestamp=at(0)),
+                              order("2", amount=0.2, timestamp=at(0, 30)),
+                              order("3", amount=5.0, timestamp=at(40))])
+    assert run_revenue(spark, root, "10 minutes") == [("00", 0.3), ("40", 5.0)]
+    send_orders(spark, root, [order("4", amount=1.0, timestamp=at(40, 1)),
+                              order("5", amount=9.0, timestamp=at(0, 1))])
+    assert run_revenue(spark, root, "10 minutes") == [("00", 0.3), ("40", 6.0)]
+
+
+def test_kafka_settings():
+    class Recorder:
+        def __init__(self):
+            self.seen = {}
+
+        @property
+        def readStream(self):
+            return self
+
+        def format(self, name):
+            self.seen["format"] = name
+            return self
+
+        def options(self, **kwargs):
+            self.seen.update(kwargs)
+            return self
+
+        def load(self):
+            return self.seen
+
+    got = topics.topic_stream(Recorder(), "t", options={"kafka.bootstrap.servers": "b:1"})
+    assert got == {
+        "format": "kafka", "subscribe": "t", "startingOffsets": "latest",
+        "failOnDataLoss": "false", "kafka.bootstrap.servers": "b:1",
+    }

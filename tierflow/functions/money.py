@@ -1,8 +1,12 @@
-"""Exact money arithmetic.
-
-Amounts have two decimals by contract. Adding doubles gives a result that
-depends on the order of the rows, hence on the partitioning; whole cents do not.
-A 64-bit sum holds 9e16 currency units.
+"""Money sums that do not depend on row order.
+
+Adding doubles gives a result that changes with the partitioning. Here an amount
+is split into whole cents and the millionths left over, both summed as 64-bit
+integers, and put together once per group. Amounts with up to six decimals
+add up exactly; with the two decimals that orders carry, the second sum stays
+zero. The first holds up to 9e16 currency units per group. Amounts of a billion and more (or infinite ones), which no order should have,
+are added as doubles, so a broken record distorts its own group only
+and cannot overflow the sums of a job.
 """
 
 from __future__ import annotations
@@ -10,16 +14,43 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+HUGE = 1e9
+_MILLIONTHS_PER_CENT = 10_000
+
+SUM_COLUMNS = ("_cents", "_millionths", "_huge")
+
+
+def sums(amount: Column) -> list[Column]:
+    """The three aggregates, named as in ``SUM_COLUMNS``; partial sums merge by adding."""
+    small = F.when(F.abs(amount) < HUGE, amount)
+    # floor, not round: rounding a double goes through decimal text for every row.
+    cents = F.floor(small * 100 + 0.5)
+    millionths = F.floor(small * 1_000_000 + 0.5) - cents * _MILLIONTHS_PER_CENT
+    huge = F.when(F.abs(amount) >= HUGE, amount)
+    return [
+        F.sum(part).alias(name) for part, name in zip((cents, millionths, huge), SUM_COLUMNS)
+    ]
+
+
+def _exact() -> Column:
+    """The group's sum in millionths."""
+    return F.col("_cents").cast("decimal(28,0)") * _MILLIONTHS_PER_CENT + F.col("_millionths")
+
 
-def cents(amount: Column) -> Column:
-    return F.round(amount * F.lit(100)).cast("bigint")
+def _as_money(millionths: Column, parts: Column) -> Column:
+    """``millionths / parts`` rounded to cents, halves away from zero."""
+    unit = parts * _MILLIONTHS_PER_CENT
+    cents = F.call_function("div", F.abs(millionths) * 2 + unit, unit * 2)
+    return F.when(millionths < 0, -cents).otherwise(cents) / F.lit(100.0)
 
 
-def from_cents(total: Column) -> Column:
-    return total / F.lit(100.0)
+def total() -> Column:
+    """Sum with two decimals, from the ``SUM_COLUMNS`` of a grouped table."""
+    exact = _as_money(_exact(), F.lit(1).cast("bigint"))
+    huge = F.col("_huge")
+    return F.when(huge.isNull(), exact).otherwise(F.coalesce(exact, F.lit(0.0)) + huge)
 
 
-def mean_from_cents(total: Column, n: Column) -> Column:
-    """Mean rounded to whole cents, halves away from zero, without leaving integers."""
-    size = F.call_function("div", F.abs(total) * 2 + n, n * 2)
-    return from_cents(F.when(total < 0, -size).otherwise(size))
+def mean(n: Column) -> Column:
+    """Mean over ``n`` rows with two decimals."""
+    return F.when(F.col("_huge").isNull(), _as_money(_exact(), n)).otherwise(total() / n)

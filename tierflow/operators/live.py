@@ -44,42 +44,58 @@ def row_json(df: DataFrame) -> Column:
     return F.to_json(F.struct(*fields))
 
 
-def summarise(
-    rows: DataFrame,
-    sample_by: Sequence[str],
-    at: Column,
-    sample_columns: Sequence[str],
-) -> DataFrame:
-    """One summary per ``(source_topic, batch_id)`` of landed rows.
+def summarise(rows: DataFrame, at: Column) -> DataFrame:
+    """One summary per ``(source_topic, batch_id)`` of landed rows, without a sample.
 
-    ``at`` is the batch's time, taken as the maximum over its rows. The sample is
-    the batch's first three rows by ``sample_by``. The rank cut runs before the
-    shuffle, so a batch that holds most of the table still sends three rows per
-    task, and only those rows are rendered as JSON.
+    ``at`` is the batch's time, taken as the maximum over its rows.
     """
-    batch = ["source_topic", "batch_id"]
-    totals = rows.groupBy(*batch).agg(
+    totals = rows.groupBy("source_topic", "batch_id").agg(
         F.count(F.lit(1)).alias("records"), F.max(at).alias("_at")
     )
-    first = Window.partitionBy(*batch).orderBy(*sample_by)
-    ranked = rows.withColumn("_rank", F.row_number().over(first)).filter(
-        F.col("_rank") <= SAMPLE_ROWS
-    )
-    samples = ranked.groupBy(*batch).agg(
-        F.sort_array(
-            F.collect_list(F.struct("_rank", row_json(rows.select(*sample_columns)).alias("json")))
-        ).alias("_sample")
-    )
-    return totals.join(samples, batch, "left").select(
+    return totals.select(
         F.lit(BATCH_TYPE).alias("type"),
         "batch_id",
         F.col("source_topic").alias("topic"),
         "records",
         iso(F.col("_at")).alias("timestamp"),
-        F.col("_sample")["json"].alias("sample"),
+        F.array().cast("array<string>").alias("sample"),
     )
 
 
+def samples(rows: DataFrame, first_by: Sequence[str], shown: Sequence[str]) -> DataFrame:
+    """The first three rows of each batch by ``first_by``, as JSON texts.
+
+    The rank cut runs before the shuffle, so a batch that holds most of the table
+    still sends three rows per task, and only those rows are rendered.
+    """
+    batch = ["source_topic", "batch_id"]
+    first = Window.partitionBy(*batch).orderBy(*first_by)
+    ranked = rows.withColumn("_rank", F.row_number().over(first)).filter(
+        F.col("_rank") <= SAMPLE_ROWS
+    )
+    text = row_json(rows.select(*shown)).alias("json")
+    return (
+        ranked.groupBy(*batch)
+        .agg(F.sort_array(F.collect_list(F.struct("_rank", text))).alias("_ranked"))
+        .select(
+            F.col("source_topic").alias("topic"),
+            "batch_id",
+            F.col("_ranked")["json"].alias("sample"),
+        )
+    )
+
+
+def with_samples(summaries: DataFrame, sampled: DataFrame) -> DataFrame:
+    """Puts samples into summaries; a batch without one keeps its empty list.
+
+    Kept apart from :func:`summarise` because totals and rates need no sample and
+    should not pay for it.
+    """
+    filled = summaries.drop("sample").join(sampled, ["topic", "batch_id"], "left")
+    none = F.array().cast("array<string>")
+    return filled.withColumn("sample", F.coalesce("sample", none)).select(*summaries.columns)
+
+
 def batches_only(summaries: DataFrame) -> DataFrame:
     return summaries.filter(F.col("type") == BATCH_TYPE)
 

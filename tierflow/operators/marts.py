@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierflow.contracts import CLICKS, ORDERS
-from tierflow.functions.money import cents, from_cents, mean_from_cents
+from tierflow.functions import money
 
 
 def _count_by(df: DataFrame, key: str, name: str) -> DataFrame:
@@ -26,14 +26,13 @@ def _ranked(df: DataFrame, measure: str, key: str) -> DataFrame:
 
 def revenue_per_product(orders: DataFrame) -> DataFrame:
     sums = orders.groupBy("product").agg(
-        F.sum(cents(F.col("amount"))).alias("_cents"),
-        F.count(F.lit(1)).alias("order_count"),
+        *money.sums(F.col("amount")), F.count(F.lit(1)).alias("order_count")
     )
     mart = sums.select(
         "product",
-        from_cents(F.col("_cents")).alias("total_revenue"),
+        money.total().alias("total_revenue"),
         "order_count",
-        mean_from_cents(F.col("_cents"), F.col("order_count")).alias("avg_order_value"),
+        money.mean(F.col("order_count")).alias("avg_order_value"),
     )
     return _ranked(mart, "total_revenue", "product")
 
@@ -46,7 +45,8 @@ def revenue_per_minute(orders: DataFrame) -> DataFrame:
     """Orders without a readable event time share the null minute."""
     return (
         orders.groupBy(F.date_trunc("minute", "event_timestamp").alias("minute"))
-        .agg(from_cents(F.sum(cents(F.col("amount")))).alias("revenue"))
+        .agg(*money.sums(F.col("amount")))
+        .select("minute", money.total().alias("revenue"))
         .orderBy("minute")
     )
 

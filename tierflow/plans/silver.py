@@ -38,8 +38,8 @@ def read_marks(spark: SparkSession, path: str) -> dict[str, int]:
 
 
 def _broadcast_limit(spark: SparkSession) -> int:
-    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    return int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text))
+    """The session's own broadcast bound in bytes; negative where broadcasts are off."""
+    return spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
 
 
 def _require_unique(updates: DataFrame, keys: tuple[str, ...]) -> None:

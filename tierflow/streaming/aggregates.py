@@ -6,20 +6,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tierflow.functions.money import cents, from_cents
+from tierflow.functions import money
 
 # Fixed value: how late an order may arrive and still be counted.
 LATENESS = "10 minutes"
 
 
 def revenue_windows(orders: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """Running cents per event minute. State is one row per open minute; the
+    """Running money sums per event minute. State is one row per open minute; the
     watermark closes minutes and drops what arrives after."""
     return (
         orders.withWatermark("event_timestamp", lateness)
         .groupBy(F.window("event_timestamp", "1 minute"))
-        .agg(F.sum(cents(F.col("amount"))).alias("cents"))
-        .select(F.col("window.start").alias("minute"), "cents")
+        .agg(*money.sums(F.col("amount")))
+        .select(F.col("window.start").alias("minute"), money.total().alias("revenue"))
     )
 
 
@@ -44,10 +44,9 @@ def start_revenue_stream(
 
 def read_revenue(spark: SparkSession, out: str) -> DataFrame:
     """The current value of each minute: the one the last batch wrote."""
-    changes = spark.read.schema("minute timestamp, cents bigint, batch_id bigint").parquet(out)
+    changes = spark.read.schema("minute timestamp, revenue double, batch_id bigint").parquet(out)
     return (
         changes.groupBy("minute")
-        .agg(F.max_by("cents", "batch_id").alias("cents"))
-        .select("minute", from_cents(F.col("cents")).alias("revenue"))
+        .agg(F.max_by("revenue", "batch_id").alias("revenue"))
         .orderBy("minute")
     )
