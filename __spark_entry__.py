@@ -292,25 +292,38 @@ CLICK_TARGET_END = "2024-01-16"
 CLICK_UPDATE_START = "2024-01-11"
 
 
-def _at(day: str):
-    return F.lit(day).cast("timestamp")
+def _lines_shipped(
+    spark: SparkSession, sf: str, start: str | None = None, end: str | None = None
+) -> DataFrame:
+    """Line items of a period as events; the bounds reach the Parquet reader."""
+    lines = feeds.table(spark, sf, "lineitem")
+    if start:
+        lines = lines.filter(F.col("l_shipdate") >= F.lit(start).cast("timestamp_ntz"))
+    if end:
+        lines = lines.filter(F.col("l_shipdate") < F.lit(end).cast("timestamp_ntz"))
+    return feeds.order_lines(lines)
 
 
 def silver_upsert(spark: SparkSession, sf: str) -> DataFrame:
     """MERGE semantics: lines shipped from the split day on replace and extend the earlier ones."""
-    lines = landed_lines(spark, sf)
-    target = clean.clean_orders(lines.filter(F.col("event_timestamp") < _at(SPLIT_DAY)))
-    updates = clean.clean_orders(lines.filter(F.col("event_timestamp") >= _at(SPLIT_DAY)))
+    earlier = feeds.landed(_lines_shipped(spark, sf, end=SPLIT_DAY), ORDERS)
+    later = feeds.landed(_lines_shipped(spark, sf, start=SPLIT_DAY), ORDERS)
+    target, updates = clean.clean_orders(earlier), clean.clean_orders(later)
     merged = upsert.merge_replace(target, updates, ORDERS.dedup)
     return merged.select(*SILVER_ORDER_COLUMNS)
 
 
 def silver_upsert_clicks(spark: SparkSession, sf: str) -> DataFrame:
     """Composite key: the two periods overlap by five days, the update corrects the address."""
-    visits = landed_clicks(spark, sf)
-    target = clean.clean_clicks(visits.filter(F.col("event_timestamp") < _at(CLICK_TARGET_END)))
-    later = visits.filter(F.col("event_timestamp") >= _at(CLICK_UPDATE_START))
-    updates = clean.clean_clicks(later.withColumn("ip", F.lit("10.0.0.1")))
+    events = feeds.table(spark, sf, "events")
+    target_end = F.lit(CLICK_TARGET_END).cast("timestamp_ntz")
+    update_start = F.lit(CLICK_UPDATE_START).cast("timestamp_ntz")
+    earlier = feeds.clicks(events.filter(F.col("ts") < target_end))
+    later = feeds.clicks(events.filter(F.col("ts") >= update_start))
+    target = clean.clean_clicks(feeds.landed(earlier, CLICKS))
+    updates = clean.clean_clicks(
+        feeds.landed(later.withColumn("ip", F.lit("10.0.0.1")), CLICKS)
+    )
     merged = upsert.merge_replace(target, updates, CLICKS.dedup, nulls_match=True)
     return merged.select(*SILVER_CLICK_COLUMNS)
 
@@ -349,12 +362,10 @@ LINE_BOUNDS = ["1997-01-01", "1999-01-01", "2001-01-01"]
 
 def _land_lines_by_period(spark: SparkSession, sf: str, path: str, periods: range) -> None:
     """The line items as four Bronze batches, one per ship period."""
-    lines = landed_lines(spark, sf)
-    period = F.lit(0)
-    for bound in LINE_BOUNDS:
-        period = period + (F.col("event_timestamp") >= _at(bound)).cast("int")
+    edges = [None, *LINE_BOUNDS, None]
     for n in periods:
-        bronze.land_batch(lines.filter(period == n), path, RUN, n)
+        rows = feeds.landed(_lines_shipped(spark, sf, edges[n], edges[n + 1]), ORDERS)
+        bronze.land_batch(rows, path, RUN, n)
 
 
 def bronze_schema_merge(spark: SparkSession, sf: str) -> DataFrame:
@@ -372,7 +383,7 @@ def compact_bronze(spark: SparkSession, sf: str) -> DataFrame:
     """Two closed batches packed, two left as they are: same rows as before."""
     path = f"{work_dir(spark, 'compact')}/orders"
     _land_lines_by_period(spark, sf, path, range(4))
-    bronze.compact(spark, path, RUN, 1, file_rows=100_000)
+    bronze.compact(spark, path, RUN, 1, ORDERS.bronze_stored)
     bronze.drop_packed_batches(spark, path, RUN)
     rows = bronze.read_bronze(spark, path, ORDERS.bronze_stored)
     return rows.select("batch_id", *SILVER_ORDER_COLUMNS)

@@ -136,16 +136,20 @@ def test_compaction_keeps_rows_and_marks(spark, root):
     assert bronze.marks_of(bronze.extents(spark, root)) == {RUN: 5}
 
 
-def test_compaction_spreads_one_large_batch(spark, root):
-    rows = bronze_orders(spark, [order(f"o{n}") for n in range(1000)])
-    bronze.land_batch(rows, root, RUN, 0)
-    bronze.compact(spark, root, RUN, 0, ORDERS.bronze_stored, file_rows=250)
-    folder = f"{root}/packed/run={RUN}/upto=0"
-    sizes = [
-        spark.read.parquet(f"{folder}/{f}").count()
-        for f in os.listdir(folder) if f.endswith(".parquet")
-    ]
-    assert len(sizes) == 4 and sum(sizes) == 1000 and max(sizes) < 500
+def test_compaction_joins_small_files_without_a_shuffle(spark, root):
+    rows = bronze_orders(spark, [order(f"o{n}") for n in range(100)])
+    for n in range(3):
+        bronze.land_batch(rows.repartition(5), root, RUN, n)
+    folder = f"{root}/packed/run={RUN}/upto"
+
+    def parts(upto):
+        return [f for f in os.listdir(f"{folder}={upto}") if f.endswith(".parquet")]
+
+    assert bronze.compact(spark, root, RUN, 1, ORDERS.bronze_stored) == 200
+    assert len(parts(1)) == 1
+    assert bronze.compact(spark, root, RUN, 2, ORDERS.bronze_stored, file_bytes=6_000) == 100
+    assert len(parts(2)) > 1
+    assert read(spark, root).count() == 300
 
 
 # --- Silver

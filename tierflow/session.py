@@ -16,6 +16,7 @@ def build_session(app: str = "tierflow", master: str | None = None, **conf: str)
 
     The shuffle width is left to the caller: adaptive execution merges small
     partitions of batch jobs, while a stateful stream fixes it at first start.
+    Stream state lives in RocksDB, outside the heap, and is saved as change logs.
     """
     builder = SparkSession.builder.appName(app)
     if master:
@@ -25,6 +26,10 @@ def build_session(app: str = "tierflow", master: str | None = None, **conf: str)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.showConsoleProgress": "false",
+        "spark.sql.streaming.stateStore.providerClass": (
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+        ),
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         **conf,
     }
     for key, value in settings.items():

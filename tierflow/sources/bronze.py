@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from tierflow.contracts import BATCH_META
 from tierflow.sources import files
 
-DEFAULT_FILE_ROWS = 4_000_000
+PACKED_FILE_BYTES = 256 * 1024 * 1024
 
 
 @dataclass(frozen=True)
@@ -65,8 +65,10 @@ def land_batch(batch: DataFrame, path: str, run: str, batch_id: int) -> int:
     return records
 
 
-def read_batch(spark: SparkSession, path: str, run: str, batch_id: int) -> DataFrame:
-    return spark.read.parquet(_live_dir(path, run, batch_id))
+def read_batch(
+    spark: SparkSession, path: str, run: str, batch_id: int, schema: T.StructType
+) -> DataFrame:
+    return spark.read.schema(schema).parquet(_live_dir(path, run, batch_id))
 
 
 def extents(spark: SparkSession, path: str, after: Mapping[str, int] | None = None) -> list[Extent]:
@@ -143,27 +145,23 @@ def compact(
     run: str,
     max_batch: int,
     schema: T.StructType | None = None,
-    file_rows: int = DEFAULT_FILE_ROWS,
+    file_bytes: int = PACKED_FILE_BYTES,
 ) -> int:
     """Rewrites a run's live batches up to ``max_batch`` as one packed folder.
 
-    Rows are range-partitioned by batch, so a file covers few batches and the
-    ``batch_id`` bounds in its footer let incremental readers skip it; the second
-    sort key spreads a batch that holds most of the rows over many tasks. Already
-    packed folders are not touched again. Returns the rows packed.
+    One read and one write, no shuffle: the scan already puts many small files
+    into one task and splits a large one over several, and ``coalesce`` joins
+    neighbouring tasks until a file has about ``file_bytes``. Already packed folders
+    are not touched again. Returns the rows packed.
     """
     open_extents = [e for e in extents(spark, path) if e.run == run]
     batches = [n for e in open_extents for n in e.live if n <= max_batch]
     if not batches:
         return 0
     rows = read_bronze(spark, path, schema, found=[Extent(run, (), tuple(batches))]).drop("run")
-    others = [c for c in rows.columns if c != "batch_id"]
-    tasks = max(1, -(-rows.count() // file_rows))
-    packed = rows.withColumn("_spread", F.xxhash64(*others)).repartitionByRange(
-        tasks, "batch_id", "_spread"
-    )
+    size = sum(files.size_in_bytes(spark, _live_dir(path, run, n)) for n in batches)
     seen = Observation()
-    packed.drop("_spread").observe(seen, F.count(F.lit(1)).alias("n")).write.mode(
+    rows.coalesce(-(-size // file_bytes)).observe(seen, F.count(F.lit(1)).alias("n")).write.mode(
         "overwrite"
     ).parquet(_packed_dir(path, run, max(batches)))
     return seen.get["n"]

@@ -58,7 +58,7 @@ def batch_handler(feed: Feed, lake: Lake) -> Callable[[DataFrame, int], None]:
         records = bronze.land_batch(batch, path, run, batch_id)
         sample: list[str] = []
         if records:
-            landed = bronze.read_batch(spark, path, run, batch_id)
+            landed = bronze.read_batch(spark, path, run, batch_id, feed.bronze)
             rows = landed.select(row_json(landed).alias("json")).limit(SAMPLE_ROWS).collect()
             sample = [r["json"] for r in rows]
         write_summary(spark, lake.summaries(feed), run, batch_id, feed.topic, records, sample)
