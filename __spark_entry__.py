@@ -151,6 +151,12 @@ def quarantine_orders(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def fault_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Classes of all landed records, warnings included."""
+    landed = records.decode_checked(mixed_records(spark, sf), ORDERS, ORDERS.topic)
+    return records.fault_counts(landed)
+
+
 SILVER_ORDER_COLUMNS = [*ORDERS.event.fieldNames(), "event_timestamp"]
 SILVER_CLICK_COLUMNS = [*CLICKS.event.fieldNames(), "event_timestamp"]
 
@@ -263,6 +269,53 @@ def current_rate(spark: SparkSession, sf: str) -> DataFrame:
     return live.current_rate(event_summaries(spark, sf, MINUTE))
 
 
+def dashboard_header(spark: SparkSession, sf: str) -> DataFrame:
+    return live.header(event_summaries(spark, sf, MINUTE))
+
+
+def summary_contract(spark: SparkSession, sf: str) -> DataFrame:
+    """Every summary as a message, and faulty messages made of the other tables."""
+    sent = event_summaries(spark, sf, sampled=True)
+    good = sent.select(F.to_json(F.struct(*sent.columns)).alias("value"))
+
+    def message(table: str, *fields) -> DataFrame:
+        return feeds.table(spark, sf, table).select(F.to_json(F.struct(*fields)).alias("value"))
+
+    when = F.col("o_orderdate").cast("string").alias("timestamp")
+    messages = (
+        good.unionByName(feeds.table(spark, sf, "conversations").select(F.col("text").alias("value")))
+        .unionByName(message("part", F.col("p_name").alias("topic")))
+        .unionByName(message("supplier", F.col("s_suppkey").alias("batch_id")))
+        .unionByName(
+            message(
+                "orders",
+                F.col("o_orderkey").alias("batch_id"),
+                F.col("o_orderpriority").alias("topic"),
+                F.col("o_orderstatus").alias("records"),
+                when,
+            )
+        )
+        .unionByName(
+            message(
+                "orders",
+                F.col("o_orderkey").cast("string").alias("batch_id"),
+                F.col("o_orderpriority").alias("topic"),
+                F.col("o_custkey").alias("records"),
+                when,
+            )
+        )
+    )
+    return (
+        live.accept_messages(messages)
+        .groupBy(F.coalesce("reject_reason", F.lit("accepted")).alias("verdict"))
+        .agg(
+            F.count(F.lit(1)).alias("messages"),
+            F.sum("records").alias("records"),
+            F.sum(F.size("sample")).alias("samples"),
+        )
+    )
+
+
 def live_feed(spark: SparkSession, sf: str) -> DataFrame:
     return _sample_as_text(live.live_feed(event_summaries(spark, sf, sampled=True)))
 
@@ -471,6 +524,19 @@ def stream_ingest_bronze(spark: SparkSession, sf: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+def stream_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Good and faulty records streamed to Bronze; the refused ones found there."""
+    root = work_dir(spark, "quarantine")
+    lake = Lake.under(f"{root}/lake")
+    path = {"path": f"{root}/topic"}
+    topics.publish(mixed_records(spark, sf), ORDERS.topic, "parquet", path)
+    ingest.start_stream(spark, ORDERS, lake, "parquet", path, available_now=True).awaitTermination()
+    rows = bronze.read_bronze(spark, lake.bronze(ORDERS), ORDERS.bronze_stored)
+    return records.landed_quarantine(rows).select(
+        "kafka_key", "reject_reason", F.length("value").alias("text_length")
+    )
+
+
 def stream_summary_log(spark: SparkSession, sf: str) -> DataFrame:
     """Records per topic according to the summaries that the streams wrote."""
     root = work_dir(spark, "summary-log")
@@ -527,6 +593,7 @@ _QUERIES = [
     decode_orders,
     decode_clicks,
     quarantine_orders,
+    fault_counts,
     clean_orders,
     clean_clicks,
     silver_audit,
@@ -543,6 +610,8 @@ _QUERIES = [
     stream_stats,
     throughput_per_second,
     current_rate,
+    dashboard_header,
+    summary_contract,
     live_feed,
     replay_buffer,
     layer_summary,
@@ -559,6 +628,7 @@ _QUERIES = [
     load_marts_orders,
     load_marts_clicks,
     stream_ingest_bronze,
+    stream_quarantine,
     stream_summary_log,
     stream_revenue_per_minute,
     stream_dedup,

@@ -80,6 +80,28 @@ MIXED = f"""
     UNION ALL SELECT 'nation-' || n_nationkey::VARCHAR, 'null_value' FROM nation"""
 
 
+# The text lengths of faulty records, from the JSON that each table's rows make.
+MIXED_LENGTHS = f"""
+    SELECT session_id AS kafka_key, 'missing_order_id' AS verdict,
+           length('{{"session_id":"","user_id":"","page":"","action":"","device":"","ip":"",'
+                  || '"timestamp":""}}')
+           + length(session_id || user_id || page || action || device || ip || "timestamp")
+           AS text_length
+    FROM ({CLICKS})
+    UNION ALL SELECT 'part-' || p_partkey::VARCHAR, 'missing_user_id',
+           length('{{"order_id":"part-","amount":}}')
+           + length(p_partkey::VARCHAR || p_retailprice::VARCHAR) FROM part
+    UNION ALL SELECT 'supplier-' || s_suppkey::VARCHAR, 'missing_amount',
+           length('{{"order_id":"supplier-","user_id":""}}')
+           + length(s_suppkey::VARCHAR || s_name) FROM supplier
+    UNION ALL SELECT 'customer-' || c_custkey::VARCHAR, 'bad_amount',
+           length('{{"order_id":"customer-","user_id":"","amount":""}}')
+           + length(c_custkey::VARCHAR || c_name || c_mktsegment) FROM customer
+    UNION ALL SELECT 'talk-' || conv_id::VARCHAR || '-' || turn::VARCHAR, 'malformed_json',
+           length("text") FROM conversations
+    UNION ALL SELECT 'nation-' || n_nationkey::VARCHAR, 'null_value', NULL FROM nation"""
+
+
 def _cents(column: str = "amount") -> str:
     return f"CAST(sum(CAST(round({column} * 100) AS BIGINT)) AS BIGINT)"
 
@@ -211,6 +233,9 @@ def oracle_sql() -> dict[str, str]:
             SELECT kafka_key, verdict,
                    (verdict NOT IN ('accepted', 'bad_timestamp'))::INT AS excluded
             FROM ({MIXED})""",
+        "fault_counts": f"""
+            SELECT verdict AS reject_reason, count(*) AS records FROM ({MIXED})
+            WHERE verdict <> 'accepted' GROUP BY 1""",
         "clean_orders": silver_rows,
         "clean_clicks": f"SELECT {CLICK_FIELDS}, event_timestamp FROM ({CLICKS})",
         "silver_audit": f"""
@@ -250,6 +275,22 @@ def oracle_sql() -> dict[str, str]:
         "current_rate": f"""
             SELECT coalesce(arg_max(orders + clicks, t), 0) AS records_per_second
             FROM ({RATES})""",
+        "dashboard_header": f"""
+            SELECT sum(orders + clicks)::BIGINT AS total_events,
+                   arg_max(orders + clicks, t)::BIGINT AS records_per_second,
+                   strftime(max(t), '%H:%M:%S') AS last_batch,
+                   sum(orders)::BIGINT AS orders, sum(clicks)::BIGINT AS clicks
+            FROM ({RATES})""",
+        "summary_contract": f"""
+            SELECT 'accepted' AS verdict,
+                   (SELECT count(*) FROM ({SUMMARIES})) + (SELECT count(*) FROM orders) AS messages,
+                   ((SELECT sum(records) FROM ({SUMMARIES}))
+                     + (SELECT sum(o_custkey) FROM orders))::BIGINT AS records,
+                   (SELECT sum(least(records, 3)) FROM ({SUMMARIES}))::BIGINT AS samples
+            UNION ALL SELECT 'malformed_json', count(*), NULL, 0 FROM conversations
+            UNION ALL SELECT 'missing_batch_id', count(*), NULL, 0 FROM part
+            UNION ALL SELECT 'missing_topic', count(*), NULL, 0 FROM supplier
+            UNION ALL SELECT 'bad_records', count(*), NULL, 0 FROM orders""",
         "live_feed": f"""
             SELECT batch_id::VARCHAR || '-' || topic || '-' || (epoch_us(at_ts) // 1000)::VARCHAR AS id,
                    topic, replace(topic, 'raw.', '') AS kind, batch_id, records, "timestamp",
@@ -324,6 +365,9 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL
             SELECT 'raw.clicks', session_id, user_id, "timestamp", event_timestamp
             FROM ({CLICKS})""",
+        "stream_quarantine": f"""
+            SELECT kafka_key, verdict AS reject_reason, text_length FROM ({MIXED_LENGTHS})
+            WHERE verdict NOT IN ('accepted', 'bad_timestamp')""",
         "stream_summary_log": f"""
             SELECT 'orders' AS kind, count(*) AS records FROM ({ORDER_LINES})
             UNION ALL SELECT 'clicks', count(*) FROM ({CLICKS})

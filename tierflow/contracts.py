@@ -38,6 +38,11 @@ BRONZE_META = [
     T.StructField("ingestion_timestamp", T.TimestampType()),
     T.StructField("event_timestamp", T.TimestampType()),
 ]
+# Why a record cannot go on to Silver, and its text; both null for a good record.
+FAULT_META = [
+    T.StructField("reject_reason", T.StringType()),
+    T.StructField("rejected_value", T.StringType()),
+]
 # Where a Bronze row was landed: the streaming checkpoint's id and the micro-batch number.
 BATCH_META = [
     T.StructField("run", T.StringType()),
@@ -90,7 +95,7 @@ class Feed:
 
     @property
     def bronze_stored(self) -> T.StructType:
-        return T.StructType(self.bronze.fields + BATCH_META)
+        return T.StructType(self.bronze.fields + FAULT_META + BATCH_META)
 
     @property
     def silver(self) -> T.StructType:

@@ -32,25 +32,28 @@ def sums(amount: Column) -> list[Column]:
     ]
 
 
-def _exact() -> Column:
-    """The group's sum in millionths."""
-    return F.col("_cents").cast("decimal(28,0)") * _MILLIONTHS_PER_CENT + F.col("_millionths")
+def _rounded(n: str) -> str:
+    """SQL for the group's exact sum over ``n``, halves rounded away from zero.
 
-
-def _as_money(millionths: Column, parts: Column) -> Column:
-    """``millionths / parts`` rounded to cents, halves away from zero."""
-    unit = parts * _MILLIONTHS_PER_CENT
-    cents = F.call_function("div", F.abs(millionths) * 2 + unit, unit * 2)
-    return F.when(millionths < 0, -cents).otherwise(cents) / F.lit(100.0)
+    The cents are divided first and only the remainder is taken to millionths, so
+    every step stays within 64 bits however large the sum is.
+    """
+    unit = f"({n} * {_MILLIONTHS_PER_CENT}L)"
+    rest = f"pmod(_cents, {n})"
+    fine = f"({rest} * {_MILLIONTHS_PER_CENT}L + _millionths)"
+    above = f"pmod({fine}, {unit})"
+    floor = f"((_cents - {rest}) div {n} + ({fine} - {above}) div {unit})"
+    up = f"if({floor} >= 0, {above} * 2 >= {unit}, {above} * 2 > {unit})"
+    return f"(({floor} + cast({up} AS int)) / 100.0D)"
 
 
 def total() -> Column:
     """Sum with two decimals, from the ``SUM_COLUMNS`` of a grouped table."""
-    exact = _as_money(_exact(), F.lit(1).cast("bigint"))
-    huge = F.col("_huge")
-    return F.when(huge.isNull(), exact).otherwise(F.coalesce(exact, F.lit(0.0)) + huge)
+    exact = _rounded("1L")
+    return F.expr(f"if(_huge IS NULL, {exact}, coalesce({exact}, 0.0D) + _huge)")
 
 
-def mean(n: Column) -> Column:
-    """Mean over ``n`` rows with two decimals."""
-    return F.when(F.col("_huge").isNull(), _as_money(_exact(), n)).otherwise(total() / n)
+def mean(n: str) -> Column:
+    """Mean with two decimals, column ``n`` being the row count of the group."""
+    exact_part = f"coalesce({_rounded('1L')}, 0.0D)"
+    return F.expr(f"if(_huge IS NULL, {_rounded(n)}, ({exact_part} + _huge) / {n})")

@@ -88,17 +88,16 @@ def _text_schema(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
-def classify(raw: DataFrame, feed: Feed) -> DataFrame:
-    """Adds ``reject_reason``, null for a good record; every record is in one class only.
+def _judged(raw: DataFrame, feed: Feed) -> DataFrame:
+    """``raw`` with its text, its typed parse and its ``reject_reason``.
 
-    Clean records are parsed once, under the typed schema. The second, all-text
+    A clean record is parsed once, under the typed schema. The second, all-text
     parse that tells a mistyped field from broken JSON is behind a condition and
     runs only for records the typed parse complained about.
     """
     typed_schema = T.StructType(feed.event.fields + [T.StructField(_CORRUPT, T.StringType())])
     option = {"columnNameOfCorruptRecord": _CORRUPT}
-    text = F.col("value").cast("string")
-    parsed = raw.withColumn("_text", text).withColumn(
+    parsed = raw.withColumn("_text", F.col("value").cast("string")).withColumn(
         "_typed", F.from_json(F.col("_text"), typed_schema, option)
     )
     complained = F.col("_typed")[_CORRUPT].isNotNull()
@@ -125,7 +124,34 @@ def classify(raw: DataFrame, feed: Feed) -> DataFrame:
         typed["timestamp"].isNotNull() & parse_instant(typed["timestamp"]).isNull(),
         F.lit(BAD_TIMESTAMP),
     )
-    return parsed.withColumn("reject_reason", reason).drop("_text", "_typed", "_loose")
+    return parsed.withColumn("reject_reason", reason).drop("_loose")
+
+
+def classify(raw: DataFrame, feed: Feed) -> DataFrame:
+    """Adds ``reject_reason``, null for a good record; every record is in one class only."""
+    return _judged(raw, feed).drop("_text", "_typed")
+
+
+def decode_checked(
+    raw: DataFrame,
+    feed: Feed,
+    topic: str | None = None,
+    as_of: Column | None = None,
+) -> DataFrame:
+    """:func:`decode`, plus each record's ``reject_reason`` and, where it has one, its text.
+
+    Broken records so stay traceable in Bronze, from the same parse and the same
+    write as the good ones.
+    """
+    judged = _judged(raw, feed).select(
+        "_typed.*",
+        F.col("key").cast("string").alias("kafka_key"),
+        (F.col("topic") if topic is None else F.lit(topic)).alias("_topic"),
+        "reject_reason",
+        F.when(F.col("reject_reason").isNotNull(), F.col("_text")).alias("rejected_value"),
+    )
+    bronze = with_bronze_columns(judged, F.col("_topic"), as_of)
+    return bronze.select(*feed.bronze.fieldNames(), "reject_reason", "rejected_value")
 
 
 def is_excluded(reason: Column) -> Column:
@@ -144,3 +170,20 @@ def quarantine(raw: DataFrame, feed: Feed) -> DataFrame:
             "reject_reason",
         )
     )
+
+
+def landed_quarantine(bronze: DataFrame) -> DataFrame:
+    """The refused records among landed rows; null checks on one column reach the reader."""
+    return bronze.filter(is_excluded(F.col("reject_reason"))).select(
+        "kafka_key", F.col("rejected_value").alias("value"), "reject_reason"
+    )
+
+
+def fault_counts(bronze: DataFrame) -> DataFrame:
+    """Landed rows per class, warnings included."""
+    return (
+        bronze.filter(F.col("reject_reason").isNotNull())
+        .groupBy("reject_reason")
+        .agg(F.count(F.lit(1)).alias("records"))
+        .orderBy("reject_reason")
+    )

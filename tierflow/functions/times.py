@@ -12,6 +12,7 @@ TRANSPORT_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 CLOCK_FORMAT = "HH:mm:ss"
 MINUTE_CLOCK_FORMAT = "mm:ss"
 NO_CLOCK = "--:--:--"
+NO_BATCH = "\u2014"
 
 
 def clock_now(as_of: Column | None = None) -> Column:
@@ -37,5 +38,5 @@ def transport(ts: Column) -> Column:
     return F.date_format(ts, TRANSPORT_FORMAT)
 
 
-def clock(ts: Column) -> Column:
-    return F.coalesce(F.date_format(ts, CLOCK_FORMAT), F.lit(NO_CLOCK))
+def clock(ts: Column, none: str = NO_CLOCK) -> Column:
+    return F.coalesce(F.date_format(ts, CLOCK_FORMAT), F.lit(none))

@@ -21,6 +21,7 @@ from tierflow.functions.kinds import (
 )
 from tierflow.functions.times import (
     MINUTE_CLOCK_FORMAT,
+    NO_BATCH,
     clock,
     clock_now,
     iso,
@@ -96,6 +97,45 @@ def with_samples(summaries: DataFrame, sampled: DataFrame) -> DataFrame:
     return filled.withColumn("sample", F.coalesce("sample", none)).select(*summaries.columns)
 
 
+def accept_messages(messages: DataFrame) -> DataFrame:
+    """Summary messages, JSON text in ``value``, checked against their contract.
+
+    ``batch_id``, ``topic``, ``records`` and ``timestamp`` must be there and the two numbers
+    must be whole; ``type`` and ``sample`` have defaults. ``reject_reason`` is null for a
+    message that holds. Parsed once, as text.
+    """
+    corrupt = "_corrupt_record"
+    fields = "type string, batch_id string, topic string, records string, timestamp string"
+    parsed = messages.select(
+        "value",
+        F.from_json(
+            "value",
+            f"{fields}, sample string, {corrupt} string",
+            {"columnNameOfCorruptRecord": corrupt},
+        ).alias("m"),
+    )
+    message = F.col("m")
+    entries = F.from_json(message["sample"], "array<string>")
+    reason = F.when(F.col("value").isNull(), "null_value").when(
+        (F.trim("value") == "") | message[corrupt].isNotNull(), "malformed_json"
+    )
+    for field in ("batch_id", "topic", "records", "timestamp"):
+        reason = reason.when(message[field].isNull(), f"missing_{field}")
+    for field in ("batch_id", "records"):
+        reason = reason.when(message[field].try_cast("bigint").isNull(), f"bad_{field}")
+    no_list = message["sample"].isNotNull() & ~message["sample"].startswith("[")
+    reason = reason.when(no_list, "bad_sample")
+    return parsed.select(
+        F.coalesce(message["type"], F.lit(BATCH_TYPE)).alias("type"),
+        message["batch_id"].try_cast("bigint").alias("batch_id"),
+        message["topic"].alias("topic"),
+        message["records"].try_cast("bigint").alias("records"),
+        message["timestamp"].alias("timestamp"),
+        F.coalesce(entries, F.array().cast("array<string>")).alias("sample"),
+        reason.alias("reject_reason"),
+    )
+
+
 def batches_only(summaries: DataFrame) -> DataFrame:
     return summaries.filter(F.col("type") == BATCH_TYPE)
 
@@ -197,6 +237,31 @@ def current_rate(
     )
 
 
+def header(
+    summaries: DataFrame,
+    window_seconds: int = RATE_WINDOW_SECONDS,
+    as_of: Column | None = None,
+) -> DataFrame:
+    """The figures over the dashboard: events, rate now, time of last batch, split by kind."""
+    rows = _normalised(summaries, as_of)
+
+    def of(kind: str) -> Column:
+        counted = F.sum(F.when(F.col("kind") == kind, F.col("records")))
+        return F.coalesce(counted, F.lit(0))
+
+    return rows.agg(
+        of(ORDERS_KIND).alias("orders"),
+        of(CLICKS_KIND).alias("clicks"),
+        F.max_by(parse_instant(F.col("timestamp")), F.struct("_at", "batch_id")).alias("_last"),
+    ).select(
+        (F.col("orders") + F.col("clicks")).alias("total_events"),
+        current_rate(summaries, window_seconds, as_of).scalar().alias("records_per_second"),
+        clock(F.col("_last"), NO_BATCH).alias("last_batch"),
+        "orders",
+        "clicks",
+    )
+
+
 def live_feed(
     summaries: DataFrame, limit: int = FEED_ROWS, as_of: Column | None = None
 ) -> DataFrame:

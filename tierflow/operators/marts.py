@@ -32,7 +32,7 @@ def revenue_per_product(orders: DataFrame) -> DataFrame:
         "product",
         money.total().alias("total_revenue"),
         "order_count",
-        money.mean(F.col("order_count")).alias("avg_order_value"),
+        money.mean("order_count").alias("avg_order_value"),
     )
     return _ranked(mart, "total_revenue", "product")
 

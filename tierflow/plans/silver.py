@@ -105,7 +105,7 @@ def refresh_silver(
     rows = bronze.read_bronze(spark, lake.bronze(feed), feed.bronze_stored, done, found)
     if rows is None:
         return Outcome("skipped", note="no new bronze batches" if done else "no bronze table")
-    updates = clean(rows.drop("run", "batch_id"), feed, as_of)
+    updates = clean(rows.select(*feed.bronze.fieldNames()), feed, as_of)
     marks = {**done, **bronze.marks_of(found)}
     return Outcome("ok", upsert_table(spark, lake.silver(feed), updates, feed, mode, marks))
 
@@ -122,7 +122,7 @@ def rebuild_silver(
     number = snapshots.next_snapshot(spark, path)
     marks = list(bronze.marks_of(found).items())
     spark.createDataFrame(marks, MARKS_SCHEMA).coalesce(1).write.parquet(_marks_dir(path, number))
-    cleaned = clean(rows.drop("run", "batch_id"), feed, as_of)
+    cleaned = clean(rows.select(*feed.bronze.fieldNames()), feed, as_of)
     n = snapshots.write_table(spark, path, cleaned, number)
     snapshots.drop_old_snapshots(spark, path)
     return Outcome("ok", n)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tierflow.contracts import FEEDS, SUMMARY, Feed
-from tierflow.functions.records import decode
+from tierflow.functions.records import decode_checked
 from tierflow.functions.times import iso
 from tierflow.operators.live import BATCH_TYPE, SAMPLE_ROWS, row_json
 from tierflow.plans.lake import Lake
@@ -79,7 +79,7 @@ def start_stream(
 
     ``available_now`` takes what the topic holds and ends, for catch-up runs.
     """
-    rows = decode(topic_stream(spark, feed.topic, fmt, options), feed.event, feed.topic)
+    rows = decode_checked(topic_stream(spark, feed.topic, fmt, options), feed, feed.topic)
     trigger = (
         {"availableNow": True}
         if available_now
