@@ -255,8 +255,17 @@ def test_cycle_reports_and_stores(spark, root):
     ]
     marts = gold.load_marts(spark, lake, ORDERS)
     assert [r["product"] for r in marts["orders_revenue_per_product"].collect()] == ["x", "y"]
-    again = {r["step"]: r["status"] for r in cycle.run_cycle(spark, lake, 8).collect()}
-    assert again["silver_orders"] == "skipped" and again["gold_orders_by_status"] == "ok"
+    again = cycle.run_cycle(spark, lake, 8).collect()
+    assert {(r["status"], r["error"]) for r in again} == {
+        ("skipped", "no new bronze batches"), ("skipped", "silver unchanged"),
+    }
+    forced = gold.refresh_mart(spark, lake, ORDERS, "orders_by_status", force=True)
+    assert forced == gold.Outcome("ok", 1)
+    land(spark, lake, [[order("c", product="z")]], start=1)
+    third = {r["step"]: r["status"] for r in cycle.run_cycle(spark, lake, 9).collect()}
+    assert third["gold_orders_by_status"] == "ok" and third["gold_clicks_top_pages"] == "skipped"
+    marts = gold.load_marts(spark, lake, ORDERS)
+    assert marts["orders_revenue_per_product"].count() == 3
 
 
 def test_failing_step_does_not_stop_the_others(spark, root):

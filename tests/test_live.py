@@ -122,3 +122,37 @@ def test_layer_summary(spark):
         {"bronze": {"orders": two, "clicks": one}, "silver": {"orders": one, "clicks": never(one)}}
     )
     assert [tuple(r) for r in got.collect()] == [("bronze", 2, 1, 3), ("silver", 1, 0, 1)]
+
+
+def test_header(spark):
+    rows = [summary(0, "raw.orders", 2, at(1)), summary(1, "raw.orders", 3, at(70)),
+            summary(0, "raw.clicks", 4, at(70)), summary(0, "audit", 9, at(71))]
+    assert live.header(log(spark, rows)).first().asDict() == {
+        "total_events": 9, "records_per_second": 0, "last_batch": "00:01:11",
+        "orders": 5, "clicks": 4,
+    }
+    assert live.header(log(spark, rows[:3])).first()["records_per_second"] == 7
+    assert tuple(live.header(never(log(spark, rows))).first()) == (0, 0, "\u2014", 0, 0)
+
+
+def test_message_contract(spark):
+    full = '{"batch_id":1,"topic":"t","records":2,"timestamp":"x"'
+    cases = {
+        full + ',"type":"ping","sample":[{"a":1},{"b":"c"}]}': None,
+        full + "}": None,
+        full.replace(":1,", ':"1",') + "}": None,
+        full.replace(":2,", ':"two",') + "}": "bad_records",
+        full.replace(":1,", ":null,") + "}": "missing_batch_id",
+        full + ',"sample":{"a":1}}': "bad_sample",
+        '{"batch_id":1}': "missing_topic",
+        '{"batch_id":1,"topic":"t","records":2}': "missing_timestamp",
+        "nonsense": "malformed_json",
+        "": "malformed_json",
+    }
+    messages = spark.createDataFrame([(v,) for v in cases], "value string").coalesce(1)
+    got = live.accept_messages(messages).collect()
+    assert [r["reject_reason"] for r in got] == list(cases.values())
+    assert (got[0]["type"], got[0]["sample"]) == ("ping", ['{"a":1}', '{"b":"c"}'])
+    assert (got[1]["type"], got[1]["batch_id"], got[1]["records"], got[1]["sample"]) == (
+        "batch", 1, 2, [],
+    )

@@ -49,8 +49,43 @@ def test_stream_lands_what_a_batch_decodes(spark, root, lake):
     topics.publish(raw, ORDERS.topic, "parquet", source(root, ORDERS))
     ingest_orders(spark, root, lake)
     whole = spark.read.schema(raw.schema).parquet(f"{root}/topics/orders")
-    expected = records.decode(whole, ORDERS.event, ORDERS.topic)
-    assert facts(landed(spark, lake).drop("run", "batch_id")) == facts(expected)
+    expected = records.decode_checked(whole, ORDERS, ORDERS.topic)
+    rows = landed(spark, lake)
+    assert facts(rows.drop("run", "batch_id")) == facts(expected)
+    plain = records.decode(whole, ORDERS.event, ORDERS.topic)
+    assert facts(rows.select(*plain.columns)) == facts(plain)
+
+
+def test_broken_records_are_traceable_and_never_in_silver(spark, root, lake):
+    send_orders(spark, root, [order("a"), order("late", timestamp="bad"), order("b", amount=None)])
+    topics.publish(
+        envelopes(spark, ["not json", None]), ORDERS.topic, "parquet", source(root, ORDERS)
+    )
+    ingest_orders(spark, root, lake)
+    rows = landed(spark, lake)
+    got = records.landed_quarantine(rows).select("value", "reject_reason")
+    refused = {r["reject_reason"]: r["value"] for r in got.collect()}
+    assert refused["malformed_json"] == "not json" and refused["null_value"] is None
+    assert json.loads(refused["missing_amount"])["order_id"] == "b"
+    assert [tuple(r) for r in records.fault_counts(rows).collect()] == [
+        ("bad_timestamp", 1), ("malformed_json", 1), ("missing_amount", 1), ("null_value", 1),
+    ]
+    silver.refresh_silver(spark, lake, ORDERS)
+    table = snapshots.read_table(spark, lake.silver(ORDERS))
+    assert table.columns == ORDERS.silver.fieldNames()
+    assert sorted(r["order_id"] for r in table.collect()) == ["a", "late"]
+
+
+def test_summary_log_can_be_packed(spark, root, lake):
+    for i in range(3):
+        send_orders(spark, root, [order(f"{i}-{n}") for n in range(2)])
+        ingest_orders(spark, root, lake)
+    before = facts(ingest.read_summaries(spark, lake))
+    path = lake.summaries(ORDERS)
+    run = bronze.extents(spark, path)[0].run
+    assert bronze.compact(spark, path, run, 1) == 2
+    bronze.drop_packed_batches(spark, path, run)
+    assert facts(ingest.read_summaries(spark, lake)) == before
 
 
 def test_restart_resumes_and_summaries_hold_true_counts(spark, root, lake):

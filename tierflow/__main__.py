@@ -1,4 +1,4 @@
-"""``python -m tierflow ingest|silver|gold|cycle|layers``: the jobs for ``spark-submit``."""
+"""The jobs for ``spark-submit``: landing, refreshes, and the figures read from the layers."""
 
 from __future__ import annotations
 
@@ -6,19 +6,20 @@ import argparse
 import os
 
 from tierflow.contracts import FEEDS
+from tierflow.operators import live
 from tierflow.operators.marts import MARTS
 from tierflow.plans.cycle import run_cycle
-from tierflow.plans.gold import refresh_mart
+from tierflow.plans.gold import gold_catalog, load_marts, refresh_mart
 from tierflow.plans.lake import Lake
 from tierflow.plans.silver import rebuild_silver, refresh_silver
 from tierflow.plans.stats import stored_layers
 from tierflow.session import build_session, require_utc
-from tierflow.streaming.ingest import TRIGGER_SECONDS, run_streams
+from tierflow.streaming.ingest import TRIGGER_SECONDS, read_summaries, run_streams
 
 
 def main() -> None:
     parser = argparse.ArgumentParser(prog="tierflow", description=__doc__)
-    parser.add_argument("job", choices=["ingest", "silver", "rebuild", "gold", "cycle", "layers"])
+    parser.add_argument("job", choices=["ingest", "silver", "rebuild", "gold", "cycle", "layers", "marts", "live"])
     parser.add_argument("--available-now", action="store_true", help="ingest: catch up, then end")
     args = parser.parse_args()
 
@@ -48,8 +49,18 @@ def main() -> None:
                 print(mart, refresh_mart(spark, lake, feed, mart))
     elif args.job == "cycle":
         run_cycle(spark, lake).show(truncate=False)
-    else:
+    elif args.job == "layers":
         stored_layers(spark, lake).show()
+        gold_catalog(spark, lake).show(truncate=False)
+    elif args.job == "marts":
+        for feed in FEEDS:
+            for mart, df in load_marts(spark, lake, feed).items():
+                print(mart)
+                df.show(truncate=False)
+    else:
+        log = read_summaries(spark, lake)
+        live.header(log).show()
+        live.live_feed(log).show(truncate=60)
     spark.stop()
 
 

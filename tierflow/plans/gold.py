@@ -9,20 +9,34 @@ from tierflow.contracts import MART_SCHEMAS, Feed
 from tierflow.operators.marts import MART_ORDER, MARTS, in_mart_order
 from tierflow.plans.lake import Lake
 from tierflow.plans.silver import Outcome
-from tierflow.sources import snapshots
+from tierflow.sources import files, snapshots
 
 
-def refresh_mart(spark: SparkSession, lake: Lake, feed: Feed, mart: str) -> Outcome:
-    """Recomputes one mart from current Silver.
+def _source_note(path: str, number: int) -> str:
+    return f"{snapshots.snapshot_dir(path, number)}/made_from"
+
+
+def refresh_mart(
+    spark: SparkSession, lake: Lake, feed: Feed, mart: str, force: bool = False
+) -> Outcome:
+    """Recomputes one mart from current Silver, unless it was made from just that version.
 
     Silver is not cached between marts: each reads only the one or two columns it
     needs, which is less than writing the whole table to executor storage would cost.
     """
-    if not snapshots.table_exists(spark, lake.silver(feed)):
+    source = snapshots.version(spark, lake.silver(feed))
+    if source is None:
         return Outcome("skipped", note="no silver table")
-    silver = snapshots.read_table(spark, lake.silver(feed))
-    rows = snapshots.write_table(spark, lake.gold(mart), MARTS[feed.name][mart](silver))
-    snapshots.drop_old_snapshots(spark, lake.gold(mart))
+    path = lake.gold(mart)
+    current = snapshots.latest_snapshot(spark, path)
+    if current is not None and not force:
+        if files.read_text(spark, _source_note(path, current)) == source:
+            return Outcome("skipped", note="silver unchanged")
+    number = snapshots.next_snapshot(spark, path)
+    files.write_text(spark, _source_note(path, number), source)
+    made = MARTS[feed.name][mart](snapshots.read_table(spark, lake.silver(feed)))
+    rows = snapshots.write_table(spark, path, made, number)
+    snapshots.drop_old_snapshots(spark, path)
     return Outcome("ok", rows)
 
 

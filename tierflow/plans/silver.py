@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,8 +14,6 @@ from tierflow.operators.upsert import merge_newest, merge_newest_narrow, merge_r
 from tierflow.plans.lake import Lake
 from tierflow.sources import bronze, files, snapshots
 
-MARKS_SCHEMA = "run string, batch_id bigint"
-
 
 @dataclass(frozen=True)
 class Outcome:
@@ -23,18 +22,16 @@ class Outcome:
     note: str | None = None
 
 
-def _marks_dir(path: str, number: int) -> str:
-    return f"{snapshots.snapshot_dir(path, number)}/marks"
+def _marks_file(path: str, number: int) -> str:
+    return f"{snapshots.snapshot_dir(path, number)}/marks.json"
 
 
 def read_marks(spark: SparkSession, path: str) -> dict[str, int]:
-    """Per run, the last Bronze batch the current snapshot contains. One row per
+    """Per run, the last Bronze batch the current snapshot contains. One entry per
     streaming checkpoint ever used, so small whatever the data volume."""
     number = snapshots.latest_snapshot(spark, path)
-    if number is None:
-        return {}
-    marks = spark.read.schema(MARKS_SCHEMA).parquet(_marks_dir(path, number))
-    return {r["run"]: r["batch_id"] for r in marks.collect()}
+    text = None if number is None else files.read_text(spark, _marks_file(path, number))
+    return json.loads(text) if text else {}
 
 
 def _broadcast_limit(spark: SparkSession) -> int:
@@ -66,10 +63,8 @@ def upsert_table(
         raise ValueError(f"unknown mode {mode!r}")
     number = snapshots.next_snapshot(spark, path)
     here = snapshots.snapshot_dir(path, number)
-    if marks:
-        spark.createDataFrame(list(marks.items()), MARKS_SCHEMA).coalesce(1).write.parquet(
-            _marks_dir(path, number)
-        )
+    marks = read_marks(spark, path) if marks is None else marks
+    files.write_text(spark, _marks_file(path, number), json.dumps(marks))
     if not snapshots.table_exists(spark, path):
         return snapshots.write_table(spark, path, updates, number)
 
@@ -120,8 +115,8 @@ def rebuild_silver(
     if rows is None:
         return Outcome("skipped", note="no bronze table")
     number = snapshots.next_snapshot(spark, path)
-    marks = list(bronze.marks_of(found).items())
-    spark.createDataFrame(marks, MARKS_SCHEMA).coalesce(1).write.parquet(_marks_dir(path, number))
+    marks = bronze.marks_of(found)
+    files.write_text(spark, _marks_file(path, number), json.dumps(marks))
     cleaned = clean(rows.select(*feed.bronze.fieldNames()), feed, as_of)
     n = snapshots.write_table(spark, path, cleaned, number)
     snapshots.drop_old_snapshots(spark, path)

@@ -40,6 +40,32 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def modified_at(spark: SparkSession, path: str) -> int:
+    fs, p = _open(spark, path)
+    return fs.getFileStatus(p).getModificationTime()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, p = _open(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The file's text, or None if there is no such file."""
+    fs, p = _open(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def numbered(spark: SparkSession, path: str, prefix: str) -> list[int]:
     """The numbers n of the ``<prefix>=<n>`` folders in ``path``, ascending."""
     head = f"{prefix}="

@@ -34,6 +34,16 @@ def next_snapshot(spark: SparkSession, path: str) -> int:
     return max(files.numbered(spark, path, "snapshot"), default=0) + 1
 
 
+def version(spark: SparkSession, path: str) -> str | None:
+    """A text that is different for every committed snapshot, also after the table was
+    removed and made anew."""
+    number = latest_snapshot(spark, path)
+    if number is None:
+        return None
+    mark = f"{snapshot_dir(path, number)}/{ROWS}/{files.SUCCESS}"
+    return f"{number}@{files.modified_at(spark, mark)}"
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     return latest_snapshot(spark, path) is not None
 
