@@ -47,10 +47,12 @@ def with_bronze_columns(
     as_of: Column | None = None,
 ) -> DataFrame:
     """Adds topic, ingest time and parsed event time to decoded events."""
-    return (
-        events.withColumn("source_topic", topic)
-        .withColumn("ingestion_timestamp", clock_now(as_of))
-        .withColumn("event_timestamp", parse_instant(F.col("timestamp")))
+    return events.withColumns(
+        {
+            "source_topic": topic,
+            "ingestion_timestamp": clock_now(as_of),
+            "event_timestamp": parse_instant(F.col("timestamp")),
+        }
     )
 
 
@@ -89,7 +91,7 @@ def _text_schema(schema: T.StructType) -> T.StructType:
 
 
 def _judged(raw: DataFrame, feed: Feed) -> DataFrame:
-    """``raw`` with its text, its typed parse and its ``reject_reason``.
+    """``raw`` with its text, typed parse, parsed event time and ``reject_reason``.
 
     A clean record is parsed once, under the typed schema. The second, all-text
     parse that tells a mistyped field from broken JSON is behind a condition and
@@ -101,9 +103,12 @@ def _judged(raw: DataFrame, feed: Feed) -> DataFrame:
         "_typed", F.from_json(F.col("_text"), typed_schema, option)
     )
     complained = F.col("_typed")[_CORRUPT].isNotNull()
-    parsed = parsed.withColumn(
-        "_loose",
-        F.when(complained, F.from_json(F.col("_text"), _text_schema(feed.event), option)),
+    loosely = F.from_json(F.col("_text"), _text_schema(feed.event), option)
+    parsed = parsed.withColumns(
+        {
+            "_loose": F.when(complained, loosely),
+            "_at": parse_instant(F.col("_typed")["timestamp"]),
+        }
     )
 
     typed, loose = F.col("_typed"), F.col("_loose")
@@ -121,7 +126,7 @@ def _judged(raw: DataFrame, feed: Feed) -> DataFrame:
             typed["amount"].isNull() | F.isnan(typed["amount"]), F.lit(BAD_AMOUNT)
         )
     reason = reason.when(
-        typed["timestamp"].isNotNull() & parse_instant(typed["timestamp"]).isNull(),
+        typed["timestamp"].isNotNull() & F.col("_at").isNull(),
         F.lit(BAD_TIMESTAMP),
     )
     return parsed.withColumn("reject_reason", reason).drop("_loose")
@@ -129,7 +134,7 @@ def _judged(raw: DataFrame, feed: Feed) -> DataFrame:
 
 def classify(raw: DataFrame, feed: Feed) -> DataFrame:
     """Adds ``reject_reason``, null for a good record; every record is in one class only."""
-    return _judged(raw, feed).drop("_text", "_typed")
+    return _judged(raw, feed).drop("_text", "_typed", "_at")
 
 
 def decode_checked(
@@ -143,15 +148,15 @@ def decode_checked(
     Broken records so stay traceable in Bronze, from the same parse and the same
     write as the good ones.
     """
-    judged = _judged(raw, feed).select(
-        "_typed.*",
+    return _judged(raw, feed).select(
+        *[F.col("_typed")[name].alias(name) for name in feed.event.fieldNames()],
         F.col("key").cast("string").alias("kafka_key"),
-        (F.col("topic") if topic is None else F.lit(topic)).alias("_topic"),
+        (F.col("topic") if topic is None else F.lit(topic)).alias("source_topic"),
+        clock_now(as_of).alias("ingestion_timestamp"),
+        F.col("_at").alias("event_timestamp"),
         "reject_reason",
         F.when(F.col("reject_reason").isNotNull(), F.col("_text")).alias("rejected_value"),
     )
-    bronze = with_bronze_columns(judged, F.col("_topic"), as_of)
-    return bronze.select(*feed.bronze.fieldNames(), "reject_reason", "rejected_value")
 
 
 def is_excluded(reason: Column) -> Column:
