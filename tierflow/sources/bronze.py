@@ -168,7 +168,10 @@ def compact(
 
 
 def drop_packed_batches(spark: SparkSession, path: str, run: str) -> None:
-    """Deletes live batches that a packed folder already holds."""
+    """Deletes live batches that a packed folder already holds.
+
+    Readers that planned before the packing may still want them: run it a while after.
+    """
     packed = [
         n
         for n in files.numbered(spark, f"{path}/packed/run={run}", "upto")
