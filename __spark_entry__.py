@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from duckdb_queries import oracle_sql  # noqa: E402, F401
-from tierflow.contracts import CLICKS, ORDERS, Feed  # noqa: E402
+from tierflow.contracts import CLICKS, ORDERS  # noqa: E402
 from tierflow.functions import records  # noqa: E402
 from tierflow.operators import clean, layers, live, marts, upsert  # noqa: E402
 from tierflow.plans import cycle, gold, silver  # noqa: E402
@@ -283,7 +283,9 @@ def summary_contract(spark: SparkSession, sf: str) -> DataFrame:
 
     when = F.col("o_orderdate").cast("string").alias("timestamp")
     messages = (
-        good.unionByName(feeds.table(spark, sf, "conversations").select(F.col("text").alias("value")))
+        good.unionByName(
+            feeds.table(spark, sf, "conversations").select(F.col("text").alias("value"))
+        )
         .unionByName(message("part", F.col("p_name").alias("topic")))
         .unionByName(message("supplier", F.col("s_suppkey").alias("batch_id")))
         .unionByName(

@@ -19,7 +19,8 @@ from tierflow.streaming.ingest import TRIGGER_SECONDS, read_summaries, run_strea
 
 def main() -> None:
     parser = argparse.ArgumentParser(prog="tierflow", description=__doc__)
-    parser.add_argument("job", choices=["ingest", "silver", "rebuild", "gold", "cycle", "layers", "marts", "live"])
+    jobs = ["ingest", "silver", "rebuild", "gold", "cycle", "layers", "marts", "live"]
+    parser.add_argument("job", choices=jobs)
     parser.add_argument("--available-now", action="store_true", help="ingest: catch up, then end")
     args = parser.parse_args()
 

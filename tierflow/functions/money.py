@@ -4,9 +4,9 @@ Adding doubles gives a result that changes with the partitioning. Here an amount
 is split into whole cents and the millionths left over, both summed as 64-bit
 integers, and put together once per group. Amounts with up to six decimals
 add up exactly; with the two decimals that orders carry, the second sum stays
-zero. The first holds up to 9e16 currency units per group. Amounts of a billion and more (or infinite ones), which no order should have,
-are added as doubles, so a broken record distorts its own group only
-and cannot overflow the sums of a job.
+zero. The first holds up to 9e16 currency units per group. Amounts of a billion
+and more (or infinite ones), which no order should have, are added as doubles, so
+that a broken record distorts its own group only and does not fail the job.
 """
 
 from __future__ import annotations

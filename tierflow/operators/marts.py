@@ -70,7 +70,8 @@ def status_share(orders: DataFrame) -> DataFrame:
     """
     counts = _count_by(orders, "status", "order_count")
     total = counts.agg(F.sum("order_count")).scalar()
-    return _ranked(counts.withColumn("share", F.col("order_count") / total), "order_count", "status")
+    shares = counts.withColumn("share", F.col("order_count") / total)
+    return _ranked(shares, "order_count", "status")
 
 
 def top_products(revenue: DataFrame, limit: int = 6) -> DataFrame:
