@@ -16,7 +16,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from duckdb_queries import oracle_sql  # noqa: E402, F401
+import duckdb_queries  # noqa: E402
 from tierflow.contracts import CLICKS, ORDERS  # noqa: E402
 from tierflow.functions import records  # noqa: E402
 from tierflow.operators import clean, layers, live, marts, upsert  # noqa: E402
@@ -26,6 +26,11 @@ from tierflow.session import work_dir  # noqa: E402
 from tierflow.sources import bronze, feeds, snapshots, topics  # noqa: E402
 from tierflow.streaming import aggregates, dedup, ingest  # noqa: E402
 
+try:  # the operators for training text can be left out
+    from tierflow.llm import queries as training_text  # noqa: E402
+except ImportError:
+    training_text = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 SLICE_SECONDS = 6 * 3600
 MINUTE = 60
@@ -638,4 +643,10 @@ _QUERIES = [
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {q.__name__: q for q in _QUERIES}
+    found = {q.__name__: q for q in _QUERIES}
+    return found | (training_text.queries() if training_text else {})
+
+
+def oracle_sql() -> dict[str, str]:
+    found = duckdb_queries.oracle_sql()
+    return found | (training_text.oracle_sql() if training_text else {})

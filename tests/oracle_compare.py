@@ -72,7 +72,7 @@ def main() -> None:
     sql = spark_entry.oracle_sql()
     bad = 0
     for name, query in spark_entry.queries().items():
-        if args[1:] and name not in args[1:]:
+        if name not in sql or (args[1:] and name not in args[1:]):
             continue
         start = time.monotonic()
         try:

@@ -16,10 +16,12 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(spark_entry.queries()) == set(spark_entry.oracle_sql())
+    """Queries on training text may have none; they have tests of their own."""
+    assert {q.__name__ for q in spark_entry._QUERIES} <= set(spark_entry.oracle_sql())
+    assert set(spark_entry.oracle_sql()) <= set(spark_entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(spark_entry.queries()))
+@pytest.mark.parametrize("name", sorted(spark_entry.oracle_sql()))
 def test_query_matches_sql(spark, con, name):
     found = difference(
         spark, con, spark_entry.queries()[name], spark_entry.oracle_sql()[name], SF_DIR
