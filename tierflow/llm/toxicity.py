@@ -31,7 +31,7 @@ class Settings:
     """``train_rows``: labelled texts of each class used for training, the first by id hash.
     ``train_chars``: longer texts are left out of training (never out of scoring)."""
 
-    train_rows: int = 4000
+    train_rows: int = 1500
     train_chars: int = 20_000
     buckets: int = 1 << 18
     dims: int = 8
@@ -127,16 +127,25 @@ def train(texts: list[str], labels: list[int], prior: float, s: Settings) -> Mod
     y = np.asarray(labels, float)
     if not len(y) or y.min() == y.max():
         return Model(s, np.zeros(s.buckets), float(np.log(prior / (1 - prior))), prior)
-    tokens = [WORD.findall(t.lower()) for t in texts]
-    kept = [i for i, t in enumerate(tokens) if t]
-    y = y[kept]
     vocabulary: dict[str, int] = {}
-    ids = [np.array([vocabulary.setdefault(w, len(vocabulary)) for w in tokens[i]]) for i in kept]
-    grams, owner = subwords(list(vocabulary), s)
+    number = vocabulary.setdefault
+    ids = [
+        np.array([number(w, len(vocabulary)) for w in WORD.findall(t.lower())], np.int32)
+        for t in texts
+    ]
+    y, ids = y[[len(i) > 0 for i in ids]], [i for i in ids if len(i)]
+    words = list(vocabulary)
+    n_words = len(words)
+    step = 20_000  # words at a time, which bounds the work space
+    parts = [subwords(words[a : a + step], s) for a in range(0, n_words, step)]
+    grams = np.concatenate([g.astype(np.int32) for g, _ in parts])
+    owner = np.concatenate([(o + k * step).astype(np.int32) for k, (_, o) in enumerate(parts)])
+    del vocabulary, words, parts
     order = np.argsort(owner, kind="stable")
     grams, owner = grams[order], owner[order]
-    n_grams = np.maximum(np.bincount(owner, minlength=len(vocabulary)), 1)
-    begins = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(vocabulary)))])
+    del order
+    n_grams = np.maximum(np.bincount(owner, minlength=n_words), 1)
+    begins = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=n_words))])
 
     rng = np.random.default_rng(s.seed)
     params = [
@@ -146,12 +155,12 @@ def train(texts: list[str], labels: list[int], prior: float, s: Settings) -> Mod
     ]
     first = [np.zeros_like(p) for p in params]
     second = [np.zeros_like(p) for p in params]
-    clue = _contrast(ids, y, len(vocabulary))
+    clue = _contrast(ids, y, n_words)
     for epoch in range(s.warm_epochs + s.epochs):
         table_, softmax, bias = params
         if epoch >= s.warm_epochs:
             delta = table_ @ (softmax[:, 1] - softmax[:, 0])
-            clue = np.bincount(owner, delta[grams], len(vocabulary)) / n_grams
+            clue = np.bincount(owner, delta[grams], n_words) / n_grams
         spans = [_worst_span(clue[i], s.window) for i in ids]
         word = np.concatenate([i[a:b] for i, (a, b) in zip(ids, spans, strict=True)])
         bag = np.repeat(np.arange(len(ids)), [b - a for a, b in spans])
