@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tierflow.llm.best_fit import op5_best_fit_packing
 from tierflow.llm.decontaminate import op8_benchmark_decontamination
+from tierflow.llm.packed_ids import op3_packed_token_ids
 from tierflow.llm.toxicity import op10_toxicity
 from tierflow.llm.urls import op9_url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_packed_token_ids": op3_packed_token_ids,
+        "op5_best_fit_packing": op5_best_fit_packing,
         "op8_benchmark_decontamination": op8_benchmark_decontamination,
         "op9_url_filter": op9_url_filter,
         "op10_toxicity": op10_toxicity,
