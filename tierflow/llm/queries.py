@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tierflow.llm.best_fit import op5_best_fit_packing
 from tierflow.llm.decontaminate import op8_benchmark_decontamination
+from tierflow.llm.embedding_links import op6_embedding_links
+from tierflow.llm.language_model import op2_language_model_scores
+from tierflow.llm.near_duplicates import op4_near_duplicates
 from tierflow.llm.packed_ids import op3_packed_token_ids
 from tierflow.llm.toxicity import op10_toxicity
 from tierflow.llm.urls import op9_url_filter
@@ -15,8 +18,11 @@ from tierflow.llm.urls import op9_url_filter
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_language_model_scores": op2_language_model_scores,
         "op3_packed_token_ids": op3_packed_token_ids,
+        "op4_near_duplicates": op4_near_duplicates,
         "op5_best_fit_packing": op5_best_fit_packing,
+        "op6_embedding_links": op6_embedding_links,
         "op8_benchmark_decontamination": op8_benchmark_decontamination,
         "op9_url_filter": op9_url_filter,
         "op10_toxicity": op10_toxicity,
