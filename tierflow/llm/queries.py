@@ -12,12 +12,14 @@ from tierflow.llm.embedding_links import op6_embedding_links
 from tierflow.llm.language_model import op2_language_model_scores
 from tierflow.llm.near_duplicates import op4_near_duplicates
 from tierflow.llm.packed_ids import op3_packed_token_ids
+from tierflow.llm.suffix_dedup import op1_suffix_dedup
 from tierflow.llm.toxicity import op10_toxicity
 from tierflow.llm.urls import op9_url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_suffix_dedup": op1_suffix_dedup,
         "op2_language_model_scores": op2_language_model_scores,
         "op3_packed_token_ids": op3_packed_token_ids,
         "op4_near_duplicates": op4_near_duplicates,
