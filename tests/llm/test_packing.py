@@ -22,6 +22,8 @@ TEXTS = [
     "",
     "\n\t ",
     "a'll b'S c're",
+    "no., yes... a.b 1.5, x,.y (z). _. q_ end.\u0301 \u03a3. \u00bd, \u00b2.",
+    "Word, word. WORD's, d'Or. l'\u00e9t\u00e9, 3.14.",
 ]
 ROWS = [(i, t, "x") for i, t in enumerate(TEXTS)] + [(None, None, "x"), (0, TEXTS[0], "x"), (9, "word " * 700, "x")]
 SCHEMA = "doc_id long, text string, piece string"
