@@ -26,7 +26,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tierflow.llm.components import components
-from tierflow.llm.tables import stored, table, texts_of
+from tierflow.llm.tables import free_name, numbered, stored, table, texts_of
 from tierflow.llm.words import mix, shingle_hashes, word_hashes
 
 _U = np.uint64
@@ -269,6 +269,14 @@ def near_duplicates(documents: DataFrame, s: Settings = Settings()) -> DataFrame
     )
 
 
+def without_copies(documents: DataFrame, s: Settings = Settings()) -> DataFrame:
+    """All columns of the rows that stay: one row of each group."""
+    row = free_name(documents, "_row")
+    found = near_duplicates(texts_of(documents), s)
+    gone = stored(found.where("NOT kept").select(F.col("_row").alias(row)), "copies")
+    return numbered(documents, row).join(gone, row, "left_anti").drop(row)
+
+
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc_id, class_id, group_id, kept``: ids of the first rows of class and group."""
     documents = texts_of(table(spark, sf_dir, "documents"))

@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from tierflow.llm.best_fit import op5_best_fit_packing
 from tierflow.llm.decontaminate import op8_benchmark_decontamination
 from tierflow.llm.embedding_links import op6_embedding_links
+from tierflow.llm.html_extraction import op7_html_extraction
 from tierflow.llm.language_model import op2_language_model_scores
 from tierflow.llm.near_duplicates import op4_near_duplicates
 from tierflow.llm.packed_ids import op3_packed_token_ids
@@ -25,9 +27,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_near_duplicates": op4_near_duplicates,
         "op5_best_fit_packing": op5_best_fit_packing,
         "op6_embedding_links": op6_embedding_links,
+        "op7_html_extraction": op7_html_extraction,
         "op8_benchmark_decontamination": op8_benchmark_decontamination,
         "op9_url_filter": op9_url_filter,
         "op10_toxicity": op10_toxicity,
+        "pipeline": corpus_pipeline.run,
     }
 
 

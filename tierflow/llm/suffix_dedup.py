@@ -27,12 +27,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow.llm.tables import numbered, stored, table
+from tierflow.llm.tables import free_name, numbered, stored, table
 from tierflow.llm.words import _BYTE, _Powers, mix
 
 _U = np.uint64
@@ -328,5 +329,51 @@ def remove_repeats(documents: DataFrame, s: Settings = Settings()) -> DataFrame:
     )
 
 
+def whole_characters(data: bytes, gone: list[tuple[int, int]]) -> bytes:
+    """``data`` without the ranges, of which characters that are cut in part stay whole."""
+    edges = [0]
+    for a, b in gone:
+        while a < b and data[a] & 0xC0 == 0x80:
+            a += 1
+        while a < b < len(data) and data[b] & 0xC0 == 0x80:
+            b -= 1
+        edges += [a, b]
+    edges.append(len(data))
+    return b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
+
+
+def without_repeats(documents: DataFrame, s: Settings = Settings()) -> DataFrame:
+    """All rows and columns, with the repeated strings cut out of ``text``.
+
+    A character of which not all bytes are repeated stays. ``n_chars``, if there is such a
+    column, follows the text. No row is dropped, not even one that is left without text.
+    """
+    row = free_name(documents, "_row")
+    rows = numbered(documents, row)
+    data = byte_rows(rows.select(F.col(row).alias("_row"), "text"))
+    gone = stored(cut(data, repeated_runs(data, s), s), "cut")
+    starts, ends = free_name(documents, "_starts"), free_name(documents, "_ends")
+    gone = gone.select(F.col("_row").alias(row), F.col("starts").alias(starts), F.col("ends").alias(ends))
+    columns, schema = documents.columns, documents.schema
+    at = columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            arrays = batch.select(columns).columns
+            texts = arrays[at].to_pylist()
+            cuts = zip(batch.column(starts).to_pylist(), batch.column(ends).to_pylist(), strict=True)
+            for i, (a, b) in enumerate(cuts):
+                if a is not None:
+                    texts[i] = whole_characters(texts[i].encode(), list(zip(a, b, strict=True))).decode()
+            arrays[at] = pa.array(texts, arrays[at].type)
+            yield pa.RecordBatch.from_arrays(arrays, columns)
+
+    cleaned = rows.join(gone, row, "left").drop(row).mapInArrow(run, schema)
+    if "n_chars" in columns:
+        kind = schema["n_chars"].dataType
+        cleaned = cleaned.withColumn("n_chars", F.coalesce(F.length("text"), "n_chars").cast(kind))
+    return cleaned.select(columns)
+
+
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))

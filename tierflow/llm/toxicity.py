@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -267,6 +268,19 @@ def score(documents: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     return rows.mapInPandas(run, schema)
 
 
+def without_toxic(documents: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``documents``, all columns, whose text scores below one half."""
+    shared = documents.sparkSession.sparkContext.broadcast(model)
+    at = documents.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t or "" for t in batch.column(at).to_pylist()]
+            yield batch.filter(pa.array(shared.value.scores(texts) < 0.5))
+
+    return documents.mapInArrow(run, documents.schema)
+
+
 def toxicity(documents: DataFrame, labels: DataFrame, s: Settings = Settings()) -> DataFrame:
     """``doc_id, held_out, score, predicted`` for every row.
 
