@@ -104,18 +104,31 @@ class Words:
 
 @dataclass
 class Bayes:
-    """Multinomial naive Bayes with add-one counts; ``score`` > 0 means block."""
+    """Multinomial naive Bayes; ``score`` > 0 means block.
+
+    Both classes start from ``mass`` tokens of the word model, the unwanted one with half
+    of them spread over the words that name unwanted trades, of which the weak ones get
+    a twentieth. So counts of a small table do not outweigh what is known beforehand.
+    """
 
     prior: float
     weight: dict[str, float]
 
     @classmethod
-    def from_counts(cls, counts: dict[str, tuple[int, int]], hosts: tuple[int, int]) -> Bayes:
-        totals = [sum(c[k] for c in counts.values()) + len(counts) + 1 for k in (0, 1)]
-        weight = {
-            w: math.log((c[1] + 1) / totals[1]) - math.log((c[0] + 1) / totals[0])
-            for w, c in counts.items()
-        }
+    def from_counts(
+        cls, counts: dict[str, tuple[int, int]], hosts: tuple[int, int], words: Words, mass: float = 200.0
+    ) -> Bayes:
+        share = {w: 0.05 if w in WEAK else 1.0 for w in UNWANTED}
+        named = sum(share.values())
+        totals = [sum(c[k] for c in counts.values()) + mass for k in (0, 1)]
+        weight = {}
+        for w, logp in words.logp.items():
+            good, bad = counts.get(w, (0, 0))
+            usual = math.exp(logp)
+            unwanted = (usual + share.get(w, 0.0) / named) / 2
+            weight[w] = math.log((bad + mass * unwanted) / totals[1]) - math.log(
+                (good + mass * usual) / totals[0]
+            )
         return cls(math.log((hosts[1] + 1) / (hosts[0] + 1)), weight)
 
     def score(self, tokens: list[str]) -> float:
@@ -170,7 +183,8 @@ class Filter:
         return self._split(host)
 
     def blocks(self, host: str, path: str) -> bool:
-        return self.bayes.score(self.host_tokens(host) + tokens(path, self.words)) > 0
+        """A url without host has nothing to be judged by and passes."""
+        return bool(host) and self.bayes.score(self.host_tokens(host) + tokens(path, self.words)) > 0
 
 
 def weak_label(found: list[str], unwanted=frozenset(UNWANTED), weak=WEAK) -> int:
@@ -178,48 +192,34 @@ def weak_label(found: list[str], unwanted=frozenset(UNWANTED), weak=WEAK) -> int
     return int(bool(named - weak) or len(named) > 1)
 
 
-def fit(pages: DataFrame, words: Words, min_hosts: int = 1) -> Bayes:
-    """Counts host tokens over all distinct hosts, and path tokens of all pages, by class.
-
-    Counting runs in Spark: a frequent host counts once. The seed words themselves are
-    counted as one host each, so that a table without any of them can still be judged.
-    """
+def fit(pages: DataFrame, words: Words) -> Bayes:
+    """Counts host and path words by class, in Spark. A word counts once for each host that
+    has it, however many pages the host has."""
     spark = pages.sparkSession
-    split = spark.sparkContext.broadcast(words)  # one vocabulary
+    model = spark.sparkContext.broadcast(Filter(words, Bayes(0.0, {})))  # one vocabulary
 
-    def host_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def url_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
-            for host in batch["host"]:
-                found = tokens(host, split.value)
+            rows: dict[tuple[str, str, int], None] = {}
+            for host, path in zip(batch["host"], batch["path"], strict=True):
+                found = model.value.host_tokens(host)
                 label = weak_label(found)
-                rows += [(t, label, False) for t in found] + [("", label, True)]
-            yield pd.DataFrame(rows, columns=["token", "label", "is_host"])
+                for token in ("", *found, *tokens(path, model.value.words)):
+                    rows[host, token, label] = None
+            yield pd.DataFrame(list(rows), columns=["host", "token", "label"])
 
-    hosts = pages.select(host_of(F.col("url")).alias("host")).where("host <> ''").distinct()
+    url = F.col("url")
+    rows = pages.select(host_of(url).alias("host"), path_of(url).alias("path")).where("host <> ''")
     counted = (
-        hosts.mapInPandas(host_words, "token string, label int, is_host boolean")
-        .groupBy("token", "is_host")
-        .agg(
-            F.sum(1 - F.col("label")).alias("good"),
-            F.sum("label").alias("bad"),
-        )
-        .where((F.col("good") + F.col("bad") >= min_hosts))
+        rows.mapInPandas(url_words, "host string, token string, label int")
+        .distinct()
+        .groupBy("token")
+        .agg(F.sum(1 - F.col("label")).alias("good"), F.sum("label").alias("bad"))
     )
-    counts: dict[str, tuple[int, int]] = {}
-    n_hosts = (0, 0)
-    # Tokens that a class can turn on: all of its words known to the vocabulary (bounded by it).
-    known = spark.createDataFrame([(w,) for w in words.logp], "token string")
-    kept = counted.join(known, "token", "left_semi").unionByName(counted.where("is_host"))
-    for r in kept.collect():
-        if r["is_host"]:
-            n_hosts = (r["good"], r["bad"])
-        else:
-            counts[r["token"]] = (r["good"], r["bad"])
-    for word in UNWANTED:
-        good, bad = counts.get(word, (0, 0))
-        counts[word] = (good, bad + (1 if word in WEAK else 5))
-    return Bayes.from_counts(counts, n_hosts)
+    # Words of the vocabulary and the line of the hosts themselves: bounded by the vocabulary.
+    known = spark.createDataFrame([(w,) for w in [*words.logp, ""]], "token string")
+    counts = {r["token"]: (r["good"], r["bad"]) for r in counted.join(known, "token", "left_semi").collect()}
+    return Bayes.from_counts(counts, counts.pop("", (0, 0)), words)
 
 
 def judge(pages: DataFrame, vocabulary: str, rules=RULES) -> DataFrame:
@@ -239,7 +239,7 @@ def judge(pages: DataFrame, vocabulary: str, rules=RULES) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             says = [
-                v if isinstance(v, str) else ("block" if h and model.value.blocks(h, p) else "allow")
+                v if isinstance(v, str) else ("block" if model.value.blocks(h, p) else "allow")
                 for h, p, v in zip(batch["host"], batch["path"], batch["verdict"], strict=True)
             ]
             yield batch.assign(verdict=says)
