@@ -35,14 +35,16 @@ _U = np.uint64
 @dataclass(frozen=True)
 class Settings:
     """``bands`` of ``rows`` registers; 32 of 5 miss a pair at 0.8 three times in a million.
-    ``weights``: a shingle's weight is its ``count`` in the text, or 1 by ``presence``."""
+    ``agreement``: share of all registers that candidates have in common at least; a pair
+    at 0.8 has less than 0.65 of 160 once in a million times. ``weights``: a shingle's weight is its ``count`` in the text, or 1 by ``presence``."""
 
     shingle: int = 5
     similarity: float = 0.8
     bands: int = 32
     rows: int = 5
+    agreement: float = 0.65
     weights: str = "count"
-    batch_bytes: int = 1 << 22
+    batch_bytes: int = 1 << 20
 
 
 def weighted_shingles(texts: list[str], s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -123,8 +125,8 @@ def _slices(texts: list[str], size: int) -> Iterator[slice]:
 
 
 def sign(rows: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """``(_row, doc_id, hi, lo, bands)``: a digest of the weighted shingles and the band
-    hashes; null where a text has no words."""
+    """``(_row, doc_id, hi, lo, bands, sketch)``: a digest of the weighted shingles, the band
+    hashes, and a byte of each register; null where a text has no words."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -136,26 +138,32 @@ def sign(rows: DataFrame, s: Settings = Settings()) -> DataFrame:
                 for k in range(s.rows):
                     key = mix(key * _U(3) + found[:, k :: s.rows] + _U(k))
                 key = mix(key + np.arange(s.bands, dtype=_U))
-                digests, bands = [], []
+                digests, bands, sketches = [], [], []
+                low = found.astype(np.uint8)
                 for i, (a, b) in enumerate(zip(at[:-1], at[1:], strict=True)):
                     if a == b:
                         digests.append((None, None))
                         bands.append(None)
+                        sketches.append(None)
                         continue
                     digest = xxhash.xxh3_128(value[a:b].tobytes() + weight[a:b].tobytes()).digest()
                     digests.append(tuple(np.frombuffer(digest, np.int64).tolist()))
                     bands.append(_long(key[i]))
+                    sketches.append(low[i].tobytes())
                 out = batch.iloc[part][["_row", "doc_id"]].reset_index(drop=True)
                 out["hi"] = pd.array([d[0] for d in digests], "Int64")
                 out["lo"] = pd.array([d[1] for d in digests], "Int64")
                 out["bands"] = bands
+                out["sketch"] = sketches
                 yield out
 
-    return rows.mapInPandas(run, "_row long, doc_id long, hi long, lo long, bands array<long>")
+    return rows.mapInPandas(
+        run, "_row long, doc_id long, hi long, lo long, bands array<long>, sketch binary"
+    )
 
 
 def shingles(rows: DataFrame, s: Settings) -> DataFrame:
-    """``(class, shingles)``: sorted hashes and weights as bytes."""
+    """``(class, shingles)``: sorted hashes as bytes, and weights if they are not all one."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -163,15 +171,22 @@ def shingles(rows: DataFrame, s: Settings) -> DataFrame:
             for part in _slices(texts, s.batch_bytes):
                 value, weight, at = weighted_shingles(texts[part], s)
                 packed = [
-                    value[a:b].tobytes() + weight[a:b].tobytes()
-                    for a, b in zip(at[:-1], at[1:], strict=True)
+                    _packed(value[a:b], weight[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)
                 ]
                 yield pd.DataFrame({"class": batch["_row"].iloc[part].to_numpy(), "shingles": packed})
 
     return rows.select("_row", "text").mapInPandas(run, "class long, shingles binary")
 
 
+def _packed(value: np.ndarray, weight: np.ndarray) -> bytes:
+    plain = (weight == 1).all()
+    return bytes([plain]) + value.tobytes() + (b"" if plain else weight.tobytes())
+
+
 def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    plain, data = data[0], data[1:]
+    if plain:
+        return np.frombuffer(data, _U), np.ones(len(data) // 8)
     half = len(data) // 2
     return np.frombuffer(data[:half], _U), np.frombuffer(data[half:])
 
@@ -187,11 +202,29 @@ def verify(pairs: DataFrame, lists: DataFrame, s: Settings) -> DataFrame:
             ]
             yield batch.loc[keep, ["centre", "class"]]
 
+    # Only the lists that these pairs name are shuffled.
+    ours = lists.join(pairs.select("class").distinct(), "class", "left_semi")
     theirs = lists.select(F.col("class").alias("centre"), F.col("shingles").alias("theirs"))
-    joined = pairs.join(lists, "class").join(theirs, "centre")
+    theirs = theirs.join(pairs.select("centre").distinct(), "centre", "left_semi")
+    joined = pairs.join(ours, "class").join(theirs, "centre")
     return joined.select("centre", "class", "theirs", "shingles").mapInPandas(run, "centre long, class long")
 
 
+def agreeing(pairs: DataFrame, sketches: DataFrame, s: Settings) -> DataFrame:
+    """The pairs whose registers agree often enough to be worth reading their shingles."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                a, b = (np.frombuffer(b"".join(batch[c]), np.uint8) for c in ("theirs", "sketch"))
+                share = (a == b).reshape(len(batch), -1).mean(1)
+                yield batch.loc[share >= s.agreement, ["centre", "class"]]
+
+    theirs = sketches.select(F.col("class").alias("centre"), F.col("sketch").alias("theirs"))
+    joined = pairs.join(sketches, "class").join(theirs, "centre")
+    return joined.select("centre", "class", "theirs", "sketch").mapInPandas(run, "centre long, class long")
+
+
 def _candidates(buckets: DataFrame, after: int, n: int) -> DataFrame:
     """Pairs of the bucket's centres, the ``after``-th class on and ``n`` of them, with all
     classes behind them that are in another component."""
@@ -207,12 +240,14 @@ def _candidates(buckets: DataFrame, after: int, n: int) -> DataFrame:
 
 
 def linked_classes(documents: DataFrame, reps: DataFrame, s: Settings) -> DataFrame:
-    """``(node, component)`` of all classes that have a link. ``reps``: ``(class, bands)``."""
+    """``(node, component)`` of all classes that have a link. ``reps``: ``(class, bands, sketch)``."""
     banded = reps.select("class", F.explode("bands").alias("bucket"))
     several = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
     buckets = stored(banded.join(several, "bucket").select("bucket", "class"), "buckets")
-    involved = buckets.select(F.col("class").alias("_row")).distinct()
-    lists = stored(shingles(documents.join(involved, "_row"), s), "shingles")
+    involved = buckets.select("class").distinct()
+    sketches = stored(reps.select("class", "sketch").join(involved, "class"), "sketches")
+    rows = involved.select(F.col("class").alias("_row"))
+    lists = stored(shingles(documents.join(rows, "_row"), s), "shingles")
     open_buckets = buckets.withColumn("component", F.col("class"))
     links, done, n = None, 0, 1
     while True:
@@ -221,7 +256,8 @@ def linked_classes(documents: DataFrame, reps: DataFrame, s: Settings) -> DataFr
             if links is None:
                 return buckets.select(F.col("class").alias("node"), F.col("class").alias("component")).limit(0)
             return groups
-        new = stored(verify(pairs, lists, s), "links")
+        close = stored(agreeing(pairs, sketches, s), "close")
+        new = stored(verify(close, lists, s), "links")
         links = new if links is None else links.unionByName(new)
         groups = stored(components(links, "centre", "class"), "components")
         labelled = (
@@ -235,7 +271,7 @@ def linked_classes(documents: DataFrame, reps: DataFrame, s: Settings) -> DataFr
             .select("bucket")
         )
         open_buckets = stored(labelled.join(mixed, "bucket"), "open")
-        done, n = done + n, 4 * n
+        done, n = done + n, 16 * n
 
 
 def near_duplicates(documents: DataFrame, s: Settings = Settings()) -> DataFrame:
@@ -250,14 +286,14 @@ def near_duplicates(documents: DataFrame, s: Settings = Settings()) -> DataFrame
     worded = signed.where("bands IS NOT NULL")
     classes = stored(worded.groupBy("hi", "lo").agg(F.min("_row").alias("class")), "classes")
     reps = worded.join(classes.select(F.col("class").alias("_row")), "_row").select(
-        F.col("_row").alias("class"), "bands"
+        F.col("_row").alias("class"), "bands", "sketch"
     )
     groups = linked_classes(documents, reps, s)
     members = classes.join(groups, F.col("class") == F.col("node"), "left").select(
         "hi", "lo", "class", F.coalesce("component", "class").alias("group_row")
     )
     return (
-        signed.drop("bands")
+        signed.drop("bands", "sketch")
         .join(members, ["hi", "lo"], "left")
         .select(
             "_row",

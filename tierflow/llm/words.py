@@ -7,7 +7,7 @@ import numpy as np
 _U = np.uint64
 BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2**64
 _INVERSE = pow(BASE, -1, 1 << 64)
-SLICE_BYTES = 1 << 22
+SLICE_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
