@@ -179,7 +179,7 @@ def shingles(rows: DataFrame, s: Settings) -> DataFrame:
 
 
 def _packed(value: np.ndarray, weight: np.ndarray) -> bytes:
-    plain = (weight == 1).all()
+    plain = bool((weight == 1).all())
     return bytes([plain]) + value.tobytes() + (b"" if plain else weight.tobytes())
 
 
