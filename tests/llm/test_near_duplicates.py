@@ -38,7 +38,8 @@ def brute(texts, threshold=0.8):
 
     for i in range(len(texts)):
         for j in range(i):
-            if similarity(bags[i], bags[j]) >= threshold:
+            common, union = bags[i].keys() & bags[j].keys(), bags[i].keys() | bags[j].keys()
+            if common and max(similarity(bags[i], bags[j]), len(common) / len(union)) >= threshold:
                 a, b = sorted((find(i), find(j)))
                 root[b] = a
     return [find(i) for i in range(len(texts))]

@@ -108,6 +108,18 @@ def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, n
     return float((1 / (above / u + below / v)).sum())
 
 
+def alike(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], s: Settings) -> bool:
+    """Whether two lists are similar enough, by weights or as plain sets of shingles.
+
+    The two differ where a text repeats itself. Both are asked, so that neither a repeated
+    line nor its missing repeats hide a near copy.
+    """
+    if probability_jaccard(a, b) >= s.similarity - 1e-12:
+        return True
+    common = len(np.intersect1d(a[0], b[0], assume_unique=True))
+    return common >= (s.similarity - 1e-12) * (len(a[0]) + len(b[0]) - common)
+
+
 def _long(x: np.ndarray) -> np.ndarray:
     return x.astype(_U).view(np.int64)
 
@@ -197,7 +209,7 @@ def verify(pairs: DataFrame, lists: DataFrame, s: Settings) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             keep = [
-                probability_jaccard(_unpacked(a), _unpacked(b)) >= s.similarity - 1e-12
+                alike(_unpacked(a), _unpacked(b), s)
                 for a, b in zip(batch["theirs"], batch["shingles"], strict=True)
             ]
             yield batch.loc[keep, ["centre", "class"]]
