@@ -212,6 +212,19 @@ def events_per_device(spark: SparkSession, sf: str) -> DataFrame:
     return marts.events_per_device(silver_clicks(spark, sf))
 
 
+def revenue_of_any_size(spark: SparkSession, sf: str) -> DataFrame:
+    """Order prices as they are, in ten millions (a billion and more), and in hundred
+    millionths of the customer number, summed up exactly."""
+    orders = feeds.table(spark, sf, "orders")
+
+    def part(amount) -> DataFrame:
+        return orders.select(F.col("o_orderpriority").alias("product"), amount.alias("amount"))
+
+    price = F.col("o_totalprice")
+    rows = part(price).unionByName(part(price * 1e7)).unionByName(part(F.col("o_custkey") / 1e8))
+    return marts.revenue_per_product(rows)
+
+
 def status_share(spark: SparkSession, sf: str) -> DataFrame:
     return marts.status_share(silver_lines(spark, sf))
 
@@ -607,6 +620,7 @@ _QUERIES = [
     revenue_per_product,
     orders_by_status,
     revenue_per_minute,
+    revenue_of_any_size,
     top_pages,
     top_actions,
     events_per_device,

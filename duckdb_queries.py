@@ -132,6 +132,24 @@ TOP_PAGES = f"{_count_by('page', 'views', CLICKS)} ORDER BY views DESC, page LIM
 REVENUE_PER_PRODUCT = _revenue_per_product(SILVER_LINES)
 
 
+def _two_decimals(cents: str) -> str:
+    """Cents as the nearest double, by way of their text."""
+    return f"(({cents} // 100)::VARCHAR || '.' || lpad(({cents} % 100)::VARCHAR, 2, '0'))::DOUBLE"
+
+
+# Every amount as the decimal that it is written as, in units of 1e-8.
+ANY_SIZE = f"""
+    SELECT product, {_two_decimals("((2 * s + 1000000) // 2000000)")} AS total_revenue,
+           n AS order_count,
+           {_two_decimals("((2 * s + 1000000 * n) // (2000000 * n))")} AS avg_order_value
+    FROM (SELECT product, count(*) AS n,
+                 sum(replace(amount::VARCHAR::DECIMAL(38,8)::VARCHAR, '.', '')::HUGEINT)::HUGEINT AS s
+          FROM (SELECT o_orderpriority AS product, o_totalprice AS amount FROM orders
+                UNION ALL SELECT o_orderpriority, o_totalprice * 1e7::DOUBLE FROM orders
+                UNION ALL SELECT o_orderpriority, o_custkey / 1e8::DOUBLE FROM orders)
+          GROUP BY product)"""
+
+
 def _json_object(pairs: list[tuple[str, str]], numbers: tuple[str, ...] = ()) -> str:
     parts = []
     for name, value in pairs:
@@ -250,6 +268,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT 'clean_clicks', 2 * n, n, 0, n FROM (SELECT count(*) AS n FROM ({CLICKS}))""",
         "revenue_per_product": REVENUE_PER_PRODUCT,
         "orders_by_status": _orders_by_status(SILVER_LINES),
+        "revenue_of_any_size": ANY_SIZE,
         "revenue_per_minute": _revenue_per_minute(SILVER_PURCHASES),
         "top_pages": TOP_PAGES,
         "top_actions": _count_by("action", "events", CLICKS),

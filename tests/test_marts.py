@@ -1,5 +1,8 @@
 """Gold marts."""
 
+import math
+from decimal import ROUND_HALF_UP, Decimal
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -49,8 +52,15 @@ INF = float("inf")
         ([0.004] * 10, (0.04, 0.0)),
         ([5.0, -5.0], (0.0, 0.0)),
         ([999_999_999.99, 0.01], (1e9, 5e8)),
-        ([1e300, 1.0], (1e300, 5e299)),
+        ([1e9] * 8 + [0.3], (8_000_000_000.3, 888_888_888.92)),
+        ([3e15, 0.25, 3e15, 0.01], (6_000_000_000_000_000.0, 1_500_000_000_000_000.06)),
+        ([1e-7] * 100_000, (0.01, 0.0)),
+        ([0.005, 1e-8], (0.01, 0.0)),
+        ([-0.005], (-0.01, -0.01)),
+        ([1e19, 0.01], (1e19, 5e18)),
+        ([1e300, 1.0], (INF, INF)),
         ([INF], (INF, INF)),
+        ([-1e20, 5.0], (-INF, -INF)),
     ],
 )
 def test_sums_and_means_round_half_away_from_zero(spark, amounts, expected):
@@ -66,11 +76,28 @@ def test_sum_does_not_depend_on_partitioning(spark):
     assert {sum_and_mean(df.repartition(n)) for n in (1, 3, 8)} == {(500_500.0, 5.01)}
 
 
+@pytest.mark.parametrize("scale", [1e-7, 0.01, 1.0, 1e9, 3e15])
+def test_sum_is_exact_for_amounts_of_any_size(spark, scale):
+    """Like an exact decimal sum, however the rows are spread."""
+    amounts = [i % 97 * scale + i % 7 / 10 for i in range(3000)]
+    exact = sum(Decimal(repr(a)).quantize(Decimal("1e-8"), ROUND_HALF_UP) for a in amounts)
+    want = float(exact.quantize(Decimal("0.01"), ROUND_HALF_UP))
+    mean = float((exact / 3000).quantize(Decimal("0.01"), ROUND_HALF_UP))
+    df = spark.createDataFrame([(a,) for a in amounts], "amount double")
+    assert {sum_and_mean(df.repartition(n)) for n in (1, 3, 7)} == {(want, mean)}
+
+
+def test_nan_and_both_infinities_have_no_sum(spark):
+    for amounts in ([float("nan"), 1.0], [1e20, -1e20]):
+        got = sum_and_mean(spark.createDataFrame([(a,) for a in amounts], "amount double"))
+        assert all(math.isnan(x) for x in got)
+
+
 def test_sums_hold_beyond_64_bit_millionths(spark):
     """A trillion rows of 2499.99, from the partial sums of ten thousand tasks."""
     parts = spark.createDataFrame(
-        [(249_999 * 10**8, 0, None, 10**8)] * 10_000,
-        "_cents bigint, _millionths bigint, _huge double, n bigint",
+        [(0, 249_999 * 10**8, None, None, 10**8)] * 10_000,
+        "_high bigint, _low bigint, _fine decimal(38,8), _beyond double, n bigint",
     )
     merged = parts.agg(*[F.sum(c).alias(c) for c in (*money.SUM_COLUMNS, "n")])
     got = merged.select(money.total(), money.mean("n")).first()

@@ -1,12 +1,14 @@
-"""Money sums that do not depend on row order.
-
-Adding doubles gives a result that changes with the partitioning. Here an amount
-is split into whole cents and the millionths left over, both summed as 64-bit
-integers, and put together once per group. Amounts with up to six decimals
-add up exactly; with the two decimals that orders carry, the second sum stays
-zero. The first holds up to 9e16 currency units per group. Amounts of a billion
-and more (or infinite ones), which no order should have, are added as doubles, so
-that a broken record distorts its own group only and does not fail the job.
+"""Exact money sums.
+
+Adding doubles gives a result that changes with the partitioning. Here every amount counts
+as the decimal number that it is written as, to eight decimals, and all are added exactly.
+An amount of whole cents, the usual case, is added as an integer in two parts, which
+costs little and holds a billion rows of the largest such amount; any other amount is
+added as a decimal. Both denote the same number, so nothing depends on which way a row went.
+
+Amounts of 1e20 and more count as infinite: a group with one has an infinite total, with
+both signs of it, or with a NaN, the total is NaN. Null amounts are skipped; a group of
+nothing else has no total.
 """
 
 from __future__ import annotations
@@ -14,46 +16,63 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-HUGE = 1e9
-_MILLIONTHS_PER_CENT = 10_000
+BEYOND = 1e20
+# Up to here a double holds whole cents, and the product with 100 is exact enough to find them.
+_CENTS_BOUND = 9e13
+_LOW = 1_000_000
 
-SUM_COLUMNS = ("_cents", "_millionths", "_huge")
+SUM_COLUMNS = ("_high", "_low", "_fine", "_beyond")
 
 
 def sums(amount: Column) -> list[Column]:
-    """The three aggregates, named as in ``SUM_COLUMNS``; partial sums merge by adding."""
-    small = F.when(F.abs(amount) < HUGE, amount)
+    """The aggregates, named as in ``SUM_COLUMNS``; partial sums merge by adding."""
+    amount = amount.cast("double")
     # floor, not round: rounding a double goes through decimal text for every row.
-    cents = F.floor(small * 100 + 0.5)
-    millionths = F.floor(small * 1_000_000 + 0.5) - cents * _MILLIONTHS_PER_CENT
-    huge = F.when(F.abs(amount) >= HUGE, amount)
-    return [
-        F.sum(part).alias(name) for part, name in zip((cents, millionths, huge), SUM_COLUMNS)
-    ]
+    cents = F.when(F.abs(amount) < _CENTS_BOUND, F.floor(amount * 100 + 0.5))
+    whole = cents.cast("double") / 100.0 == amount
+    in_cents = F.when(whole, cents)
+    low = F.pmod(in_cents, F.lit(_LOW))
+    high = F.call_function("div", in_cents - low, F.lit(_LOW))
+    fine = F.when(
+        ~F.coalesce(whole, F.lit(False)) & (F.abs(amount) < BEYOND),
+        amount.try_cast("decimal(28,8)"),
+    )
+    infinite = F.when(amount > 0, float("inf")).otherwise(float("-inf"))
+    beyond = F.when(F.isnan(amount), float("nan")).when(F.abs(amount) >= BEYOND, infinite)
+    parts = (high, low, fine, beyond)
+    return [F.sum(part).alias(name) for part, name in zip(parts, SUM_COLUMNS)]
+
+
+_EXACT = (
+    "(cast(coalesce(_high, 0L) AS decimal(20,0)) * 10000BD"
+    " + cast(coalesce(_low, 0L) AS decimal(20,0)) * 0.01BD"
+    " + cast(coalesce(_fine, 0BD) AS decimal(36,8)))"
+)
 
 
 def _rounded(n: str) -> str:
-    """SQL for the group's exact sum over ``n``, halves rounded away from zero.
+    """SQL for the exact sum over ``n`` with two decimals, halves rounded away from zero.
 
-    The cents are divided first and only the remainder is taken to millionths, so
-    every step stays within 64 bits however large the sum is.
+    The remainder by a hundredth of ``n`` is exact and what is left divides evenly, so no
+    step but the last rounds.
     """
-    unit = f"({n} * {_MILLIONTHS_PER_CENT}L)"
-    rest = f"pmod(_cents, {n})"
-    fine = f"({rest} * {_MILLIONTHS_PER_CENT}L + _millionths)"
-    above = f"pmod({fine}, {unit})"
-    floor = f"((_cents - {rest}) div {n} + ({fine} - {above}) div {unit})"
-    up = f"if({floor} >= 0, {above} * 2 >= {unit}, {above} * 2 > {unit})"
-    return f"(({floor} + cast({up} AS int)) / 100.0D)"
+    unit = f"(cast({n} AS decimal(20,0)) * 0.01BD)"
+    rest = f"({_EXACT} % {unit})"
+    cents = f"cast(({_EXACT} - {rest}) / {unit} AS decimal(30,0))"
+    up = f"if(abs({rest}) * 2 >= {unit}, sign({rest}), 0)"
+    return f"cast(({cents} + cast({up} AS decimal(1,0))) * 0.01BD AS double)"
+
+
+def _unless_beyond(n: str) -> Column:
+    none = "(_high IS NULL AND _fine IS NULL)"
+    return F.expr(f"if(_beyond IS NOT NULL, _beyond, if({none}, NULL, {_rounded(n)}))")
 
 
 def total() -> Column:
     """Sum with two decimals, from the ``SUM_COLUMNS`` of a grouped table."""
-    exact = _rounded("1L")
-    return F.expr(f"if(_huge IS NULL, {exact}, coalesce({exact}, 0.0D) + _huge)")
+    return _unless_beyond("1L")
 
 
 def mean(n: str) -> Column:
     """Mean with two decimals, column ``n`` being the row count of the group."""
-    exact_part = f"coalesce({_rounded('1L')}, 0.0D)"
-    return F.expr(f"if(_huge IS NULL, {_rounded(n)}, ({exact_part} + _huge) / {n})")
+    return _unless_beyond(n)
