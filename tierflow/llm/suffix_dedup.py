@@ -38,6 +38,8 @@ from tierflow.llm.words import _BYTE, _Powers, mix
 
 _U = np.uint64
 SEGMENT = 1 << 20
+# Rows that a task gathers before it passes them on.
+AT_ONCE = 8192
 _LOW = _U(0xFFFFFFFF)
 
 
@@ -124,16 +126,18 @@ def sampled(rows: DataFrame, s: Settings) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            texts = batch["bytes"].tolist()
-            text, lo, hi, pos = owned_runs(texts, s)
-            inner, outer = [], []
-            for i, a, b, p in zip(text.tolist(), lo.tolist(), hi.tolist(), pos.tolist(), strict=True):
-                data = texts[i]
-                inner.append(_hash(data[p : p + s.sample]))
-                outer.append(_hash(data[a : b + s.length], p - a))
-            yield pd.DataFrame(
-                {"_row": batch["_row"].to_numpy()[text], "lo": lo, "hi": hi, "pos": pos, "inner": inner, "outer": outer}
-            )
+            rows = batch["_row"].to_numpy()
+            for k in range(0, len(batch), 1024):
+                texts = batch["bytes"].iloc[k : k + 1024].tolist()
+                text, lo, hi, pos = owned_runs(texts, s)
+                inner, outer = [], []
+                for i, a, b, p in zip(text.tolist(), lo.tolist(), hi.tolist(), pos.tolist(), strict=True):
+                    data = texts[i]
+                    inner.append(_hash(data[p : p + s.sample]))
+                    outer.append(_hash(data[a : b + s.length], p - a))
+                yield pd.DataFrame(
+                    {"_row": rows[text + k], "lo": lo, "hi": hi, "pos": pos, "inner": inner, "outer": outer}
+                )
 
     return rows.mapInPandas(run, "_row long, lo long, hi long, pos long, inner long, outer long")
 
@@ -151,6 +155,8 @@ def squeezed(rows: DataFrame) -> DataFrame:
 
 def _contexts(rows: DataFrame, kinds: DataFrame, s: Settings) -> DataFrame:
     """The bytes of each kind's first run."""
+    names = ("inner", "outer", "c", "_row", "lo", "hi", "pos")
+    columns = [*names, "data"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         unpack = zstandard.ZstdDecompressor().decompress
@@ -159,12 +165,13 @@ def _contexts(rows: DataFrame, kinds: DataFrame, s: Settings) -> DataFrame:
             for packed, runs in zip(batch["packed"], batch["runs"], strict=True):
                 data = unpack(packed)
                 for r in runs:
-                    out.append(
-                        (r["inner"], r["outer"], r["c"], r["_row"], r["lo"], r["hi"], r["pos"], data[r["lo"] : r["hi"] + s.length])
-                    )
-            yield pd.DataFrame(out, columns=["inner", "outer", "c", "_row", "lo", "hi", "pos", "data"])
+                    found = [r[n] for n in names]
+                    out.append((*found, data[r["lo"] : r["hi"] + s.length]))
+                    if len(out) >= AT_ONCE:
+                        yield pd.DataFrame(out, columns=columns)
+                        out = []
+            yield pd.DataFrame(out, columns=columns)
 
-    names = ("inner", "outer", "c", "_row", "lo", "hi", "pos")
     per_row = kinds.groupBy("_row").agg(F.collect_list(F.struct(*names)).alias("runs"))
     schema = ", ".join(f"{n} long" for n in names) + ", data binary"
     return squeezed(rows).join(per_row, "_row").select("packed", "runs").mapInPandas(run, schema)
@@ -173,6 +180,7 @@ def _contexts(rows: DataFrame, kinds: DataFrame, s: Settings) -> DataFrame:
 def _pieces(contexts: DataFrame, s: Settings) -> DataFrame:
     """The pieces of each run, counted from its owner: ``whole`` ranks all their bytes,
     ``core`` the bytes that all windows of a full piece have."""
+    columns = ["inner", "k", "whole", "core", "single", "outer", "_row", "lo", "hi"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -185,7 +193,10 @@ def _pieces(contexts: DataFrame, s: Settings) -> DataFrame:
                     whole = _hash(data[a - lo : b - lo + s.length], pos - a)
                     core = _hash(data[newest - lo : newest - s.piece + 1 + s.length - lo])
                     out.append((inner, k, whole, core, c == 1, outer, row, a, b))
-            yield pd.DataFrame(out, columns=["inner", "k", "whole", "core", "single", "outer", "_row", "lo", "hi"])
+                if len(out) >= AT_ONCE:
+                    yield pd.DataFrame(out, columns=columns)
+                    out = []
+            yield pd.DataFrame(out, columns=columns)
 
     return contexts.mapInPandas(
         run,
@@ -195,6 +206,7 @@ def _pieces(contexts: DataFrame, s: Settings) -> DataFrame:
 
 def _windows(contexts: DataFrame, pieces: DataFrame, s: Settings) -> DataFrame:
     """Single windows of the pieces, ranked."""
+    columns = ["inner", "offset", "value", "open", "_row", "lo"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -204,7 +216,10 @@ def _windows(contexts: DataFrame, pieces: DataFrame, s: Settings) -> DataFrame:
                     for at in range(p["lo"], p["hi"] + 1):
                         value = _hash(r.data[at - r.lo : at - r.lo + s.length])
                         out.append((r.inner, r.pos - at, value, p["open"], r.row, at))
-            yield pd.DataFrame(out, columns=["inner", "offset", "value", "open", "_row", "lo"])
+                if len(out) >= AT_ONCE:
+                    yield pd.DataFrame(out, columns=columns)
+                    out = []
+            yield pd.DataFrame(out, columns=columns)
 
     grouped = pieces.groupBy("inner", "outer").agg(
         F.collect_list(F.struct("lo", "hi", "open")).alias("parts")
@@ -287,6 +302,7 @@ def cut(rows: DataFrame, found: DataFrame, s: Settings) -> DataFrame:
                 kept = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
                 starts, ends = zip(*gone, strict=True)
                 out.append((row, len(data) - len(kept), starts, ends, hashlib.sha256(kept).hexdigest()))
+                del data, kept
             yield pd.DataFrame(out, columns=["_row", "n_removed", "starts", "ends", "kept_sha256"])
 
     per_row = found.groupBy("_row").agg(
