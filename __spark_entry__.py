@@ -20,7 +20,7 @@ import duckdb_queries  # noqa: E402
 from tierflow.contracts import CLICKS, ORDERS  # noqa: E402
 from tierflow.functions import records  # noqa: E402
 from tierflow.operators import clean, layers, live, marts, upsert  # noqa: E402
-from tierflow.plans import cycle, gold, silver  # noqa: E402
+from tierflow.plans import cycle, gold, silver, upkeep  # noqa: E402
 from tierflow.plans.lake import Lake  # noqa: E402
 from tierflow.session import work_dir  # noqa: E402
 from tierflow.sources import bronze, feeds, snapshots, topics  # noqa: E402
@@ -300,6 +300,22 @@ def summary_contract(spark: SparkSession, sf: str) -> DataFrame:
         return feeds.table(spark, sf, table).select(F.to_json(F.struct(*fields)).alias("value"))
 
     when = F.col("o_orderdate").cast("string").alias("timestamp")
+
+    def written(table: str, text: str):
+        """Messages written out, with the table's first column as ``batch_id``."""
+        rows = feeds.table(spark, sf, table)
+        number = F.col(rows.columns[0]).cast("string")
+        return rows.select(F.replace(F.lit(text), F.lit("#"), number).alias("value"))
+
+    head = '{"batch_id":#,"topic":"raw.orders","records":5,"timestamp":"2024"'
+    odd = [
+        written("nation", '{"batch_id":#,"topic":7,"records":5,"timestamp":"2024"}'),
+        written("region", '{"batch_id":#,"topic":"t","records":5,"timestamp":2024}'),
+        written("supplier", head + ',"type":1}'),
+        written("customer", head + ',"sample":null}'),
+        written("part", head + ',"sample":[1,2]}'),
+        written("benchmark", '{"batch_id":#,"topic":"t","records":5.0,"timestamp":"x"}'),
+    ]
     messages = (
         good.unionByName(
             feeds.table(spark, sf, "conversations").select(F.col("text").alias("value"))
@@ -325,6 +341,8 @@ def summary_contract(spark: SparkSession, sf: str) -> DataFrame:
             )
         )
     )
+    for part in odd:
+        messages = messages.unionByName(part)
     return (
         live.accept_messages(messages)
         .groupBy(F.coalesce("reject_reason", F.lit("accepted")).alias("verdict"))
@@ -452,6 +470,22 @@ def bronze_schema_merge(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def pack_summaries(spark: SparkSession, sf: str) -> DataFrame:
+    """The summaries of all time slices landed as batches, and packed: none lost."""
+    lake = Lake.under(work_dir(spark, "pack-summaries"))
+    log = event_summaries(spark, sf, sampled=True).persist()
+    for feed in (ORDERS, CLICKS):
+        mine = log.where(F.col("topic") == feed.topic)
+        numbers = sorted(r[0] for r in mine.select("batch_id").distinct().collect())
+        for n, slice_id in enumerate(numbers[-8:]):  # the last folders, one for each slice
+            one = mine.where(F.col("batch_id") == slice_id).drop("batch_id")
+            bronze.land_batch(one.coalesce(1), lake.summaries(feed), RUN, n + 1)
+        early = mine.where(~F.col("batch_id").isin(numbers[-8:])).drop("batch_id")
+        bronze.land_batch(early, lake.summaries(feed), RUN, 0)
+        upkeep.pack(spark, lake, feed, upkeep.Packing(min_batches=4, delay_seconds=0))
+    return _sample_as_text(ingest.read_summaries(spark, lake)).drop("batch_id")
+
+
 def compact_bronze(spark: SparkSession, sf: str) -> DataFrame:
     """Two closed batches packed, two left as they are: same rows as before."""
     path = f"{work_dir(spark, 'compact')}/orders"
@@ -489,7 +523,8 @@ def _refreshed_lake(spark: SparkSession, sf: str) -> tuple[Lake, DataFrame]:
 def refresh_cycle(spark: SparkSession, sf: str) -> DataFrame:
     """What a cycle reports, without its timings."""
     _, log = _refreshed_lake(spark, sf)
-    return log.select("cycle", "step", "status", "rows")
+    account = ["rows_in", "dropped_null", "dropped_dup", "passed"]
+    return log.select("cycle", "step", "status", "rows", *account)
 
 
 def gold_catalog(spark: SparkSession, sf: str) -> DataFrame:
@@ -570,22 +605,43 @@ def stream_summary_log(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_revenue_per_minute(spark: SparkSession, sf: str) -> DataFrame:
+    """Purchases, and orders whose time cannot be read, over several micro-batches."""
     root = work_dir(spark, "stream-revenue")
-    sent = records.encode(purchases(spark, sf), ORDERS.key, ORDERS.topic)
-    topics.publish(sent, ORDERS.topic, "parquet", {"path": f"{root}/topic"})
-    raw = topics.topic_stream(spark, ORDERS.topic, "parquet", {"path": f"{root}/topic"})
+    priced = feeds.table(spark, sf, "orders").select(
+        F.concat(F.lit("order-"), "o_orderkey").alias("order_id"),
+        F.col("o_totalprice").alias("amount"),
+        F.col("o_orderpriority").alias("timestamp"),
+    )
+    for events in (purchases(spark, sf), priced):
+        sent = records.encode(events, "order_id", ORDERS.topic)
+        topics.publish(sent.repartition(3), ORDERS.topic, "parquet", {"path": f"{root}/topic"})
+    options = {"path": f"{root}/topic", "maxFilesPerTrigger": "2"}
+    raw = topics.topic_stream(spark, ORDERS.topic, "parquet", options)
     orders = records.decode(raw, ORDERS.event, ORDERS.topic)
-    aggregates.start_revenue_stream(
+    for query in aggregates.start_revenue_stream(
         orders, f"{root}/out", f"{root}/checkpoint", WHOLE_PERIOD, available_now=True
-    ).awaitTermination()
+    ):
+        query.awaitTermination()
     return aggregates.read_revenue(spark, f"{root}/out")
 
 
 def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    """Every click delivered twice; the stream lets one of each pass."""
+    """Every click delivered twice, and clicks without a readable time, one for each order
+    but only a few keys; over several micro-batches the stream lets one of each key pass."""
     root = work_dir(spark, "stream-dedup")
     _click_topic(spark, sf, f"{root}/topic", deliveries=2)
-    raw = topics.topic_stream(spark, CLICKS.topic, "parquet", {"path": f"{root}/topic"})
+    undated = feeds.table(spark, sf, "orders").select(
+        F.concat(F.lit("customer-"), "o_custkey").alias("session_id"),
+        F.col("o_custkey").cast("string").alias("user_id"),
+        F.concat(F.lit("/"), "o_orderstatus").alias("page"),
+        F.col("o_orderstatus").alias("action"),
+        F.lit("unreadable").alias("timestamp"),
+        "o_orderkey",
+    )
+    sent = records.encode(undated, CLICKS.key, CLICKS.topic, offset=F.xxhash64("o_orderkey"))
+    topics.publish(sent.repartition(3), CLICKS.topic, "parquet", {"path": f"{root}/topic"})
+    options = {"path": f"{root}/topic", "maxFilesPerTrigger": "2"}
+    raw = topics.topic_stream(spark, CLICKS.topic, "parquet", options)
     rows = records.decode(raw, CLICKS.event, CLICKS.topic, keep=["partition", "offset"])
     passed = dedup.first_within(
         rows, CLICKS.dedup, WHOLE_PERIOD, spread_by=["partition", "offset"]
@@ -642,6 +698,7 @@ _QUERIES = [
     silver_upsert_newest_narrow,
     bronze_schema_merge,
     compact_bronze,
+    pack_summaries,
     incremental_silver,
     silver_rebuild,
     refresh_cycle,

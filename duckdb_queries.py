@@ -214,23 +214,45 @@ LINE_BATCH = """(event_timestamp >= TIMESTAMP '1997-01-01')::INT
     + (event_timestamp >= TIMESTAMP '2001-01-01')::INT"""
 
 
-def _step(step: str, counted: str) -> str:
-    return (
-        f"SELECT 1 AS cycle, '{step}' AS step, 'ok' AS status, "
-        f"(SELECT count(*) FROM ({counted})) AS rows"
-    )
+def _step(step: str, counted: str, taken: str | None = None) -> str:
+    """A step's line; ``taken`` is what a cleaning step reads."""
+    rows = f"(SELECT count(*) FROM ({counted}))"
+    account = "NULL::BIGINT AS rows_in, NULL::BIGINT AS dropped_null, NULL::BIGINT AS dropped_dup, NULL::BIGINT AS passed"
+    if taken:
+        required = "order_id IS NULL OR user_id IS NULL OR amount IS NULL"
+        if "session_id" in taken:
+            required = "session_id IS NULL OR user_id IS NULL OR page IS NULL"
+        n = f"(SELECT count(*) FROM ({taken}))"
+        null = f"(SELECT count(*) FROM ({taken}) WHERE {required})"
+        account = (
+            f"{n} AS rows_in, {null} AS dropped_null, {n} - {null} - {rows} AS dropped_dup, "
+            f"{rows} AS passed"
+        )
+    return f"SELECT 1 AS cycle, '{step}' AS step, 'ok' AS status, {rows} AS rows, {account}"
+
+
+def _catalog(marts: dict[str, str]) -> str:
+    lines = [
+        f"SELECT '{name}' AS \"table\", 1 AS valid, (SELECT count(*) FROM ({sql})) AS rows"
+        for name, sql in marts.items()
+    ]
+    return "\n UNION ALL ".join([*lines, "SELECT 'scratch', 0, NULL"])
 
 
+GOLD = {
+    "orders_revenue_per_product": REVENUE_PER_PRODUCT,
+    "orders_by_status": _orders_by_status(SILVER_LINES),
+    "orders_revenue_per_minute": _revenue_per_minute(SILVER_LINES),
+    "clicks_top_pages": TOP_PAGES,
+    "clicks_top_actions": _count_by("action", "events", CLICKS),
+    "clicks_events_per_device": _count_by("device", "events", CLICKS),
+}
+
 CYCLE = "\n UNION ALL ".join(
     [
-        _step("silver_orders", SILVER_LINES),
-        _step("silver_clicks", CLICKS),
-        _step("gold_orders_revenue_per_product", REVENUE_PER_PRODUCT),
-        _step("gold_orders_by_status", _orders_by_status(SILVER_LINES)),
-        _step("gold_orders_revenue_per_minute", _revenue_per_minute(SILVER_LINES)),
-        _step("gold_clicks_top_pages", TOP_PAGES),
-        _step("gold_clicks_top_actions", _count_by("action", "events", CLICKS)),
-        _step("gold_clicks_events_per_device", _count_by("device", "events", CLICKS)),
+        _step("silver_orders", SILVER_LINES, ORDER_LINES),
+        _step("silver_clicks", CLICKS, CLICKS),
+        *[_step(f"gold_{name}", sql) for name, sql in GOLD.items()],
     ]
 )
 
@@ -302,14 +324,21 @@ def oracle_sql() -> dict[str, str]:
             FROM ({RATES})""",
         "summary_contract": f"""
             SELECT 'accepted' AS verdict,
-                   (SELECT count(*) FROM ({SUMMARIES})) + (SELECT count(*) FROM orders) AS messages,
-                   ((SELECT sum(records) FROM ({SUMMARIES}))
-                     + (SELECT sum(o_custkey) FROM orders))::BIGINT AS records,
+                   (SELECT count(*) FROM ({SUMMARIES})) + (SELECT count(*) FROM orders)
+                     + (SELECT count(*) FROM benchmark) AS messages,
+                   ((SELECT sum(records) FROM ({SUMMARIES})) + (SELECT sum(o_custkey) FROM orders)
+                     + (SELECT 5 * count(*) FROM benchmark))::BIGINT AS records,
                    (SELECT sum(least(records, 3)) FROM ({SUMMARIES}))::BIGINT AS samples
             UNION ALL SELECT 'malformed_json', count(*), NULL, 0 FROM conversations
             UNION ALL SELECT 'missing_batch_id', count(*), NULL, 0 FROM part
             UNION ALL SELECT 'missing_topic', count(*), NULL, 0 FROM supplier
-            UNION ALL SELECT 'bad_records', count(*), NULL, 0 FROM orders""",
+            UNION ALL SELECT 'bad_records', count(*), NULL, 0 FROM orders
+            UNION ALL SELECT 'bad_topic', count(*), 5 * count(*), 0 FROM nation
+            UNION ALL SELECT 'bad_timestamp', count(*), 5 * count(*), 0 FROM region
+            UNION ALL SELECT 'bad_type', count(*), 5 * count(*), 0 FROM supplier
+            UNION ALL SELECT 'bad_sample', (SELECT count(*) FROM customer) + (SELECT count(*) FROM part),
+                   5 * ((SELECT count(*) FROM customer) + (SELECT count(*) FROM part)),
+                   2 * (SELECT count(*) FROM part)""",
         "live_feed": f"""
             SELECT batch_id::VARCHAR || '-' || topic || '-' || (epoch_us(at_ts) // 1000)::VARCHAR AS id,
                    topic, replace(topic, 'raw.', '') AS kind, batch_id, records, "timestamp",
@@ -355,11 +384,8 @@ def oracle_sql() -> dict[str, str]:
         "incremental_silver": silver_rows,
         "silver_rebuild": silver_rows,
         "refresh_cycle": CYCLE,
-        "gold_catalog": """
-            SELECT * FROM (VALUES ('clicks_events_per_device', 1), ('clicks_top_actions', 1),
-                ('clicks_top_pages', 1), ('orders_by_status', 1),
-                ('orders_revenue_per_minute', 1), ('orders_revenue_per_product', 1),
-                ('scratch', 0)) AS v("table", valid)""",
+        "gold_catalog": _catalog(GOLD),
+        "pack_summaries": f"SELECT * EXCLUDE (at_ts, batch_id) FROM ({SUMMARIES})",
         "load_marts_orders": f"""
             SELECT 'orders_revenue_per_product' AS mart, product AS "key",
                    total_revenue AS measure FROM ({REVENUE_PER_PRODUCT})
@@ -392,6 +418,14 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'clicks', count(*) FROM ({CLICKS})
             UNION ALL SELECT 'total', (SELECT count(*) FROM ({ORDER_LINES}))
                                     + (SELECT count(*) FROM ({CLICKS}))""",
-        "stream_revenue_per_minute": _revenue_per_minute(SILVER_PURCHASES),
-        "stream_dedup": f"SELECT {CLICK_FIELDS}, event_timestamp FROM ({CLICKS})",
+        "stream_revenue_per_minute": _revenue_per_minute(
+            f"SELECT event_timestamp, amount FROM ({SILVER_PURCHASES}) "
+            "UNION ALL SELECT NULL::TIMESTAMP, o_totalprice FROM orders"
+        ),
+        "stream_dedup": f"""
+            SELECT {CLICK_FIELDS}, event_timestamp FROM ({CLICKS})
+            UNION ALL
+            SELECT DISTINCT 'customer-' || o_custkey::VARCHAR, o_custkey::VARCHAR,
+                   '/' || o_orderstatus, o_orderstatus, NULL, NULL, 'unreadable', NULL::TIMESTAMP
+            FROM orders""",
     }

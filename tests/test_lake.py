@@ -1,19 +1,22 @@
 """Stored layers: snapshots, Bronze batches, compaction, refreshes."""
 
+import dataclasses
 import os
 
 import pytest
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 
 from tests.helpers import at, bronze_clicks, bronze_orders, click, facts, order
 from tierflow.contracts import CLICKS, MART_SCHEMAS, ORDERS
 from tierflow.operators import clean
-from tierflow.plans import cycle, gold, silver
+from tierflow import session
+from tierflow.plans import cycle, gold, silver, upkeep
 from tierflow.plans.lake import Lake
 from tierflow.plans.stats import stored_layers
 from tierflow.session import require_utc, shared_root, work_dir
-from tierflow.sources import bronze, files, snapshots
+from tierflow.sources import bronze, feeds, files, snapshots
+from tierflow.streaming import ingest
 
 RUN = "r"
 
@@ -73,7 +76,7 @@ def test_catalog_is_sorted_and_flags_what_is_no_table(spark, root):
     snapshots.write_table(spark, f"{root}/b", spark.range(1))
     os.makedirs(f"{root}/a")
     assert [tuple(r) for r in snapshots.catalog(spark, root).collect()] == [
-        ("a", False), ("b", True),
+        ("a", False, None), ("b", True, 1),
     ]
     assert snapshots.catalog(spark, f"{root}/nowhere").count() == 0
 
@@ -171,17 +174,19 @@ def test_incremental_equals_rebuild(spark, root, broadcast_limit):
     try:
         lake = Lake.under(root)
         land(spark, lake, [[order("a", status="created", timestamp=at(1)), order("b")]])
-        assert silver.refresh_silver(spark, lake, ORDERS) == silver.Outcome("ok", 2)
+        assert silver.refresh_silver(spark, lake, ORDERS) == silver.Outcome(
+            "ok", 2, None, 2, 0, 0, 2
+        )
         second = [
             [order("a", status="paid", timestamp=at(2)), order("c"), order(None)],
             [order("a", status="stale", timestamp=at(0)), order("c")],
         ]
         land(spark, lake, second, start=1)
-        assert silver.refresh_silver(spark, lake, ORDERS) == silver.Outcome("ok", 3)
+        assert silver.refresh_silver(spark, lake, ORDERS) == silver.Outcome("ok", 3, None, 5, 1, 2, 2)
         assert silver.read_marks(spark, lake.silver(ORDERS)) == {RUN: 2}
         refreshed = facts(table(spark, lake))
         assert silver.refresh_silver(spark, lake, ORDERS).status == "skipped"
-        assert silver.rebuild_silver(spark, lake, ORDERS) == silver.Outcome("ok", 3)
+        assert silver.rebuild_silver(spark, lake, ORDERS) == silver.Outcome("ok", 3, None, 7, 1, 3, 3)
         assert facts(table(spark, lake)) == refreshed
         assert silver.refresh_silver(spark, lake, ORDERS).status == "skipped"
     finally:
@@ -208,7 +213,7 @@ def test_replace_mode_and_its_unique_key_check(spark, root):
 
     silver.upsert_table(spark, path, cleaned([order("a", timestamp=at(9))]), ORDERS)
     old = cleaned([order("a", status="old", timestamp=at(1))])
-    assert silver.upsert_table(spark, path, old, ORDERS, mode="replace") == 1
+    assert silver.upsert_table(spark, path, old, ORDERS, mode="replace") == (1, 1)
     assert table(spark, lake).first()["status"] == "old"
     with pytest.raises(ValueError, match="several rows"):
         silver.upsert_table(spark, path, old.unionByName(old), ORDERS, mode="replace")
@@ -227,6 +232,78 @@ def test_tables_without_row_level_changes_refuse_merge(spark, root):
         spark.sql("DROP TABLE merge_target")
 
 
+def test_update_size_does_not_change_the_table(spark, root):
+    """Ties on all survivor columns: clock columns decide, with and without broadcast."""
+    tables = []
+    saved = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    old = clean.clean_orders(bronze_orders(spark, [order("a"), order("b")]))
+    new = old.withColumn("processed_at", F.col("processed_at") + F.expr("INTERVAL 1 DAY"))
+    for limit in ("-1", saved):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        path = f"{root}/silver{len(tables)}"
+        silver.upsert_table(spark, path, old.persist(), ORDERS)
+        silver.upsert_table(spark, path, new.persist(), ORDERS)
+        tables.append(facts(snapshots.read_table(spark, path), drop=()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", saved)
+    assert tables[0] == tables[1] == facts(new, drop=())
+
+
+def test_silver_in_the_catalog(spark, root):
+    """First load, reading and rebuild; the row-level merge needs a table format that is not here."""
+    lake = dataclasses.replace(Lake.under(root), silver_catalog="lake_test")
+    spark.sql(f"CREATE DATABASE lake_test LOCATION '{root}/db'")
+    try:
+        land(spark, lake, [[order("a"), order("b"), order("a", status="x", timestamp=at(3))]])
+        assert silver.refresh_silver(spark, lake, ORDERS) == silver.Outcome("ok", 2, None, 3, 0, 1, 2)
+        assert silver.refresh_silver(spark, lake, ORDERS).status == "skipped"
+        assert gold.refresh_mart(spark, lake, ORDERS, "orders_by_status").rows == 2
+        assert gold.refresh_mart(spark, lake, ORDERS, "orders_by_status").status == "skipped"
+        land(spark, lake, [[order("c")]], start=1)
+        with pytest.raises(PySparkException, match="MERGE"):
+            silver.refresh_silver(spark, lake, ORDERS)
+        assert spark.table("lake_test.orders").count() == 2
+        assert silver.rebuild_silver(spark, lake, ORDERS).rows == 3  # nothing was marked as taken
+        assert silver.refresh_silver(spark, lake, ORDERS).status == "skipped"
+        assert gold.refresh_mart(spark, lake, ORDERS, "orders_by_status").status == "ok"
+    finally:
+        spark.sql("DROP DATABASE lake_test CASCADE")
+
+
+# --- upkeep
+
+
+def test_packing_as_a_step(spark, root):
+    lake = Lake.under(root)
+    land(spark, lake, [[order(str(n))] for n in range(6)])
+    how = upkeep.Packing(min_batches=3, delay_seconds=0)
+    log = {r["step"]: r for r in cycle.run_cycle(spark, lake, packing=how).collect()}
+    assert (log["pack_orders"]["status"], log["pack_orders"]["rows"]) == ("ok", 5)
+    assert log["pack_clicks"]["status"] == "skipped"
+    assert bronze.extents(spark, lake.bronze(ORDERS)) == [bronze.Extent(RUN, (4,), (5,))]
+    assert upkeep.pack(spark, lake, ORDERS, how).status == "skipped"
+    land(spark, lake, [[order("new")]] * 4, start=6)
+    slow = upkeep.Packing(min_batches=3, delay_seconds=3600)
+    assert upkeep.pack(spark, lake, ORDERS, slow).rows == 4
+    live = files.numbered(spark, f"{lake.bronze(ORDERS)}/live/run={RUN}", "batch_id")
+    assert live == [5, 6, 7, 8, 9]  # packed, but readers may still want them
+    rows = bronze.read_bronze(spark, lake.bronze(ORDERS), ORDERS.bronze_stored)
+    assert rows.count() == 10
+
+
+def test_listing_asks_only_above_the_mark(spark, root, monkeypatch):
+    for n in range(1000):
+        folder = f"{root}/live/run={RUN}/batch_id={n}"
+        os.makedirs(folder)
+        open(f"{folder}/_SUCCESS", "w").close()
+    calls = []
+    for name in ("child_dirs", "is_complete"):
+        real = getattr(files, name)
+        monkeypatch.setattr(files, name, lambda s, p, real=real: calls.append(p) or real(s, p))
+    found = bronze.extents(spark, root, {RUN: 994})
+    assert found == [bronze.Extent(RUN, (), (995, 996, 997, 998, 999))]
+    assert len(calls) == 3 + 5
+
+
 # --- cycle and reads
 
 
@@ -293,6 +370,42 @@ def test_lake_from_environment(monkeypatch):
     assert lake.bronze(CLICKS) == "/data/bronze/clicks"
 
 
+@pytest.mark.parametrize("master, ok", [("local", True), ("local[8]", True), ("local[*]", True),
+                                        ("local-cluster[3,2,512]", False), ("yarn", False)])
+def test_only_a_local_session_may_go_without_a_shared_folder(monkeypatch, master, ok):
+    class Session:
+        class conf:
+            get = staticmethod(lambda name, default: default)
+
+        class sparkContext:
+            applicationId = "x"
+
+    Session.sparkContext.master = master
+    monkeypatch.setattr(session, "_private_root", lambda app: "/private")
+    if ok:
+        assert shared_root(Session) == "/private"
+    else:
+        with pytest.raises(ValueError, match="checkpoint.dir"):
+            shared_root(Session)
+
+
+def test_jobs_refuse_another_zone(spark, root):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        lake = Lake.under(root)
+        for job in (
+            lambda: silver.refresh_silver(spark, lake, ORDERS),
+            lambda: silver.rebuild_silver(spark, lake, ORDERS),
+            lambda: gold.refresh_mart(spark, lake, ORDERS, "orders_by_status"),
+            lambda: feeds.table(spark, root, "orders"),
+            lambda: ingest.start_stream(spark, ORDERS, lake, "parquet", {"path": root}),
+        ):
+            with pytest.raises(ValueError, match="UTC"):
+                job()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_session_rules(spark):
     require_utc(spark)
     named = spark.conf.get("spark.checkpoint.dir", None)

@@ -144,6 +144,14 @@ def test_message_contract(spark):
         full.replace(":2,", ':"two",') + "}": "bad_records",
         full.replace(":1,", ":null,") + "}": "missing_batch_id",
         full + ',"sample":{"a":1}}': "bad_sample",
+        full + ',"sample":null}': "bad_sample",
+        full + ',"sample":[1,2]}': "bad_sample",
+        full + ',"sample":[]}': None,
+        full + ',"type":1}': "bad_type",
+        full.replace('"t"', "7") + "}": "bad_topic",
+        full.replace('"x"', "2024") + "}": "bad_timestamp",
+        full.replace(":2,", ":5.0,") + "}": None,
+        full.replace(":2,", ":5.5,") + "}": "bad_records",
         '{"batch_id":1}': "missing_topic",
         '{"batch_id":1,"topic":"t","records":2}': "missing_timestamp",
         "nonsense": "malformed_json",

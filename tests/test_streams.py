@@ -1,6 +1,7 @@
 """Streams over a folder of records, run until the folder is used up."""
 
 import json
+import os
 import shutil
 
 import pytest
@@ -221,12 +222,14 @@ def test_dedup_within_and_across_batches(spark, root, spread_by):
     ]
 
 
-def run_revenue(spark, root, lateness="1 hour"):
+def run_revenue(spark, root, lateness="1 hour", attempt=""):
     raw = topics.topic_stream(spark, ORDERS.topic, "parquet", source(root, ORDERS))
     rows = records.decode(raw, ORDERS.event, ORDERS.topic)
-    aggregates.start_revenue_stream(
-        rows, f"{root}/revenue", f"{root}/revenue-checkpoint", lateness, available_now=True
-    ).awaitTermination()
+    checkpoint = f"{root}/revenue-checkpoint{attempt}"
+    for query in aggregates.start_revenue_stream(
+        rows, f"{root}/revenue", checkpoint, lateness, available_now=True
+    ):
+        query.awaitTermination()
     got = aggregates.read_revenue(spark, f"{root}/revenue").collect()
     return [(str(r["minute"])[14:16], r["revenue"]) for r in got]
 
@@ -241,6 +244,46 @@ def test_revenue_follows_later_batches_and_drops_late_rows(spark, root):
     assert run_revenue(spark, root, "10 minutes") == [("00", 0.3), ("40", 6.0)]
 
 
+def test_revenue_without_time_and_with_a_new_checkpoint(spark, root):
+    """The null minute is kept, and a new run's values replace the old run's."""
+    send_orders(spark, root, [order("1", amount=3.0, timestamp=at(0)),
+                              order("2", amount=20.0, timestamp="soon"), order("3", amount=0.5, timestamp="")])
+    assert run_revenue(spark, root) == [("", 20.5), ("00", 3.0)]
+    send_orders(spark, root, [order("4", amount=96.0, timestamp=at(0, 9)), order("5", amount=1.0, timestamp="x")])
+    assert run_revenue(spark, root) == [("", 21.5), ("00", 99.0)]
+    assert run_revenue(spark, root, attempt="-new") == [("", 21.5), ("00", 99.0)]
+    minutes = f"{root}/revenue/minutes"
+    assert len(bronze.extents(spark, minutes)) == 2
+    unfinished = f"{minutes}/live/run={aggregates.current_run(spark, minutes)}/batch_id=7"
+    spark.createDataFrame([(None, 1.0)], "minute timestamp, revenue double").write.parquet(unfinished)
+    os.remove(f"{unfinished}/_SUCCESS")
+    got = {str(r["minute"])[14:16]: r["revenue"] for r in aggregates.read_revenue(spark, f"{root}/revenue").collect()}
+    assert got == {"": 21.5, "00": 99.0}
+
+
+def test_dedup_remembers_rows_without_time(spark, root):
+    for n in range(3):
+        rows = [click("a", timestamp="soon"), click("a", action="hover", timestamp="later"), click("b", timestamp=at(n))]
+        publish_clicks(spark, root, rows, start=10 * n)
+        got = run_dedup(spark, root, ())
+    found = sorted((r["session_id"], r["action"]) for r in got.where("event_timestamp IS NULL").collect())
+    assert found == [("a", "hover"), ("a", "view")]
+    assert got.where("event_timestamp IS NOT NULL").count() == 3
+
+
+def test_run_id_is_known_only_inside_a_batch(spark):
+    with pytest.raises(RuntimeError, match="foreachBatch"):
+        ingest.run_id(spark)
+
+
+def test_kafka_start_position():
+    assert topics.kafka_settings("t", {}, from_start=True)["startingOffsets"] == "earliest"
+    assert topics.kafka_settings("t", {})["startingOffsets"] == "latest"
+    asked = {"startingOffsets": "latest", "failOnDataLoss": "true"}
+    got = topics.kafka_settings("t", asked, from_start=True)
+    assert got == {"subscribe": "t", **asked}
+
+
 def test_kafka_settings():
     class Recorder:
         def __init__(self):

@@ -68,6 +68,17 @@ def clean(bronze: DataFrame, feed: Feed, as_of: Column | None = None) -> DataFra
     )
 
 
+def intake(bronze: DataFrame, feed: Feed) -> tuple[int, int]:
+    """How many rows the cleaning step takes, and how many of them have what is required.
+
+    Reads the required columns only, and counts in a job of its own: counts taken on the
+    way through a shuffle would grow when a lost stage is run again.
+    """
+    ok = has_required(bronze, feed.required)
+    row = bronze.agg(F.count(F.lit(1)).alias("rows"), F.count_if(ok).alias("valid")).first()
+    return row["rows"], row["valid"]
+
+
 def clean_orders(bronze: DataFrame, as_of: Column | None = None) -> DataFrame:
     return clean(bronze, ORDERS, as_of)
 

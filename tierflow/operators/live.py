@@ -97,12 +97,19 @@ def with_samples(summaries: DataFrame, sampled: DataFrame) -> DataFrame:
     return filled.withColumn("sample", F.coalesce("sample", none)).select(*summaries.columns)
 
 
+def _whole_number(text: Column) -> Column:
+    """A number without a fraction, also one written as ``5.0``; else null."""
+    value = text.try_cast("decimal(38,10)")
+    return F.when(value == F.floor(value), value.try_cast("bigint"))
+
+
 def accept_messages(messages: DataFrame) -> DataFrame:
     """Summary messages, JSON text in ``value``, checked against their contract.
 
-    ``batch_id``, ``topic``, ``records`` and ``timestamp`` must be there and the two numbers
-    must be whole; ``type`` and ``sample`` have defaults. ``reject_reason`` is null for a
-    message that holds. Parsed once, as text.
+    ``batch_id``, ``topic``, ``records`` and ``timestamp`` must be there; the two numbers must
+    be whole, the others JSON strings. ``type``, a string, and ``sample``, a list of objects,
+    have defaults. ``reject_reason`` is null for a message that holds. Texts are judged by
+    their JSON type, numbers by their text.
     """
     corrupt = "_corrupt_record"
     fields = "type string, batch_id string, topic string, records string, timestamp string"
@@ -113,23 +120,35 @@ def accept_messages(messages: DataFrame) -> DataFrame:
             f"{fields}, sample string, {corrupt} string",
             {"columnNameOfCorruptRecord": corrupt},
         ).alias("m"),
+        F.try_parse_json("value").alias("v"),
     )
     message = F.col("m")
     entries = F.from_json(message["sample"], "array<string>")
+
+    def token(path: str) -> Column:
+        """The JSON type at a path: null where there is nothing, ``VOID`` for a null."""
+        return F.schema_of_variant(F.try_variant_get("v", path, "variant"))
+
     reason = F.when(F.col("value").isNull(), "null_value").when(
-        (F.trim("value") == "") | message[corrupt].isNotNull(), "malformed_json"
+        (F.trim("value") == "") | message[corrupt].isNotNull() | F.col("v").isNull(),
+        "malformed_json",
     )
     for field in ("batch_id", "topic", "records", "timestamp"):
         reason = reason.when(message[field].isNull(), f"missing_{field}")
     for field in ("batch_id", "records"):
-        reason = reason.when(message[field].try_cast("bigint").isNull(), f"bad_{field}")
-    no_list = message["sample"].isNotNull() & ~message["sample"].startswith("[")
-    reason = reason.when(no_list, "bad_sample")
+        reason = reason.when(_whole_number(message[field]).isNull(), f"bad_{field}")
+    for field in ("topic", "timestamp", "type"):
+        kind = token(f"$.{field}")
+        reason = reason.when(kind.isNotNull() & (kind != "STRING"), f"bad_{field}")
+    listed = F.try_variant_get("v", "$.sample", "array<variant>")
+    objects = F.forall(listed, lambda e: F.startswith(F.schema_of_variant(e), F.lit("OBJECT")))
+    given = token("$.sample").isNotNull()
+    reason = reason.when(given & ~F.coalesce(objects, F.lit(False)), "bad_sample")
     return parsed.select(
         F.coalesce(message["type"], F.lit(BATCH_TYPE)).alias("type"),
-        message["batch_id"].try_cast("bigint").alias("batch_id"),
+        _whole_number(message["batch_id"]).alias("batch_id"),
         message["topic"].alias("topic"),
-        message["records"].try_cast("bigint").alias("records"),
+        _whole_number(message["records"]).alias("records"),
         message["timestamp"].alias("timestamp"),
         F.coalesce(entries, F.array().cast("array<string>")).alias("sample"),
         reason.alias("reject_reason"),
@@ -224,41 +243,55 @@ def throughput_per_second(
     )
 
 
-def current_rate(
-    summaries: DataFrame,
-    window_seconds: int = RATE_WINDOW_SECONDS,
-    as_of: Column | None = None,
-) -> DataFrame:
-    """Orders plus clicks of the last second that has a batch, 0 when there is none."""
-    return _rates(summaries, window_seconds, as_of).agg(
-        F.coalesce(F.max_by(F.col("orders") + F.col("clicks"), "second"), F.lit(0)).alias(
-            "records_per_second"
+def _per_second(summaries: DataFrame, as_of: Column | None) -> DataFrame:
+    """One row a second: records by kind, and the last summary's time."""
+
+    def of(kind: str) -> Column:
+        return F.sum(F.when(F.col("kind") == kind, F.col("records")).otherwise(0))
+
+    return (
+        _normalised(summaries, as_of)
+        .groupBy(F.unix_seconds("_at").alias("second"))
+        .agg(
+            of(ORDERS_KIND).alias("orders"),
+            of(CLICKS_KIND).alias("clicks"),
+            F.max_by(F.struct(F.col("timestamp").alias("at")), F.struct("_at", "batch_id")).alias("_last"),
+            F.max(F.struct("_at", "batch_id")).alias("_newest"),
         )
     )
 
 
-def header(
-    summaries: DataFrame,
-    window_seconds: int = RATE_WINDOW_SECONDS,
-    as_of: Column | None = None,
-) -> DataFrame:
-    """The figures over the dashboard: events, rate now, time of last batch, split by kind."""
-    rows = _normalised(summaries, as_of)
+def _rate_now() -> Column:
+    """The newest second always lies in the rate's window, so no horizon is needed."""
+    rate = F.max_by(F.col("orders") + F.col("clicks"), "second")
+    return F.coalesce(rate, F.lit(0)).alias("records_per_second")
 
-    def of(kind: str) -> Column:
-        counted = F.sum(F.when(F.col("kind") == kind, F.col("records")))
-        return F.coalesce(counted, F.lit(0))
-
-    return rows.agg(
-        of(ORDERS_KIND).alias("orders"),
-        of(CLICKS_KIND).alias("clicks"),
-        F.max_by(parse_instant(F.col("timestamp")), F.struct("_at", "batch_id")).alias("_last"),
-    ).select(
-        (F.col("orders") + F.col("clicks")).alias("total_events"),
-        current_rate(summaries, window_seconds, as_of).scalar().alias("records_per_second"),
-        clock(F.col("_last"), NO_BATCH).alias("last_batch"),
-        "orders",
-        "clicks",
+
+def current_rate(summaries: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """Orders plus clicks of the last second that has a batch, 0 when there is none."""
+    return _per_second(summaries, as_of).agg(_rate_now())
+
+
+def header(summaries: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """The figures over the dashboard: events, rate now, time of last batch, split by kind.
+
+    One pass: per second, then over all seconds.
+    """
+    return (
+        _per_second(summaries, as_of)
+        .agg(
+            F.coalesce(F.sum("orders"), F.lit(0)).alias("orders"),
+            F.coalesce(F.sum("clicks"), F.lit(0)).alias("clicks"),
+            _rate_now(),
+            F.max_by("_last", "_newest").alias("_last"),
+        )
+        .select(
+            (F.col("orders") + F.col("clicks")).alias("total_events"),
+            "records_per_second",
+            clock(parse_instant(F.col("_last.at")), NO_BATCH).alias("last_batch"),
+            "orders",
+            "clicks",
+        )
     )
 
 

@@ -20,11 +20,11 @@ def _count_by(df: DataFrame, key: str, name: str) -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias(name))
 
 
-def _ranked(df: DataFrame, measure: str, key: str) -> DataFrame:
-    return df.orderBy(F.col(measure).desc(), F.col(key).asc_nulls_first())
+def _ranked(df: DataFrame, measure: str, key: str, ordered: bool = True) -> DataFrame:
+    return df if not ordered else df.orderBy(F.col(measure).desc(), F.col(key).asc_nulls_first())
 
 
-def revenue_per_product(orders: DataFrame) -> DataFrame:
+def revenue_per_product(orders: DataFrame, ordered: bool = True) -> DataFrame:
     sums = orders.groupBy("product").agg(
         *money.sums(F.col("amount")), F.count(F.lit(1)).alias("order_count")
     )
@@ -34,33 +34,34 @@ def revenue_per_product(orders: DataFrame) -> DataFrame:
         "order_count",
         money.mean("order_count").alias("avg_order_value"),
     )
-    return _ranked(mart, "total_revenue", "product")
+    return _ranked(mart, "total_revenue", "product", ordered)
 
 
-def orders_by_status(orders: DataFrame) -> DataFrame:
-    return _ranked(_count_by(orders, "status", "order_count"), "order_count", "status")
+def orders_by_status(orders: DataFrame, ordered: bool = True) -> DataFrame:
+    return _ranked(_count_by(orders, "status", "order_count"), "order_count", "status", ordered)
 
 
-def revenue_per_minute(orders: DataFrame) -> DataFrame:
+def revenue_per_minute(orders: DataFrame, ordered: bool = True) -> DataFrame:
     """Orders without a readable event time share the null minute."""
-    return (
+    mart = (
         orders.groupBy(F.date_trunc("minute", "event_timestamp").alias("minute"))
         .agg(*money.sums(F.col("amount")))
         .select("minute", money.total().alias("revenue"))
-        .orderBy("minute")
     )
+    return mart.orderBy("minute") if ordered else mart
 
 
-def top_pages(clicks: DataFrame, limit: int = 10) -> DataFrame:
+def top_pages(clicks: DataFrame, limit: int = 10, ordered: bool = True) -> DataFrame:
+    """The rows are picked by rank either way; ``ordered`` has no further cost here."""
     return _ranked(_count_by(clicks, "page", "views"), "views", "page").limit(limit)
 
 
-def top_actions(clicks: DataFrame) -> DataFrame:
-    return _ranked(_count_by(clicks, "action", "events"), "events", "action")
+def top_actions(clicks: DataFrame, ordered: bool = True) -> DataFrame:
+    return _ranked(_count_by(clicks, "action", "events"), "events", "action", ordered)
 
 
-def events_per_device(clicks: DataFrame) -> DataFrame:
-    return _ranked(_count_by(clicks, "device", "events"), "events", "device")
+def events_per_device(clicks: DataFrame, ordered: bool = True) -> DataFrame:
+    return _ranked(_count_by(clicks, "device", "events"), "events", "device", ordered)
 
 
 def status_share(orders: DataFrame) -> DataFrame:
@@ -81,7 +82,8 @@ def top_products(revenue: DataFrame, limit: int = 6) -> DataFrame:
     )
 
 
-MARTS: dict[str, dict[str, Callable[[DataFrame], DataFrame]]] = {
+# Each takes Silver and ``ordered``: False leaves out the sort.
+MARTS: dict[str, dict[str, Callable[..., DataFrame]]] = {
     ORDERS.name: {
         "orders_revenue_per_product": revenue_per_product,
         "orders_by_status": orders_by_status,

@@ -56,10 +56,12 @@ def merge_newest(
     """Keeps the newer of old and new row, whatever order batches arrive in.
 
     One shuffle of both sides. Applying a batch twice, or batches in another order,
-    gives the same table.
+    gives the same table. Rows that tie on ``survivor`` are ranked by the other columns in
+    their order, so that no column is left to chance, the clock columns among them.
     """
     both = target.unionByName(updates, allowMissingColumns=True)
-    return latest_per_key(both, keys, survivor)
+    rest = [c for c in both.columns if c not in survivor]
+    return latest_per_key(both, keys, [*[c for c in survivor if c in both.columns], *rest])
 
 
 def merge_newest_narrow(

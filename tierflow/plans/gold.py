@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from tierflow.contracts import MART_SCHEMAS, Feed
 from tierflow.operators.marts import MART_ORDER, MARTS, in_mart_order
 from tierflow.plans.lake import Lake
-from tierflow.plans.silver import Outcome
+from tierflow.plans.silver import Outcome, read_silver, silver_version
+from tierflow.session import require_utc
 from tierflow.sources import files, snapshots
 
 
@@ -24,7 +25,8 @@ def refresh_mart(
     Silver is not cached between marts: each reads only the one or two columns it
     needs, which is less than writing the whole table to executor storage would cost.
     """
-    source = snapshots.version(spark, lake.silver(feed))
+    require_utc(spark)
+    source = silver_version(spark, lake, feed)
     if source is None:
         return Outcome("skipped", note="no silver table")
     path = lake.gold(mart)
@@ -34,7 +36,8 @@ def refresh_mart(
             return Outcome("skipped", note="silver unchanged")
     number = snapshots.next_snapshot(spark, path)
     files.write_text(spark, _source_note(path, number), source)
-    made = MARTS[feed.name][mart](snapshots.read_table(spark, lake.silver(feed)))
+    # Files carry no order, so there is no sort before the write; reading sorts.
+    made = MARTS[feed.name][mart](read_silver(spark, lake, feed), ordered=False)
     rows = snapshots.write_table(spark, path, made, number)
     snapshots.drop_old_snapshots(spark, path)
     return Outcome("ok", rows)
@@ -65,4 +68,5 @@ def marts_as_rows(marts: dict[str, DataFrame]) -> DataFrame:
 
 
 def gold_catalog(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Every folder of the Gold layer, whether it holds a readable table, and its row count."""
     return snapshots.catalog(spark, lake.gold_root)

@@ -15,6 +15,8 @@ class Lake:
     gold_root: str
     summary_root: str
     checkpoint_root: str
+    # Catalog and schema of the Silver tables, where those take row-level changes.
+    silver_catalog: str | None = None
 
     @classmethod
     def under(cls, root: str) -> Lake:
@@ -31,6 +33,7 @@ class Lake:
             get("GOLD_PATH", "/data/gold"),
             get("SUMMARY_PATH", "/data/summaries"),
             get("CHECKPOINT_PATH", "/data/checkpoints"),
+            get("SILVER_CATALOG") or None,
         )
 
     def bronze(self, feed: Feed) -> str:
@@ -39,6 +42,10 @@ class Lake:
     def silver(self, feed: Feed) -> str:
         return f"{self.silver_root}/{feed.name}"
 
+    def silver_table(self, feed: Feed) -> str | None:
+        """Name of the feed's Silver table in the catalog; None if it is kept as snapshots."""
+        return f"{self.silver_catalog}.{feed.name}" if self.silver_catalog else None
+
     def gold(self, mart: str) -> str:
         return f"{self.gold_root}/{mart}"
 

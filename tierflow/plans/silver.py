@@ -3,23 +3,58 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tierflow.contracts import Feed
-from tierflow.operators.clean import clean
+from tierflow.operators.clean import clean, intake
 from tierflow.operators.upsert import merge_newest, merge_newest_narrow, merge_replace
 from tierflow.plans.lake import Lake
+from tierflow.session import require_utc, work_dir
 from tierflow.sources import bronze, files, snapshots
 
 
 @dataclass(frozen=True)
 class Outcome:
+    """What a step did. ``rows`` is the table's count afterwards; the others account for the
+    rows that a cleaning step took in, dropped and passed on."""
+
     status: str
     rows: int | None = None
     note: str | None = None
+    rows_in: int | None = None
+    dropped_null: int | None = None
+    dropped_dup: int | None = None
+    passed: int | None = None
+
+
+def _cleaned(
+    rows: DataFrame, feed: Feed, as_of: Column | None
+) -> tuple[DataFrame, Callable[[int, int], Outcome]]:
+    """The cleaned rows, and the report on them once their number is known."""
+    taken = rows.select(*feed.bronze.fieldNames())
+    rows_in, valid = intake(taken, feed)
+
+    def report(n: int, passed: int) -> Outcome:
+        return Outcome("ok", n, None, rows_in, rows_in - valid, valid - passed, passed)
+
+    return clean(taken, feed, as_of), report
+
+
+def read_silver(spark: SparkSession, lake: Lake, feed: Feed) -> DataFrame:
+    name = lake.silver_table(feed)
+    return spark.table(name) if name else snapshots.read_table(spark, lake.silver(feed))
+
+
+def silver_version(spark: SparkSession, lake: Lake, feed: Feed) -> str | None:
+    """A text that changes with every refresh; None if there is no table yet."""
+    name = lake.silver_table(feed)
+    if not name:
+        return snapshots.version(spark, lake.silver(feed))
+    return files.read_text(spark, f"{lake.silver(feed)}/marks.json")
 
 
 def _marks_file(path: str, number: int) -> str:
@@ -52,8 +87,8 @@ def upsert_table(
     feed: Feed,
     mode: str = "newest",
     marks: dict[str, int] | None = None,
-) -> int:
-    """Merges ``updates`` into the table as a new snapshot; returns its row count.
+) -> tuple[int, int]:
+    """Merges ``updates`` into the table as a new snapshot; returns its row count and theirs.
 
     ``newest`` keeps the later of old and new row. ``replace`` lets the update win
     always. The updates are written out first: they are then computed once, and
@@ -66,10 +101,13 @@ def upsert_table(
     marks = read_marks(spark, path) if marks is None else marks
     files.write_text(spark, _marks_file(path, number), json.dumps(marks))
     if not snapshots.table_exists(spark, path):
-        return snapshots.write_table(spark, path, updates, number)
+        rows = snapshots.write_table(spark, path, updates, number)
+        return rows, rows
 
     staging = f"{here}/updates"
-    updates.write.parquet(staging)
+    seen = Observation()
+    # Observed above the last shuffle, so a rerun task is not counted twice.
+    updates.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(staging)
     staged = spark.read.schema(updates.schema).parquet(staging)
     target = snapshots.read_table(spark, path)
     keys = feed.dedup
@@ -84,7 +122,27 @@ def upsert_table(
     rows = snapshots.write_table(spark, path, merged, number)
     files.delete(spark, staging)
     snapshots.drop_old_snapshots(spark, path)
-    return rows
+    return rows, seen.get["n"]
+
+
+def _upsert_catalog_table(
+    spark: SparkSession, lake: Lake, feed: Feed, updates: DataFrame, mode: str, marks: dict[str, int]
+) -> tuple[int, int]:
+    """The same into a table of the catalog, with the marks in a file beside it.
+
+    The updates are stored first. The marks are written last: a refresh that dies before
+    is repeated, and merging the same updates again changes nothing.
+    """
+    name = lake.silver_table(feed)
+    staging = work_dir(spark, f"silver-{feed.name}")
+    updates.write.parquet(staging)
+    staged = spark.read.schema(updates.schema).parquet(staging)
+    if spark.catalog.tableExists(name):
+        merge_into_catalog_table(staged, name, feed, mode)
+    else:
+        staged.write.saveAsTable(name)
+    files.write_text(spark, f"{lake.silver(feed)}/marks.json", json.dumps(marks))
+    return spark.table(name).count(), staged.count()
 
 
 def refresh_silver(
@@ -94,54 +152,76 @@ def refresh_silver(
     mode: str = "newest",
     as_of: Column | None = None,
 ) -> Outcome:
-    """Takes in the Bronze batches landed since the last refresh, and only those."""
-    done = read_marks(spark, lake.silver(feed))
+    """Takes in the Bronze batches landed since the last refresh, and only those.
+
+    ``newest`` keeps the later of old and new row; with ``replace`` the update always wins.
+    Where the lake names a catalog for Silver, only the files concerned are rewritten;
+    snapshots are copied as a whole.
+    """
+    require_utc(spark)
+    in_catalog = lake.silver_table(feed) is not None
+    if in_catalog:
+        text = files.read_text(spark, f"{lake.silver(feed)}/marks.json")
+        done = json.loads(text) if text else {}
+    else:
+        done = read_marks(spark, lake.silver(feed))
     found = bronze.extents(spark, lake.bronze(feed), done)
     rows = bronze.read_bronze(spark, lake.bronze(feed), feed.bronze_stored, done, found)
     if rows is None:
         return Outcome("skipped", note="no new bronze batches" if done else "no bronze table")
-    updates = clean(rows.select(*feed.bronze.fieldNames()), feed, as_of)
+    updates, report = _cleaned(rows, feed, as_of)
     marks = {**done, **bronze.marks_of(found)}
-    return Outcome("ok", upsert_table(spark, lake.silver(feed), updates, feed, mode, marks))
+    if in_catalog:
+        return report(*_upsert_catalog_table(spark, lake, feed, updates, mode, marks))
+    return report(*upsert_table(spark, lake.silver(feed), updates, feed, mode, marks))
 
 
 def rebuild_silver(
     spark: SparkSession, lake: Lake, feed: Feed, as_of: Column | None = None
 ) -> Outcome:
     """Recovery: Silver from all of Bronze, whatever Silver holds now."""
+    require_utc(spark)
     path = lake.silver(feed)
     found = bronze.extents(spark, lake.bronze(feed))
     rows = bronze.read_bronze(spark, lake.bronze(feed), feed.bronze_stored, found=found)
     if rows is None:
         return Outcome("skipped", note="no bronze table")
-    number = snapshots.next_snapshot(spark, path)
     marks = bronze.marks_of(found)
+    cleaned, report = _cleaned(rows, feed, as_of)
+    name = lake.silver_table(feed)
+    if name:
+        cleaned.write.mode("overwrite").saveAsTable(name)
+        files.write_text(spark, f"{path}/marks.json", json.dumps(marks))
+        n = spark.table(name).count()
+        return report(n, n)
+    number = snapshots.next_snapshot(spark, path)
     files.write_text(spark, _marks_file(path, number), json.dumps(marks))
-    cleaned = clean(rows.select(*feed.bronze.fieldNames()), feed, as_of)
     n = snapshots.write_table(spark, path, cleaned, number)
     snapshots.drop_old_snapshots(spark, path)
-    return Outcome("ok", n)
+    return report(n, n)
 
 
-def merge_into_catalog_table(updates: DataFrame, table: str, feed: Feed) -> None:
+def merge_into_catalog_table(
+    updates: DataFrame, table: str, feed: Feed, mode: str = "newest"
+) -> None:
     """The same upsert where the catalog's tables take row-level changes.
 
     The table format then rewrites only the files it must; this is the way to go
-    for a Silver table too large to copy on each refresh. ``newest`` semantics: an
-    update that does not rank above the stored row is left out.
+    for a Silver table too large to copy on each refresh. With ``newest`` an update that
+    does not rank above the stored row is left out, ``replace`` takes every update.
     """
     names = [c for c in feed.survivor if c in updates.columns and c not in feed.dedup]
+    names += [c for c in updates.columns if c not in names and c not in feed.dedup]
     old = F.struct(*[F.col(f"{table}.{c}") for c in names])
     new = F.struct(*[F.col(f"updates.{c}") for c in names])
     same = [F.col(f"{table}.{k}").eqNullSafe(F.col(f"updates.{k}")) for k in feed.dedup]
     condition = same[0]
     for test in same[1:]:
         condition = condition & test
+    merge = updates.alias("updates").mergeInto(table, condition)
+    matched = merge.whenMatched() if mode == "replace" else merge.whenMatched(new > old)
     (
-        updates.alias("updates")
-        .mergeInto(table, condition)
-        .whenMatched(new > old)
-        .updateAll()
+        matched.updateAll()
         .whenNotMatched()
         .insertAll()
         .merge()

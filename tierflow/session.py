@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import re
 import tempfile
 import uuid
 
@@ -58,11 +59,19 @@ def shared_root(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return _private_root(spark.sparkContext.applicationId)
 
 
 def work_dir(spark: SparkSession, purpose: str) -> str:
-    """A new, unused folder path below :func:`shared_root`."""
-    return f"{shared_root(spark)}/tierflow/{purpose}-{uuid.uuid4().hex}"
+    """A new, unused folder path below :func:`shared_root`.
+
+    The session's file system deletes the folder when the session ends.
+    """
+    path = f"{shared_root(spark)}/tierflow/{purpose}-{uuid.uuid4().hex}"
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(hadoop_path)  # only what exists can be marked
+    fs.deleteOnExit(hadoop_path)
+    return f"{path}/data"

@@ -12,6 +12,7 @@ and list no others.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
@@ -71,26 +72,30 @@ def read_batch(
     return spark.read.schema(schema).parquet(_live_dir(path, run, batch_id))
 
 
+def _committed(spark: SparkSession, paths: dict[int, str]) -> list[int]:
+    """The numbers whose folders were committed, ascending."""
+    done = files.complete(spark, list(paths.values()))
+    return [n for n, ok in zip(paths, done) if ok]
+
+
 def extents(spark: SparkSession, path: str, after: Mapping[str, int] | None = None) -> list[Extent]:
-    """What is committed, per run, leaving out what lies at or below the ``after`` mark."""
+    """What is committed, per run, leaving out what lies at or below the ``after`` mark.
+
+    One listing for each run and level; commit marks are asked for only above the mark,
+    and for live batches only above the last packed one, side by side.
+    """
     after = after or {}
     packed_runs = {d.removeprefix("run=") for d in files.child_dirs(spark, f"{path}/packed")}
     live_runs = {d.removeprefix("run=") for d in files.child_dirs(spark, f"{path}/live")}
     found = []
     for run in sorted(packed_runs | live_runs):
         mark = after.get(run, -1)
-        packed = [
-            n
-            for n in files.numbered(spark, f"{path}/packed/run={run}", "upto")
-            if files.is_complete(spark, _packed_dir(path, run, n))
-        ]
+        names = files.numbered(spark, f"{path}/packed/run={run}", "upto") if run in packed_runs else []
+        packed = _committed(spark, {n: _packed_dir(path, run, n) for n in names if n > mark})
         floor = max([mark, *packed])
-        live = [
-            n
-            for n in files.numbered(spark, f"{path}/live/run={run}", "batch_id")
-            if n > floor and files.is_complete(spark, _live_dir(path, run, n))
-        ]
-        extent = Extent(run, tuple(n for n in packed if n > mark), tuple(live))
+        names = files.numbered(spark, f"{path}/live/run={run}", "batch_id") if run in live_runs else []
+        live = _committed(spark, {n: _live_dir(path, run, n) for n in names if n > floor})
+        extent = Extent(run, tuple(packed), tuple(live))
         if extent.packed or extent.live:
             found.append(extent)
     return found
@@ -167,16 +172,27 @@ def compact(
     return seen.get["n"]
 
 
-def drop_packed_batches(spark: SparkSession, path: str, run: str) -> None:
-    """Deletes live batches that a packed folder already holds.
+def drop_packed_batches(
+    spark: SparkSession, path: str, run: str, delay_seconds: float = 0.0
+) -> int:
+    """Deletes live batches that a packed folder has held for ``delay_seconds``; returns how many.
 
-    Readers that planned before the packing may still want them: run it a while after.
+    Readers that planned before the packing may still want them, so leave them the time
+    that the longest read takes.
     """
-    packed = [
+    names = files.numbered(spark, f"{path}/packed/run={run}", "upto")
+    packed = _committed(spark, {n: _packed_dir(path, run, n) for n in names})
+    before = time.time() - delay_seconds
+    old = [
+        n
+        for n in packed
+        if files.modified_at(spark, f"{_packed_dir(path, run, n)}/{files.SUCCESS}") / 1000 <= before
+    ]
+    gone = [
         n
-        for n in files.numbered(spark, f"{path}/packed/run={run}", "upto")
-        if files.is_complete(spark, _packed_dir(path, run, n))
+        for n in files.numbered(spark, f"{path}/live/run={run}", "batch_id")
+        if old and n <= max(old)
     ]
-    for n in files.numbered(spark, f"{path}/live/run={run}", "batch_id"):
-        if packed and n <= max(packed):
-            files.delete(spark, _live_dir(path, run, n))
+    for n in gone:
+        files.delete(spark, _live_dir(path, run, n))
+    return len(gone)

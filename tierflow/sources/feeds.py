@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tierflow.contracts import Feed
 from tierflow.functions.records import with_bronze_columns
 from tierflow.functions.times import iso_of_utc_wall
+from tierflow.session import require_utc
 
 NO_IP = "0.0.0.0"
 # Ingest time of repeatable runs.
@@ -20,6 +21,7 @@ AS_OF = "2024-02-01 00:00:00"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    require_utc(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

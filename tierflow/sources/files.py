@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import SparkSession
 
 SUCCESS = "_SUCCESS"
@@ -30,6 +33,22 @@ def child_dirs(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
 
 
+def child_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files in ``path``, sorted; empty if there is no such path."""
+    fs, p = _open(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isFile())
+
+
+def complete(spark: SparkSession, paths: Sequence[str]) -> list[bool]:
+    """Whether the write to each path was committed, asked side by side."""
+    if len(paths) < 2:
+        return [is_complete(spark, p) for p in paths]
+    with ThreadPoolExecutor(16) as pool:
+        return list(pool.map(lambda p: is_complete(spark, p), paths))
+
+
 def size_in_bytes(spark: SparkSession, path: str) -> int:
     fs, p = _open(spark, path)
     return fs.getContentSummary(p).getLength()

@@ -15,6 +15,8 @@ from pyspark.sql import types as T
 from tierflow.sources import files
 
 ROWS = "rows"
+# Retention: how many versions stay. A reader of an older one has to end before two more
+# refreshes are through; give ``drop_old_snapshots`` a larger number where reads take longer.
 KEPT_SNAPSHOTS = 2
 
 
@@ -92,8 +94,11 @@ def drop_old_snapshots(spark: SparkSession, path: str, keep: int = KEPT_SNAPSHOT
 
 
 def catalog(spark: SparkSession, root: str) -> DataFrame:
-    """Every folder in ``root`` by name, with whether it holds a readable table."""
-    found = [
-        (name, table_exists(spark, f"{root}/{name}")) for name in files.child_dirs(spark, root)
-    ]
-    return spark.createDataFrame(found, "table string, valid boolean").orderBy("table")
+    """Every folder in ``root`` by name, whether it holds a readable table, and how many rows."""
+    found = []
+    for name in files.child_dirs(spark, root):
+        valid = table_exists(spark, f"{root}/{name}")
+        rows = read_table(spark, f"{root}/{name}").count() if valid else None
+        found.append((name, valid, rows))
+    schema = "table string, valid boolean, rows bigint"
+    return spark.createDataFrame(found, schema).orderBy("table")

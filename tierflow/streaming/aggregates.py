@@ -1,15 +1,28 @@
-"""Revenue per minute over a stream."""
+"""Revenue per minute over a stream.
+
+``<out>/<part>`` is kept like a Bronze feed: a folder for each run (the streaming
+checkpoint's id) and micro-batch, commit marks, and packing. ``minutes`` holds the
+changes of the minutes, ``undated`` those of the null minute, which gathers the orders
+without a readable event time.
+"""
 
 from __future__ import annotations
 
+import time
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tierflow.functions import money
+from tierflow.sources import bronze, files
+from tierflow.streaming.ingest import run_id
 
 # Fixed value: how late an order may arrive and still be counted.
 LATENESS = "10 minutes"
+PARTS = ("minutes", "undated")
+_SCHEMA = "minute timestamp, revenue double, run string, batch_id bigint"
 
 
 def revenue_windows(orders: DataFrame, lateness: str = LATENESS) -> DataFrame:
@@ -23,28 +36,62 @@ def revenue_windows(orders: DataFrame, lateness: str = LATENESS) -> DataFrame:
     )
 
 
+def undated_revenue(orders: DataFrame) -> DataFrame:
+    """The running sum of orders without an event time: one row of state."""
+    undated = orders.where(F.col("event_timestamp").isNull())
+    none = F.lit(None).cast("timestamp").alias("minute")
+    return undated.groupBy(none).agg(*money.sums(F.col("amount"))).select(
+        "minute", money.total().alias("revenue")
+    )
+
+
+def _write(path: str, changed: DataFrame, batch_id: int) -> None:
+    """Lands the minutes that a micro-batch changed. A replay overwrites its own folder."""
+    spark = changed.sparkSession
+    run = run_id(spark)
+    started = f"{path}/started/{run}"
+    if not files.exists(spark, started):
+        files.write_text(spark, started, str(time.time_ns()))
+    bronze.land_batch(changed, path, run, batch_id)
+
+
 def start_revenue_stream(
     orders: DataFrame,
     out: str,
     checkpoint: str,
     lateness: str = LATENESS,
     available_now: bool = False,
-) -> StreamingQuery:
-    """Writes, per micro-batch, the minutes that changed (update mode), as
-    ``<out>/batch_id=<n>``. A replayed batch overwrites its own folder."""
+) -> list[StreamingQuery]:
+    """Writes, per micro-batch, the minutes that changed (update mode): one query for the
+    minutes and one for the null minute, each with its own checkpoint."""
+    trigger = {"availableNow": True} if available_now else {"processingTime": "5 seconds"}
+    started = []
+    for part, rows in zip(PARTS, (revenue_windows(orders, lateness), undated_revenue(orders))):
+        stream = rows.writeStream.outputMode("update").foreachBatch(partial(_write, f"{out}/{part}"))
+        stream = stream.option("checkpointLocation", f"{checkpoint}/{part}")
+        started.append(stream.trigger(**trigger).start())
+    return started
 
-    def write(changed: DataFrame, batch_id: int) -> None:
-        changed.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
-    stream = revenue_windows(orders, lateness).writeStream.outputMode("update")
-    stream = stream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    trigger = {"availableNow": True} if available_now else {"processingTime": "5 seconds"}
-    return stream.trigger(**trigger).start()
+def current_run(spark: SparkSession, path: str) -> str | None:
+    """The run that started last. A new checkpoint reads its topic anew, so its values
+    replace those of the runs before; they are not added up."""
+    runs = files.child_files(spark, f"{path}/started")
+    if not runs:
+        return None
+    return max(runs, key=lambda r: int(files.read_text(spark, f"{path}/started/{r}")))
 
 
 def read_revenue(spark: SparkSession, out: str) -> DataFrame:
-    """The current value of each minute: the one the last batch wrote."""
-    changes = spark.read.schema("minute timestamp, revenue double, batch_id bigint").parquet(out)
+    """The current value of each minute: the one that the last batch of the current run
+    wrote. Folders of unfinished batches are not read."""
+    changes = spark.createDataFrame([], _SCHEMA)
+    for part in PARTS:
+        path = f"{out}/{part}"
+        found = [e for e in bronze.extents(spark, path) if e.run == current_run(spark, path)]
+        rows = bronze.read_bronze(spark, path, changes.schema, found=found)
+        if rows is not None:
+            changes = changes.unionByName(rows.select(*changes.columns))
     return (
         changes.groupBy("minute")
         .agg(F.max_by("revenue", "batch_id").alias("revenue"))

@@ -12,23 +12,37 @@ REMEMBERED = "10 minutes"
 SALTS = 16
 
 
+def _first(rows: DataFrame, keys: Sequence[str], time: str, remembered: str, spread_by, salts) -> DataFrame:
+    marked = rows.withWatermark(time, remembered)
+    if not spread_by:
+        return marked.dropDuplicatesWithinWatermark(list(keys))
+    salted = marked.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)))
+    thinned = salted.dropDuplicatesWithinWatermark([*keys, "_salt"])
+    return thinned.drop("_salt").dropDuplicatesWithinWatermark(list(keys))
+
+
 def first_within(
     rows: DataFrame,
     keys: Sequence[str],
     remembered: str = REMEMBERED,
     spread_by: Sequence[str] = (),
     salts: int = SALTS,
+    arrival: str = "ingestion_timestamp",
 ) -> DataFrame:
     """Passes the first row of each key and drops repeats while the key is remembered.
 
+    A key is remembered for ``remembered`` after its event time; rows that come later
+    than the watermark are dropped, also if they repeat nothing. Rows without a readable
+    event time have nothing to be late by: they are told apart on the same keys (no time
+    counts as one value) and remembered by their ``arrival`` instead.
+
     Streaming deduplication has no map-side step: all rows of a key meet in
     one task. With ``spread_by`` (columns that differ between deliveries, such as
     ``partition`` and ``offset``) a first round works on key and salt, so the task that
     sees a hot key whole gets at most ``salts`` of its rows.
     """
-    marked = rows.withWatermark("event_timestamp", remembered)
-    if not spread_by:
-        return marked.dropDuplicatesWithinWatermark(list(keys))
-    salted = marked.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)))
-    thinned = salted.dropDuplicatesWithinWatermark([*keys, "_salt"])
-    return thinned.drop("_salt").dropDuplicatesWithinWatermark(list(keys))
+    dated = F.col("event_timestamp").isNotNull()
+    known = _first(rows.where(dated), keys, "event_timestamp", remembered, spread_by, salts)
+    undated = rows.where(~dated).withColumn(arrival, F.coalesce(F.col(arrival), F.current_timestamp()))
+    unknown = _first(undated, keys, arrival, remembered, spread_by, salts)
+    return known.unionByName(unknown)

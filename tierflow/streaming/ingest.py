@@ -13,6 +13,7 @@ from tierflow.functions.records import decode_checked
 from tierflow.functions.times import iso
 from tierflow.operators.live import BATCH_TYPE, SAMPLE_ROWS, row_json
 from tierflow.plans.lake import Lake
+from tierflow.session import require_utc
 from tierflow.sources import bronze
 from tierflow.sources.topics import topic_stream
 
@@ -47,13 +48,21 @@ def read_summaries(spark: SparkSession, lake: Lake, feeds: Sequence[Feed] = FEED
     return log
 
 
+def run_id(spark: SparkSession) -> str:
+    """The id of the streaming checkpoint that the current micro-batch belongs to."""
+    run = spark.sparkContext.getLocalProperty(_QUERY_ID)
+    if not run:
+        raise RuntimeError(f"{_QUERY_ID} is not set: call this from within foreachBatch")
+    return run
+
+
 def batch_handler(feed: Feed, lake: Lake) -> Callable[[DataFrame, int], None]:
     """Land, then summarise. The source is read by the landing job only: the
     record count is observed there, and the sample comes from the landed files."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        run = spark.sparkContext.getLocalProperty(_QUERY_ID)
+        run = run_id(spark)
         path = lake.bronze(feed)
         records = bronze.land_batch(batch, path, run, batch_id)
         sample: list[str] = []
@@ -77,9 +86,13 @@ def start_stream(
 ) -> StreamingQuery:
     """Starts the feed's landing stream; it resumes from its checkpoint when started again.
 
-    ``available_now`` takes what the topic holds and ends, for catch-up runs.
+    ``available_now`` takes what the topic holds and ends, for catch-up runs: its first run
+    starts at the earliest offset, a service run at the latest, unless ``options`` say
+    otherwise.
     """
-    rows = decode_checked(topic_stream(spark, feed.topic, fmt, options), feed, feed.topic)
+    require_utc(spark)
+    raw = topic_stream(spark, feed.topic, fmt, options, from_start=available_now)
+    rows = decode_checked(raw, feed, feed.topic)
     trigger = (
         {"availableNow": True}
         if available_now
