@@ -271,6 +271,22 @@ def test_dedup_remembers_rows_without_time(spark, root):
     assert got.where("event_timestamp IS NOT NULL").count() == 3
 
 
+def test_of_two_equally_old_updates_the_later_one_stays(spark, root, lake):
+    send_orders(spark, root, [order("a", amount=9.0, status="first"), order("b")])
+    ingest_orders(spark, root, lake)
+    correction = records.encode(spark.createDataFrame([order("a", amount=1.0, status="corrected")], ORDERS.event),
+                                ORDERS.key, ORDERS.topic, offset=F.lit(10**6))
+    topics.publish(correction, ORDERS.topic, "parquet", source(root, ORDERS))
+    silver.refresh_silver(spark, lake, ORDERS)
+    ingest_orders(spark, root, lake)
+    silver.refresh_silver(spark, lake, ORDERS)
+    table = snapshots.read_table(spark, lake.silver(ORDERS))
+    got = {r["order_id"]: (r["status"], r["offset"]) for r in table.collect()}
+    assert got["a"] == ("corrected", 10**6)
+    silver.rebuild_silver(spark, lake, ORDERS)
+    assert snapshots.read_table(spark, lake.silver(ORDERS)).where("order_id = 'a'").first()["amount"] == 1.0
+
+
 def test_run_id_is_known_only_inside_a_batch(spark):
     with pytest.raises(RuntimeError, match="foreachBatch"):
         ingest.run_id(spark)

@@ -37,6 +37,9 @@ BRONZE_META = [
     T.StructField("source_topic", T.StringType()),
     T.StructField("ingestion_timestamp", T.TimestampType()),
     T.StructField("event_timestamp", T.TimestampType()),
+    # Where the record stood in its topic: tells which of two equally old updates came later.
+    T.StructField("partition", T.IntegerType()),
+    T.StructField("offset", T.LongType()),
 ]
 # Why a record cannot go on to Silver, and its text; both null for a good record.
 FAULT_META = [
@@ -77,8 +80,9 @@ MART_SCHEMAS = {
 class Feed:
     """One event stream and the rules that hold for it in every layer.
 
-    ``survivor`` ranks rows that share ``dedup``: the largest (event time, then
-    the listed fields) wins, so that a rerun always keeps the same row.
+    ``survivor`` ranks rows that share ``dedup``: the largest (event time, then the later
+    offset, as a topic keeps a key in one partition, then the listed fields) wins, so that a
+    rerun always keeps the same row.
     """
 
     name: str
@@ -114,7 +118,7 @@ ORDERS = Feed(
     required=("order_id", "user_id", "amount"),
     dedup=("order_id",),
     survivor=(
-        "event_timestamp", "amount", "product", "user_id", "currency", "status", "ip", "timestamp",
+        "event_timestamp", "offset", "amount", "product", "user_id", "currency", "status", "ip", "timestamp",
         *_ARRIVAL,
     ),
 )
@@ -126,7 +130,7 @@ CLICKS = Feed(
     key="session_id",
     required=("session_id", "user_id", "page"),
     dedup=("session_id", "event_timestamp", "action"),
-    survivor=("event_timestamp", "page", "user_id", "device", "ip", "timestamp", *_ARRIVAL),
+    survivor=("event_timestamp", "offset", "page", "user_id", "device", "ip", "timestamp", *_ARRIVAL),
 )
 
 FEEDS = (ORDERS, CLICKS)

@@ -46,9 +46,13 @@ def with_bronze_columns(
     topic: Column,
     as_of: Column | None = None,
 ) -> DataFrame:
-    """Adds topic, ingest time and parsed event time to decoded events."""
+    """Adds topic, ingest time and parsed event time to decoded events; the place in the
+    topic is null where the events do not carry it."""
+    place = {"partition": "int", "offset": "bigint"}
+    unknown = {c: F.lit(None).cast(t) for c, t in place.items() if c not in events.columns}
     return events.withColumns(
         {
+            **unknown,
             "source_topic": topic,
             "ingestion_timestamp": clock_now(as_of),
             "event_timestamp": parse_instant(F.col("timestamp")),
@@ -143,17 +147,23 @@ def decode_checked(
     topic: str | None = None,
     as_of: Column | None = None,
 ) -> DataFrame:
-    """:func:`decode`, plus each record's ``reject_reason`` and, where it has one, its text.
+    """:func:`decode` with each record's place in its topic, its ``reject_reason`` and, where it
+    has one, its text. Records without a place get nulls.
 
     Broken records so stay traceable in Bronze, from the same parse and the same
     write as the good ones.
     """
+    place = [
+        (F.col(c) if c in raw.columns else F.lit(None)).cast(t).alias(c)
+        for c, t in (("partition", "int"), ("offset", "bigint"))
+    ]
     return _judged(raw, feed).select(
         *[F.col("_typed")[name].alias(name) for name in feed.event.fieldNames()],
         F.col("key").cast("string").alias("kafka_key"),
         (F.col("topic") if topic is None else F.lit(topic)).alias("source_topic"),
         clock_now(as_of).alias("ingestion_timestamp"),
         F.col("_at").alias("event_timestamp"),
+        *place,
         "reject_reason",
         F.when(F.col("reject_reason").isNotNull(), F.col("_text")).alias("rejected_value"),
     )
