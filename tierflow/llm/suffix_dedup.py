@@ -162,19 +162,22 @@ def _contexts(rows: DataFrame, kinds: DataFrame, s: Settings) -> DataFrame:
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             out = []
-            for packed, runs in zip(batch["packed"], batch["runs"], strict=True):
+            for packed, *runs in batch.itertuples(index=False):
                 data = unpack(packed)
-                for r in runs:
-                    found = [r[n] for n in names]
-                    out.append((*found, data[r["lo"] : r["hi"] + s.length]))
+                for found in zip(*(r.tolist() for r in runs), strict=True):
+                    lo, hi = found[4], found[5]
+                    out.append((*found, data[lo : hi + s.length]))
                     if len(out) >= AT_ONCE:
                         yield pd.DataFrame(out, columns=columns)
                         out = []
             yield pd.DataFrame(out, columns=columns)
 
+    # Lists of numbers, one for each field: they stay flat in memory on their way to Python.
     per_row = kinds.groupBy("_row").agg(F.collect_list(F.struct(*names)).alias("runs"))
+    per_row = per_row.select("_row", *[F.col(f"runs.{n}").alias(f"all_{n}") for n in names])
     schema = ", ".join(f"{n} long" for n in names) + ", data binary"
-    return squeezed(rows).join(per_row, "_row").select("packed", "runs").mapInPandas(run, schema)
+    joined = squeezed(rows).join(per_row, "_row").select("packed", *[f"all_{n}" for n in names])
+    return joined.mapInPandas(run, schema)
 
 
 def _pieces(contexts: DataFrame, s: Settings) -> DataFrame:
@@ -212,20 +215,21 @@ def _windows(contexts: DataFrame, pieces: DataFrame, s: Settings) -> DataFrame:
         for batch in batches:
             out = []
             for r in batch.itertuples(index=False):
-                for p in r.parts:
-                    for at in range(p["lo"], p["hi"] + 1):
+                for a, b, is_open in zip(r.los.tolist(), r.his.tolist(), r.opens.tolist(), strict=True):
+                    for at in range(a, b + 1):
                         value = _hash(r.data[at - r.lo : at - r.lo + s.length])
-                        out.append((r.inner, r.pos - at, value, p["open"], r.row, at))
+                        out.append((r.inner, r.pos - at, value, bool(is_open), r.row, at))
                 if len(out) >= AT_ONCE:
                     yield pd.DataFrame(out, columns=columns)
                     out = []
             yield pd.DataFrame(out, columns=columns)
 
     grouped = pieces.groupBy("inner", "outer").agg(
-        F.collect_list(F.struct("lo", "hi", "open")).alias("parts")
+        F.collect_list(F.struct("lo", "hi", F.col("open").cast("long").alias("open"))).alias("parts")
     )
+    lists = [F.col(f"parts.{n}").alias(f"{n}s") for n in ("lo", "hi", "open")]
     joined = contexts.join(grouped, ["inner", "outer"])
-    return joined.select("inner", F.col("_row").alias("row"), "lo", "pos", "data", "parts").mapInPandas(
+    return joined.select("inner", F.col("_row").alias("row"), "lo", "pos", "data", *lists).mapInPandas(
         run, "inner long, offset long, value long, open boolean, _row long, lo long"
     )
 
