@@ -29,10 +29,12 @@ def _star(edges: DataFrame) -> DataFrame:
     )
 
 
-def components(links: DataFrame, a: str, b: str) -> DataFrame:
+def components(links: DataFrame, a: str, b: str, passes: int | None = None) -> DataFrame:
     """``(node, component)`` for every node that has a link; the component is its smallest node.
 
     Links may be repeated, in any direction, or lead to their own start; nulls are dropped.
+    After a number of ``passes`` nodes with the same label are connected, but some connected
+    ones may still have different labels; None goes on until they have not.
     """
     edges = (
         links.select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo"))
@@ -40,6 +42,13 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
         .distinct()
     )
     edges = stored(edges, "edges")
+    if passes is not None:
+        for _ in range(passes):
+            edges = _star(edges)
+        labels = edges.groupBy(F.col("hi").alias("node")).agg(F.min("lo").alias("component"))
+        roots = edges.select(F.col("lo").alias("node")).distinct()
+        roots = roots.join(labels.select("node"), "node", "left_anti")
+        return labels.unionByName(roots.withColumn("component", F.col("node")))
     mark = [F.count(F.lit(1)), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))]
     before = edges.agg(*mark).first()
     while True:

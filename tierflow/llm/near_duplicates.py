@@ -6,11 +6,12 @@ the chance of their probability Jaccard similarity. Shingles whose next arrival
 later than all registers' first ones stop early. Bands of registers give the candidates,
 and each link is verified on the shingles themselves.
 
-Texts with the same weighted shingles are one class and compared once. In a bucket, a few
-centres are compared with the others; what is linked to one, over any path, is settled.
-Only buckets that still hold different components go on, with more centres, until all
-pairs of a bucket are either connected or have been compared: no link found by the bands
-is lost, and a large group of copies costs one comparison for each copy.
+Texts with the same weighted shingles are one class and compared once. In each bucket all
+are first compared with one centre, the text that meets most others over all buckets, as
+the original of many copies does: a large group of copies costs one comparison for each.
+Only buckets that still hold different components go on. Their texts meet in tasks of
+bounded size, which compare registers first and shingles where those agree, and pass on
+the links they find, never pairs. So no link that the bands find is lost.
 """
 
 from __future__ import annotations
@@ -22,7 +23,6 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tierflow.llm.components import components
@@ -36,7 +36,8 @@ _U = np.uint64
 class Settings:
     """``bands`` of ``rows`` registers; 32 of 5 miss a pair at 0.8 three times in a million.
     ``agreement``: share of all registers that candidates have in common at least; a pair
-    at 0.8 has less than 0.65 of 160 once in a million times. ``weights``: a shingle's weight is its ``count`` in the text, or 1 by ``presence``."""
+    at 0.8 has less than 0.65 of 160 once in a million times. ``chunk``: texts of a
+    bucket that meet in one task, on each side. ``weights``: a shingle's weight is its ``count`` in the text, or 1 by ``presence``."""
 
     shingle: int = 5
     similarity: float = 0.8
@@ -45,6 +46,7 @@ class Settings:
     agreement: float = 0.65
     weights: str = "count"
     batch_bytes: int = 1 << 20
+    chunk: int = 2048
 
 
 def weighted_shingles(texts: list[str], s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -237,53 +239,139 @@ def agreeing(pairs: DataFrame, sketches: DataFrame, s: Settings) -> DataFrame:
     return joined.select("centre", "class", "theirs", "sketch").mapInPandas(run, "centre long, class long")
 
 
-def _candidates(buckets: DataFrame, after: int, n: int) -> DataFrame:
-    """Pairs of the bucket's centres, the ``after``-th class on and ``n`` of them, with all
-    classes behind them that are in another component."""
-    rank = W.partitionBy("bucket").orderBy("class")
-    centres = buckets.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= after + n)
-    centres = centres.where(F.col("rank") > after).select(
-        "bucket", F.col("class").alias("centre"), F.col("component").alias("centre_component")
-    )
-    pairs = buckets.join(centres, "bucket").where(
-        (F.col("centre") < F.col("class")) & (F.col("centre_component") != F.col("component"))
-    )
+def _centred(buckets: DataFrame) -> DataFrame:
+    """Pairs of each bucket's centre with its other classes."""
+    centre = buckets.groupBy("bucket").agg(F.max(F.struct("degree", -F.col("class"))).alias("c"))
+    centre = centre.select("bucket", (-F.col("c")["col2"]).alias("centre"))
+    pairs = buckets.join(centre, "bucket").where(F.col("class") != F.col("centre"))
     return pairs.select("centre", "class").distinct()
 
 
+def _meetings(rows: DataFrame, s: Settings) -> DataFrame:
+    """Each row once for every task of its bucket: chunks ``i`` and ``j`` meet in a task."""
+    size = rows.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / s.chunk).cast("int").alias("chunks"))
+    own = F.pmod(F.xxhash64("class"), F.col("chunks")).cast("int")
+    k = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
+    return (
+        rows.join(size, "bucket")
+        .select("*", own.alias("own"))
+        .select("*", k.alias("k"))
+        .select("*", F.least("own", "k").alias("i"), F.greatest("own", "k").alias("j"))
+        .drop("chunks", "k")
+    )
+
+
+def _by_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The rows of each task together, from rows sorted by task."""
+    key, held = ["bucket", "i", "j"], None
+    for batch in batches:
+        if held is not None:
+            batch = pd.concat([held, batch], ignore_index=True)
+        if batch.empty:
+            continue
+        values = batch[key].to_numpy()
+        starts = np.flatnonzero(np.append(True, (values[1:] != values[:-1]).any(1)))
+        for a, b in zip(starts[:-1], starts[1:], strict=True):
+            yield batch.iloc[a:b]
+        held = batch.iloc[starts[-1] :]
+    if held is not None and len(held):
+        yield held
+
+
+def _near(task: pd.DataFrame, s: Settings) -> Iterator[tuple[int, np.ndarray]]:
+    """For each row of a task the later ones in other components whose registers agree, and
+    for which this bucket is the first that they share."""
+    bucket, i, j = task["bucket"].iloc[0], task["i"].iloc[0], task["j"].iloc[0]
+    component, own = task["component"].to_numpy(), task["own"].to_numpy()
+    bands = np.stack(task["bands"].to_list())
+    sketch = np.frombuffer(b"".join(task["sketch"]), np.uint8).reshape(len(task), -1)
+    band = int(np.flatnonzero(bands[0] == bucket)[0])
+    for a in range(len(task)):
+        if i == j:
+            others = np.arange(a + 1, len(task))
+        elif own[a] == i:
+            others = np.flatnonzero(own == j)
+        else:
+            continue
+        others = others[component[others] != component[a]]
+        others = others[(sketch[others] == sketch[a]).mean(1) >= s.agreement] if len(others) else others
+        if len(others):
+            others = others[(bands[others] == bands[a]).argmax(1) == band]
+        if len(others):
+            yield a, others
+
+
+def _worth_reading(rows: DataFrame, s: Settings) -> DataFrame:
+    """The ``(bucket, class)`` rows that have somebody near in their bucket."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for task in _by_task(batches):
+            found = np.zeros(len(task), bool)
+            for a, others in _near(task, s):
+                found[a] = True
+                found[others] = True
+            if found.any():
+                yield task.loc[found, ["bucket", "class"]]
+
+    tasks = _meetings(rows, s).repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    return tasks.mapInPandas(run, "bucket long, class long").distinct()
+
+
+def _links_within(rows: DataFrame, s: Settings) -> DataFrame:
+    """Links between components of a bucket, one for each two that a task finds connected."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for task in _by_task(batches):
+            root = {c: c for c in task["component"].tolist()}
+
+            def find(c: int) -> int:
+                while root[c] != c:
+                    root[c] = root[root[c]]
+                    c = root[c]
+                return c
+
+            lists = [_unpacked(x) for x in task["shingles"]]
+            component, names = task["component"].tolist(), task["class"].tolist()
+            out = []
+            for a, others in _near(task, s):
+                for b in others.tolist():
+                    x, y = find(component[a]), find(component[b])
+                    if x != y and alike(lists[a], lists[b], s):
+                        root[x] = y
+                        out.append((names[a], names[b]))
+            if out:
+                yield pd.DataFrame(out, columns=["centre", "class"])
+
+    tasks = _meetings(rows, s).repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    return tasks.mapInPandas(run, "centre long, class long")
+
+
 def linked_classes(documents: DataFrame, reps: DataFrame, s: Settings) -> DataFrame:
     """``(node, component)`` of all classes that have a link. ``reps``: ``(class, bands, sketch)``."""
     banded = reps.select("class", F.explode("bands").alias("bucket"))
-    several = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    buckets = stored(banded.join(several, "bucket").select("bucket", "class"), "buckets")
+    several = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    found = stored(banded.join(several, "bucket"), "met")
+    degrees = found.groupBy("class").agg(F.sum("n").alias("degree"))
+    buckets = stored(found.join(degrees, "class").select("bucket", "class", "degree"), "buckets")
     involved = buckets.select("class").distinct()
-    sketches = stored(reps.select("class", "sketch").join(involved, "class"), "sketches")
+    sketches = stored(reps.join(involved, "class").select("class", "bands", "sketch"), "sketches")
     rows = involved.select(F.col("class").alias("_row"))
     lists = stored(shingles(documents.join(rows, "_row"), s), "shingles")
-    open_buckets = buckets.withColumn("component", F.col("class"))
-    links, done, n = None, 0, 1
-    while True:
-        pairs = stored(_candidates(open_buckets, done, n), "pairs")
-        if pairs.isEmpty():
-            if links is None:
-                return buckets.select(F.col("class").alias("node"), F.col("class").alias("component")).limit(0)
-            return groups
-        close = stored(agreeing(pairs, sketches, s), "close")
-        new = stored(verify(close, lists, s), "links")
-        links = new if links is None else links.unionByName(new)
-        groups = stored(components(links, "centre", "class"), "components")
-        labelled = (
-            buckets.join(groups, F.col("class") == F.col("node"), "left")
-            .select("bucket", "class", F.coalesce("component", "class").alias("component"))
-        )
-        mixed = (
-            labelled.groupBy("bucket")
-            .agg(F.min("component").alias("a"), F.max("component").alias("b"))
-            .where("a <> b")
-            .select("bucket")
-        )
-        open_buckets = stored(labelled.join(mixed, "bucket"), "open")
-        done, n = done + n, 16 * n
+
+    close = stored(agreeing(_centred(buckets), sketches.drop("bands"), s), "close")
+    links = stored(verify(close, lists, s), "links")
+    labels = stored(components(links, "centre", "class", passes=2), "labels")
+    labelled = buckets.join(labels, F.col("class") == F.col("node"), "left").select(
+        "bucket", "class", F.coalesce("component", "class").alias("component")
+    )
+    mixed = labelled.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b"))
+    mixed = mixed.where("a <> b").select("bucket")
+    left = stored(labelled.join(mixed, "bucket"), "open")
+    worth = stored(_worth_reading(left.join(sketches, "class"), s), "worth")
+    left = left.join(worth, ["bucket", "class"]).join(sketches, "class")
+    needed = lists.join(worth.select("class").distinct(), "class", "left_semi")
+    more = stored(_links_within(left.join(needed, "class"), s), "links")
+    return components(links.unionByName(more), "centre", "class")
 
 
 def near_duplicates(documents: DataFrame, s: Settings = Settings()) -> DataFrame:
