@@ -77,6 +77,16 @@ CASES = {
 }
 
 
+def test_no_python_on_the_way(spark):
+    docs, items = CASES["spans"]
+    got = decontaminate(
+        spark.createDataFrame([(*d, "x") for d in docs], DOCS),
+        spark.createDataFrame([(*i, "x") for i in items], ITEMS),
+    )
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert not any(node in plan for node in ("Python", "Pandas", "Arrow", "Cartesian", "NestedLoop"))
+
+
 @pytest.mark.parametrize("name", CASES)
 def test_like_brute_force(spark, name):
     docs, items = CASES[name]
