@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierflow.llm.components import components
-from tierflow.llm.tables import numbered, stored, table
+from tierflow.llm.tables import numbered, smallest, stored, table
 
 STRIP = 512
 
@@ -156,7 +156,7 @@ def _links_of_size(vectors: DataFrame, size: int, s: Settings) -> DataFrame:
     """``(class, n_links, root)`` from all tasks, for the vectors of one size."""
     spark = vectors.sparkSession
     vectors = vectors.where(F.size("v") == size).select("class", "n", "v")
-    sample = vectors.orderBy(F.xxhash64("class")).limit(s.sample).select("v").toPandas()["v"]
+    sample = smallest(vectors, F.xxhash64("class"), s.sample).orderBy("class").select("v").toPandas()["v"]
     sample = unit(np.stack(sample.to_list()))
     rotation = Rotation.fit(sample, size, s)
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tierflow.llm.page_blocks import Block, blocks_of
 from tierflow.llm.page_layouts import Layouts
-from tierflow.llm.tables import table
+from tierflow.llm.tables import smallest, table
 
 N_NUMBERS = 8
 
@@ -247,11 +247,12 @@ def made_pages(words: list[str], n: int, seed: int, s: Settings) -> tuple[list[t
 
 def fit(pages: DataFrame, s: Settings = Settings()) -> Labeller:
     """Trained on layouts that use words of at most ``word_pages`` pages, picked by hash."""
+    key = F.xxhash64("html")
     sample = (
-        pages.where("html IS NOT NULL")
-        .select(F.substring("html", 1, s.word_chars).alias("html"))
-        .orderBy(F.xxhash64("html"), "html")
-        .limit(s.word_pages)
+        smallest(pages.where("html IS NOT NULL").select("html"), key, s.word_pages)
+        .groupBy(key.alias("key"))
+        .agg(F.min(F.substring("html", 1, s.word_chars)).alias("html"))
+        .orderBy("key")
         .collect()
     )
     words = [w.strip(".,") for r in sample for b in blocks_of(r["html"]) for w in b.text.split()]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierflow.session import work_dir
@@ -63,3 +63,12 @@ def texts_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         F.col(f"`{id_col}`").alias(id_col), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text")
     )
     return numbered(picked)
+
+
+def smallest(df: DataFrame, by: Column, n: int) -> DataFrame:
+    """The rows whose ``by``, a hash, is among the ``n`` smallest distinct ones.
+
+    Only hashes travel to find the limit, so a task hands on ``n`` numbers, not ``n`` rows.
+    """
+    limit = df.select(by.alias("h")).distinct().orderBy("h").limit(n).agg(F.max("h")).first()[0]
+    return df.where(by <= limit) if limit is not None else df.limit(0)
