@@ -225,7 +225,8 @@ def fit(documents: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Mo
 
     The sample is picked from the label table alone, ``train_rows`` of each class, so
     only that many texts are ever read out. Rows without id or label are not used; an
-    id with several labels counts as toxic if one says so.
+    id with several labels counts as toxic if one says so. One task trains on the sample,
+    so that the driver holds no more than the finished weights.
     """
     spark = documents.sparkSession
     seen = labels.select(F.col("doc_id"), F.col("toxic")).dropna()
@@ -240,17 +241,24 @@ def fit(documents: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Mo
     ]
     if not picked:
         return train([], [], min(prior, 0.49), s)
-    ids = spark.createDataFrame([(r["doc_id"],) for r in picked], "doc_id long")
-    label = {r["doc_id"]: int(r["toxic"]) for r in picked}
-    rows = (
+    ids = spark.createDataFrame([(r["doc_id"], int(r["toxic"])) for r in picked], "doc_id long, toxic int")
+    sample = (
         documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
         .where(F.length("text") <= s.train_chars)
         .join(F.broadcast(ids), "doc_id")  # at most two times train_rows ids
         .dropDuplicates(["doc_id"])
-        .collect()
     )
-    rows.sort(key=lambda r: r["doc_id"])
-    return train([r["text"] for r in rows], [label[r["doc_id"]] for r in rows], min(prior, 0.49), s)
+    prior = min(prior, 0.49)
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("doc_id")
+        model = train(rows["text"].tolist(), rows["toxic"].tolist(), prior, s)
+        return pd.DataFrame({"weight": [model.weight.astype("<f4").tobytes()], "bias": [model.bias]})
+
+    one = sample.groupBy(F.lit(0).alias("all")).applyInPandas(run, "weight binary, bias double").first()
+    if one is None:
+        return train([], [], prior, s)
+    return Model(s, np.frombuffer(one["weight"], "<f4").astype(float), one["bias"], prior)
 
 
 def score(documents: DataFrame, model: Model, keep: list[str]) -> DataFrame:
