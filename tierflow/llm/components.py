@@ -12,21 +12,19 @@ def _star(edges: DataFrame) -> DataFrame:
     """Each node's larger neighbours go to its smallest one, then each node with all its
     smaller ones to the smallest of them. Only minima are gathered for a node, so a node
     with very many links is no single task's work."""
-    both = edges.unionByName(edges.select(F.col("lo").alias("hi"), F.col("hi").alias("lo")))
-    least = both.groupBy(F.col("hi").alias("node")).agg(F.least(F.first("hi"), F.min("lo")).alias("root"))
+    hi, lo = F.col("hi"), F.col("lo")
+    ways = F.array(F.struct(hi.alias("node"), lo.alias("next")), F.struct(lo.alias("node"), hi.alias("next")))
+    both = edges.select(F.inline(ways))
+    least = both.groupBy("node").agg(F.min("next").alias("root"))
     large = (
-        both.where("lo > hi")
-        .join(least, F.col("hi") == F.col("node"))
-        .select(F.col("lo").alias("hi"), F.col("root").alias("lo"))
-        .distinct()
-    )
-    least = large.groupBy(F.col("hi").alias("node")).agg(F.min("lo").alias("root"))
-    met = large.join(least, F.col("hi") == F.col("node"))
-    return (
-        met.select("hi", F.col("root").alias("lo"))
-        .unionByName(met.where("lo <> root").select(F.col("lo").alias("hi"), F.col("root").alias("lo")))
+        both.where("next > node")
+        .join(least, "node")
+        .select(F.col("next").alias("hi"), F.least("node", "root").alias("lo"))
         .distinct()
     )
+    least = large.groupBy("hi").agg(F.min("lo").alias("root"))
+    met = F.array(F.struct(hi, F.col("root").alias("lo")), F.struct(lo.alias("hi"), F.col("root").alias("lo")))
+    return large.join(least, "hi").select(F.inline(met)).where("hi <> lo").distinct()
 
 
 def components(links: DataFrame, a: str, b: str, passes: int | None = None) -> DataFrame:
@@ -44,7 +42,7 @@ def components(links: DataFrame, a: str, b: str, passes: int | None = None) -> D
     edges = stored(edges, "edges")
     if passes is not None:
         for _ in range(passes):
-            edges = _star(edges)
+            edges = stored(_star(edges), "edges")
         labels = edges.groupBy(F.col("hi").alias("node")).agg(F.min("lo").alias("component"))
         roots = edges.select(F.col("lo").alias("node")).distinct()
         roots = roots.join(labels.select("node"), "node", "left_anti")
