@@ -350,6 +350,7 @@ def linked_classes(documents: DataFrame, reps: DataFrame, s: Settings) -> DataFr
     """``(node, component)`` of all classes that have a link. ``reps``: ``(class, bands, sketch)``."""
     banded = reps.select("class", F.explode("bands").alias("bucket"))
     several = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    several = stored(several, "several")  # so that Spark can split a frequent bucket's tasks
     found = stored(banded.join(several, "bucket"), "met")
     degrees = found.groupBy("class").agg(F.sum("n").alias("degree"))
     buckets = stored(found.join(degrees, "class").select("bucket", "class", "degree"), "buckets")

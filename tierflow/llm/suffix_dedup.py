@@ -240,7 +240,9 @@ def repeated_runs(rows: DataFrame, s: Settings = Settings()) -> DataFrame:
     ranks = runs.groupBy("inner").agg(
         F.count(F.lit(1)).alias("n"), F.min("outer").alias("a"), F.max("outer").alias("b")
     )
+    # Counts are stored before they are joined: Spark can then split the tasks of a frequent key.
     again = ranks.where("n > 1").select("inner", (F.col("a") != F.col("b")).alias("mixed"))
+    again = stored(again, "again")
     runs = stored(runs.join(again, "inner"), "runs")
     repeated = [runs.where("NOT mixed").select("_row", "lo", "hi")]
 
@@ -270,11 +272,12 @@ def repeated_runs(rows: DataFrame, s: Settings = Settings()) -> DataFrame:
     shared = wholes.groupBy("inner", "k", "core").agg(
         F.count(F.lit(1)).alias("kinds"), F.max("open").alias("any_open")
     )
-    shared = shared.where("kinds > 1 AND any_open").select("inner", "k", "core")
+    shared = stored(shared.where("kinds > 1 AND any_open").select("inner", "k", "core"), "shared")
     left = wholes.join(shared, ["inner", "k", "core"]).select("inner", "outer", "lo", "hi", "open")
     windows = stored(_windows(contexts, left, s), "windows")
     key = ["inner", "offset", "value"]
     double = windows.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*key)
+    double = stored(double, "double")
     single = windows.where("open").join(double, key).select("_row", "lo", F.col("lo").alias("hi"))
     repeated.append(single)
     return repeated[0].unionByName(repeated[1]).unionByName(repeated[2]).unionByName(repeated[3])
