@@ -294,7 +294,7 @@ def dashboard_header(spark: SparkSession, sf: str) -> DataFrame:
 def summary_contract(spark: SparkSession, sf: str) -> DataFrame:
     """Every summary as a message, and faulty messages made of the other tables."""
     sent = event_summaries(spark, sf, sampled=True)
-    good = sent.select(F.to_json(F.struct(*sent.columns)).alias("value"))
+    good = live.messages(sent)
 
     def message(table: str, *fields) -> DataFrame:
         return feeds.table(spark, sf, table).select(F.to_json(F.struct(*fields)).alias("value"))

@@ -135,6 +135,14 @@ def test_header(spark):
     assert tuple(live.header(never(log(spark, rows))).first()) == (0, 0, "\u2014", 0, 0)
 
 
+def test_own_summaries_are_messages(spark):
+    rows = [summary(1, sample=['{"a":"}"}', '{"b":[1]}']), summary(2), summary(3, "raw.orders", 5, at(1))]
+    sent = live.messages(log(spark, rows))
+    got = live.accept_messages(sent).orderBy("batch_id").collect()
+    assert [r["reject_reason"] for r in got] == [None] * 3
+    assert got[0]["sample"] == ['{"a":"}"}', '{"b":[1]}'] and got[1]["sample"] == []
+
+
 def test_message_contract(spark):
     full = '{"batch_id":1,"topic":"t","records":2,"timestamp":"x"'
     cases = {

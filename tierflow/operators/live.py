@@ -97,6 +97,15 @@ def with_samples(summaries: DataFrame, sampled: DataFrame) -> DataFrame:
     return filled.withColumn("sample", F.coalesce("sample", none)).select(*summaries.columns)
 
 
+def messages(summaries: DataFrame) -> DataFrame:
+    """Summaries as messages, JSON text in ``value``: the sample's rows become a list of objects."""
+    others = F.to_json(F.struct(*[c for c in summaries.columns if c != "sample"]))
+    rows = F.coalesce(F.array_join("sample", ","), F.lit(""))
+    return summaries.select(
+        F.concat(F.rtrim(others, F.lit("}")), F.lit(',"sample":['), rows, F.lit("]}")).alias("value")
+    )
+
+
 def _whole_number(text: Column) -> Column:
     """A number without a fraction, also one written as ``5.0``; else null."""
     value = text.try_cast("decimal(38,10)")
