@@ -261,40 +261,51 @@ def _meetings(rows: DataFrame, s: Settings) -> DataFrame:
     )
 
 
-def _by_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The rows of each task together, from rows sorted by task."""
-    key, held = ["bucket", "i", "j"], None
-    for batch in batches:
-        if held is not None:
-            batch = pd.concat([held, batch], ignore_index=True)
-        if batch.empty:
+def _by_task(batches: Iterator[pd.DataFrame]) -> Iterator[dict[str, np.ndarray]]:
+    """The columns of each task's rows, from rows sorted by task."""
+    held = None
+    for batch in _with_end(batches):
+        last = batch is None
+        rows = held if last else batch if held is None else pd.concat([held, batch], ignore_index=True)
+        if rows is None or rows.empty:
             continue
-        values = batch[key].to_numpy()
-        starts = np.flatnonzero(np.append(True, (values[1:] != values[:-1]).any(1)))
-        for a, b in zip(starts[:-1], starts[1:], strict=True):
-            yield batch.iloc[a:b]
-        held = batch.iloc[starts[-1] :]
-    if held is not None and len(held):
-        yield held
-
-
-def _near(task: pd.DataFrame, s: Settings) -> Iterator[tuple[int, np.ndarray]]:
+        columns = {c: rows[c].to_numpy() for c in rows.columns if c not in ("bands", "sketch")}
+        columns["bands"] = np.concatenate(rows["bands"].to_list()).reshape(len(rows), -1)
+        columns["sketch"] = np.frombuffer(b"".join(rows["sketch"]), np.uint8).reshape(len(rows), -1)
+        new = np.zeros(len(rows), bool)
+        new[0] = True
+        for c in ("bucket", "i", "j"):
+            new[1:] |= columns[c][1:] != columns[c][:-1]
+        starts = np.flatnonzero(new)
+        ends = [*starts[1:], len(rows)]
+        for a, b in zip(starts if last else starts[:-1], ends, strict=False):
+            if b - a > 1:
+                yield {c: v[a:b] for c, v in columns.items()}
+        held = None if last else rows.iloc[starts[-1] :]
+
+
+def _with_end(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame | None]:
+    yield from batches
+    yield None
+
+
+def _near(task: dict[str, np.ndarray], s: Settings) -> Iterator[tuple[int, np.ndarray]]:
     """For each row of a task the later ones in other components whose registers agree, and
     for which this bucket is the first that they share."""
-    bucket, i, j = task["bucket"].iloc[0], task["i"].iloc[0], task["j"].iloc[0]
-    component, own = task["component"].to_numpy(), task["own"].to_numpy()
-    bands = np.stack(task["bands"].to_list())
-    sketch = np.frombuffer(b"".join(task["sketch"]), np.uint8).reshape(len(task), -1)
-    band = int(np.flatnonzero(bands[0] == bucket)[0])
-    for a in range(len(task)):
-        if i == j:
-            others = np.arange(a + 1, len(task))
-        elif own[a] == i:
-            others = np.flatnonzero(own == j)
-        else:
+    i, j, own = task["i"][0], task["j"][0], task["own"]
+    component, bands, sketch = task["component"], task["bands"], task["sketch"]
+    if (component == component[0]).all():
+        return
+    band = int(np.flatnonzero(bands[0] == task["bucket"][0])[0])
+    least = s.agreement * sketch.shape[1]
+    theirs = np.flatnonzero(own == j)
+    for a in range(len(own)):
+        if i != j and own[a] != i:
             continue
+        others = np.arange(a + 1, len(own)) if i == j else theirs
         others = others[component[others] != component[a]]
-        others = others[(sketch[others] == sketch[a]).mean(1) >= s.agreement] if len(others) else others
+        if len(others):
+            others = others[np.count_nonzero(sketch[others] == sketch[a], 1) >= least]
         if len(others):
             others = others[(bands[others] == bands[a]).argmax(1) == band]
         if len(others):
@@ -306,12 +317,12 @@ def _worth_reading(rows: DataFrame, s: Settings) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for task in _by_task(batches):
-            found = np.zeros(len(task), bool)
+            found = np.zeros(len(task["class"]), bool)
             for a, others in _near(task, s):
                 found[a] = True
                 found[others] = True
             if found.any():
-                yield task.loc[found, ["bucket", "class"]]
+                yield pd.DataFrame({c: task[c][found] for c in ("bucket", "class")})
 
     tasks = _meetings(rows, s).repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
     return tasks.mapInPandas(run, "bucket long, class long").distinct()
@@ -322,7 +333,8 @@ def _links_within(rows: DataFrame, s: Settings) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for task in _by_task(batches):
-            root = {c: c for c in task["component"].tolist()}
+            component, names = task["component"].tolist(), task["class"].tolist()
+            root = {c: c for c in component}
 
             def find(c: int) -> int:
                 while root[c] != c:
@@ -330,13 +342,17 @@ def _links_within(rows: DataFrame, s: Settings) -> DataFrame:
                     c = root[c]
                 return c
 
-            lists = [_unpacked(x) for x in task["shingles"]]
-            component, names = task["component"].tolist(), task["class"].tolist()
+            lists: dict[int, tuple[np.ndarray, np.ndarray]] = {}
             out = []
             for a, others in _near(task, s):
                 for b in others.tolist():
                     x, y = find(component[a]), find(component[b])
-                    if x != y and alike(lists[a], lists[b], s):
+                    if x == y:
+                        continue
+                    for k in (a, b):
+                        if k not in lists:
+                            lists[k] = _unpacked(task["shingles"][k])
+                    if alike(lists[a], lists[b], s):
                         root[x] = y
                         out.append((names[a], names[b]))
             if out:
