@@ -13,7 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-_CACHED = 350_000
+_CACHED = 200_000
 # White space on which Python and the tokenizer might not agree: such texts are encoded whole.
 _ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 # Signs next to a comma or full stop make one token run with it. (The pattern begins with the

@@ -24,7 +24,7 @@ from tierflow.llm.tables import table, texts_of
 from tierflow.llm.words import mix
 
 WORD = re.compile(r"\w+")
-_CACHED_WORDS = 1_000_000
+_CACHED_WORDS = 150_000
 
 
 @dataclass(frozen=True)
@@ -81,18 +81,24 @@ class Model:
 
     def __post_init__(self):
         self._cache: dict[str, float] = {}
+        self._older: dict[str, float] = {}
 
     def __getstate__(self):
-        return self.__dict__ | {"_cache": {}}
+        return self.__dict__ | {"_cache": {}, "_older": {}}
 
     def word_logits(self, words: list[str]) -> list[float]:
         """Mean weight of each word's subwords; a word shorter than the shortest has none: 0."""
-        cache = self._cache
-        new = [w for w in dict.fromkeys(words) if w not in cache]
+        if len(self._cache) > _CACHED_WORDS:  # words not used since the last time go
+            self._cache, self._older = {}, self._cache
+        cache, older = self._cache, self._older
+        new = []
+        for w in dict.fromkeys(words):
+            if w not in cache:
+                if w in older:
+                    cache[w] = older[w]
+                else:
+                    new.append(w)
         if new:
-            if len(cache) + len(new) > _CACHED_WORDS:
-                cache.clear()
-                new = list(dict.fromkeys(words))
             ids, owner = subwords(new, self.settings)
             n = np.maximum(np.bincount(owner, minlength=len(new)), 1)
             mean = np.bincount(owner, self.weight[ids], len(new)) / n
