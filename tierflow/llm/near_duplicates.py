@@ -22,10 +22,12 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierflow.llm.components import components
+from tierflow.llm.suffix_dedup import byte_rows, squeezed
 from tierflow.llm.tables import free_name, numbered, stored, table, texts_of
 from tierflow.llm.words import mix, shingle_hashes, word_hashes
 
@@ -177,19 +179,23 @@ def sign(rows: DataFrame, s: Settings = Settings()) -> DataFrame:
 
 
 def shingles(rows: DataFrame, s: Settings) -> DataFrame:
-    """``(class, shingles)``: sorted hashes as bytes, and weights if they are not all one."""
+    """``(class, shingles)`` of ``(_row, packed)``: sorted hashes as bytes, and weights if they
+    are not all one."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            texts = batch["text"].tolist()
-            for part in _slices(texts, s.batch_bytes):
-                value, weight, at = weighted_shingles(texts[part], s)
-                packed = [
-                    _packed(value[a:b], weight[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)
-                ]
-                yield pd.DataFrame({"class": batch["_row"].iloc[part].to_numpy(), "shingles": packed})
+            for k in range(0, len(batch), 512):
+                some = batch.iloc[k : k + 512]
+                texts = [unpack(p).decode() for p in some["packed"]]
+                for part in _slices(texts, s.batch_bytes):
+                    value, weight, at = weighted_shingles(texts[part], s)
+                    packed = [
+                        _packed(value[a:b], weight[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)
+                    ]
+                    yield pd.DataFrame({"class": some["_row"].iloc[part].to_numpy(), "shingles": packed})
 
-    return rows.select("_row", "text").mapInPandas(run, "class long, shingles binary")
+    return rows.select("_row", "packed").mapInPandas(run, "class long, shingles binary")
 
 
 def _packed(value: np.ndarray, weight: np.ndarray) -> bytes:
@@ -373,7 +379,8 @@ def linked_classes(documents: DataFrame, reps: DataFrame, s: Settings) -> DataFr
     involved = buckets.select("class").distinct()
     sketches = stored(reps.join(involved, "class").select("class", "bands", "sketch"), "sketches")
     rows = involved.select(F.col("class").alias("_row"))
-    lists = stored(shingles(documents.join(rows, "_row"), s), "shingles")
+    packed = squeezed(byte_rows(documents)).join(rows, "_row")
+    lists = stored(shingles(packed, s), "shingles")
 
     close = stored(agreeing(_centred(buckets), sketches.drop("bands"), s), "close")
     links = stored(verify(close, lists, s), "links")
@@ -405,6 +412,7 @@ def near_duplicates(documents: DataFrame, s: Settings = Settings()) -> DataFrame
     reps = worded.join(classes.select(F.col("class").alias("_row")), "_row").select(
         F.col("_row").alias("class"), "bands", "sketch"
     )
+    reps = stored(reps, "reps")
     groups = linked_classes(documents, reps, s)
     members = classes.join(groups, F.col("class") == F.col("node"), "left").select(
         "hi", "lo", "class", F.coalesce("component", "class").alias("group_row")
