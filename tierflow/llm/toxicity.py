@@ -144,13 +144,13 @@ def train(texts: list[str], labels: list[int], prior: float, s: Settings) -> Mod
     words = list(vocabulary)
     n_words = len(words)
     step = 20_000  # words at a time, which bounds the work space
-    parts = [subwords(words[a : a + step], s) for a in range(0, n_words, step)]
-    grams = np.concatenate([g.astype(np.int32) for g, _ in parts])
-    owner = np.concatenate([(o + k * step).astype(np.int32) for k, (_, o) in enumerate(parts)])
+    parts = []
+    for k in range(0, n_words, step):
+        ids_, of = subwords(words[k : k + step], s)
+        order = np.argsort(of, kind="stable")
+        parts.append((ids_[order].astype(np.int32), (of[order] + k).astype(np.int32)))
+    grams, owner = (np.concatenate([p[side] for p in parts]) for side in (0, 1))
     del vocabulary, words, parts
-    order = np.argsort(owner, kind="stable")
-    grams, owner = grams[order], owner[order]
-    del order
     n_grams = np.maximum(np.bincount(owner, minlength=n_words), 1)
     begins = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=n_words))])
 
