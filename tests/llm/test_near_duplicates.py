@@ -126,3 +126,19 @@ def test_components(spark):
 
 def test_empty_table(spark):
     assert nd.near_duplicates(texts_of(spark.createDataFrame([], SCHEMA))).count() == 0
+
+
+def test_pairs_that_differ_in_how_often_a_line_repeats(spark):
+    rng = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(2000)]
+    texts = []
+    for _ in range(8):
+        base = " ".join(rng.choices(vocabulary, k=204))
+        lines = [" ".join(rng.choices(vocabulary, k=10)) for _ in range(2)]
+        texts += [base, f"{base} {' '.join(lines[:1] * 40)}", f"{' '.join(lines[1:] * 30)} {base}"]
+    want = brute(texts)
+    assert want == [i - i % 3 for i in range(len(texts))]
+    rows = spark.createDataFrame([(i, t, "x", "y") for i, t in enumerate(texts)], SCHEMA).coalesce(1)
+    got = nd.near_duplicates(texts_of(rows)).orderBy("doc_id").collect()
+    by_row = {r["_row"]: r["doc_id"] for r in got}
+    assert [by_row[r["group_row"]] for r in got] == want

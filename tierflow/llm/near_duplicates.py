@@ -4,7 +4,8 @@ Each shingle of a text sends arrivals of a Poisson process with its weight as th
 random registers; a register keeps its first arrival. Two texts agree in a register with
 the chance of their probability Jaccard similarity. Shingles whose next arrival comes
 later than all registers' first ones stop early. Bands of registers give the candidates,
-and each link is verified on the shingles themselves.
+and each link is verified on the shingles themselves. A text that repeats itself is signed
+twice, with its counts and as a plain set, because a link may hold by either one alone.
 
 Texts with the same weighted shingles are one class and compared once. In each bucket all
 are first compared with one centre, the text that meets most others over all buckets, as
@@ -16,7 +17,7 @@ the links they find, never pairs. So no link that the bands find is lost.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -38,7 +39,8 @@ _U = np.uint64
 class Settings:
     """``bands`` of ``rows`` registers; 32 of 5 miss a pair at 0.8 three times in a million.
     ``agreement``: share of all registers that candidates have in common at least; a pair
-    at 0.8 has less than 0.65 of 160 once in a million times. ``chunk``: texts of a
+    at 0.8 has less than 0.65 of 160 once in a million times. Both hold for similarity by
+    weights and as plain sets, each by its own registers. ``chunk``: texts of a
     bucket that meet in one task, on each side. ``weights``: a shingle's weight is its ``count`` in the text, or 1 by ``presence``."""
 
     shingle: int = 5
@@ -124,6 +126,48 @@ def alike(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], s:
     return common >= (s.similarity - 1e-12) * (len(a[0]) + len(b[0]) - common)
 
 
+def both_signatures(
+    value: np.ndarray, weight: np.ndarray, offsets: np.ndarray, m: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Signatures by weights and as plain sets, and which texts have weights that differ from
+    one; the two are the same for all others."""
+    counted = signatures(value, weight, offsets, m)
+    uneven = np.concatenate([[0], np.cumsum(weight != 1)])
+    repeats = uneven[offsets[1:]] > uneven[offsets[:-1]]
+    plain = counted.copy()
+    if repeats.any():
+        sizes = np.diff(offsets)
+        own = value[np.repeat(repeats, sizes)]
+        at = np.concatenate([[0], np.cumsum(sizes[repeats])])
+        plain[repeats] = signatures(own, np.ones(len(own)), at, m)
+    return counted, plain, repeats
+
+
+def _band_keys(found: np.ndarray, s: Settings) -> np.ndarray:
+    key = np.zeros((len(found), s.bands), _U)
+    for k in range(s.rows):
+        key = mix(key * _U(3) + found[:, k :: s.rows] + _U(k))
+    return mix(key + np.arange(s.bands, dtype=_U))
+
+
+def _twice(x: np.ndarray | bytes, size: int) -> np.ndarray | bytes:
+    """Bands or sketch by counts and as a plain set; stored once where the two are the same."""
+    if len(x) == 2 * size:
+        return x
+    return x * 2 if isinstance(x, bytes) else np.concatenate([x, x])
+
+
+def _sketches(column: Iterable[bytes], s: Settings) -> np.ndarray:
+    """A row for each text: its registers' bytes by counts and as a plain set."""
+    m = s.bands * s.rows
+    return np.frombuffer(b"".join(_twice(x, m) for x in column), np.uint8).reshape(-1, 2, m)
+
+
+def _agree(a: np.ndarray, b: np.ndarray, s: Settings) -> np.ndarray:
+    """Whether sketches agree often enough by counts or as plain sets."""
+    return (np.count_nonzero(a == b, -1) >= s.agreement * a.shape[-1]).any(-1)
+
+
 def _long(x: np.ndarray) -> np.ndarray:
     return x.astype(_U).view(np.int64)
 
@@ -142,20 +186,18 @@ def _slices(texts: list[str], size: int) -> Iterator[slice]:
 
 def sign(rows: DataFrame, s: Settings = Settings()) -> DataFrame:
     """``(_row, doc_id, hi, lo, bands, sketch)``: a digest of the weighted shingles, the band
-    hashes, and a byte of each register; null where a text has no words."""
+    hashes, and a byte of each register; null where a text has no words. A text that repeats
+    shingles has the bands and registers of its plain set behind those of its counts."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = batch["text"].tolist()
             for part in _slices(texts, s.batch_bytes):
                 value, weight, at = weighted_shingles(texts[part], s)
-                found = signatures(value, weight, at, s.bands * s.rows)
-                key = np.zeros((len(found), s.bands), _U)
-                for k in range(s.rows):
-                    key = mix(key * _U(3) + found[:, k :: s.rows] + _U(k))
-                key = mix(key + np.arange(s.bands, dtype=_U))
+                counted, plain, repeats = both_signatures(value, weight, at, s.bands * s.rows)
+                keys = np.concatenate([_band_keys(counted, s), _band_keys(plain, s)], 1)
+                low = np.concatenate([counted, plain], 1).astype(np.uint8)
                 digests, bands, sketches = [], [], []
-                low = found.astype(np.uint8)
                 for i, (a, b) in enumerate(zip(at[:-1], at[1:], strict=True)):
                     if a == b:
                         digests.append((None, None))
@@ -164,8 +206,9 @@ def sign(rows: DataFrame, s: Settings = Settings()) -> DataFrame:
                         continue
                     digest = xxhash.xxh3_128(value[a:b].tobytes() + weight[a:b].tobytes()).digest()
                     digests.append(tuple(np.frombuffer(digest, np.int64).tolist()))
-                    bands.append(_long(key[i]))
-                    sketches.append(low[i].tobytes())
+                    both = 2 if repeats[i] else 1
+                    bands.append(_long(keys[i, : both * s.bands]))
+                    sketches.append(low[i, : both * s.bands * s.rows].tobytes())
                 out = batch.iloc[part][["_row", "doc_id"]].reset_index(drop=True)
                 out["hi"] = pd.array([d[0] for d in digests], "Int64")
                 out["lo"] = pd.array([d[1] for d in digests], "Int64")
@@ -236,9 +279,8 @@ def agreeing(pairs: DataFrame, sketches: DataFrame, s: Settings) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
-                a, b = (np.frombuffer(b"".join(batch[c]), np.uint8) for c in ("theirs", "sketch"))
-                share = (a == b).reshape(len(batch), -1).mean(1)
-                yield batch.loc[share >= s.agreement, ["centre", "class"]]
+                near = _agree(_sketches(batch["theirs"], s), _sketches(batch["sketch"], s), s)
+                yield batch.loc[near, ["centre", "class"]]
 
     theirs = sketches.select(F.col("class").alias("centre"), F.col("sketch").alias("theirs"))
     joined = pairs.join(sketches, "class").join(theirs, "centre")
@@ -267,7 +309,7 @@ def _meetings(rows: DataFrame, s: Settings) -> DataFrame:
     )
 
 
-def _by_task(batches: Iterator[pd.DataFrame]) -> Iterator[dict[str, np.ndarray]]:
+def _by_task(batches: Iterator[pd.DataFrame], s: Settings) -> Iterator[dict[str, np.ndarray]]:
     """The columns of each task's rows, from rows sorted by task."""
     held = None
     for batch in _with_end(batches):
@@ -276,8 +318,9 @@ def _by_task(batches: Iterator[pd.DataFrame]) -> Iterator[dict[str, np.ndarray]]
         if rows is None or rows.empty:
             continue
         columns = {c: rows[c].to_numpy() for c in rows.columns if c not in ("bands", "sketch")}
-        columns["bands"] = np.concatenate(rows["bands"].to_list()).reshape(len(rows), -1)
-        columns["sketch"] = np.frombuffer(b"".join(rows["sketch"]), np.uint8).reshape(len(rows), -1)
+        bands = np.concatenate([_twice(b, s.bands) for b in rows["bands"]])
+        columns["bands"] = bands.reshape(len(rows), 2, s.bands)
+        columns["sketch"] = _sketches(rows["sketch"], s)
         new = np.zeros(len(rows), bool)
         new[0] = True
         for c in ("bucket", "i", "j"):
@@ -297,13 +340,12 @@ def _with_end(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame | None]:
 
 def _near(task: dict[str, np.ndarray], s: Settings) -> Iterator[tuple[int, np.ndarray]]:
     """For each row of a task the later ones in other components whose registers agree, and
-    for which this bucket is the first that they share."""
+    for which this bucket's band is the first that they share."""
     i, j, own = task["i"][0], task["j"][0], task["own"]
     component, bands, sketch = task["component"], task["bands"], task["sketch"]
     if (component == component[0]).all():
         return
-    band = int(np.flatnonzero(bands[0] == task["bucket"][0])[0])
-    least = s.agreement * sketch.shape[1]
+    band = int(np.nonzero(bands[0] == task["bucket"][0])[1][0])
     theirs = np.flatnonzero(own == j)
     for a in range(len(own)):
         if i != j and own[a] != i:
@@ -311,9 +353,11 @@ def _near(task: dict[str, np.ndarray], s: Settings) -> Iterator[tuple[int, np.nd
         others = np.arange(a + 1, len(own)) if i == j else theirs
         others = others[component[others] != component[a]]
         if len(others):
-            others = others[np.count_nonzero(sketch[others] == sketch[a], 1) >= least]
+            others = others[_agree(sketch[others], sketch[a], s)]
         if len(others):
-            others = others[(bands[others] == bands[a]).argmax(1) == band]
+            # A text's counts may meet another's plain set: they share the band all the same.
+            shared = (bands[others] == bands[a]).any(1) | (bands[others] == bands[a, ::-1]).any(1)
+            others = others[shared.argmax(1) == band]
         if len(others):
             yield a, others
 
@@ -322,7 +366,7 @@ def _worth_reading(rows: DataFrame, s: Settings) -> DataFrame:
     """The ``(bucket, class)`` rows that have somebody near in their bucket."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for task in _by_task(batches):
+        for task in _by_task(batches, s):
             found = np.zeros(len(task["class"]), bool)
             for a, others in _near(task, s):
                 found[a] = True
@@ -338,7 +382,7 @@ def _links_within(rows: DataFrame, s: Settings) -> DataFrame:
     """Links between components of a bucket, one for each two that a task finds connected."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for task in _by_task(batches):
+        for task in _by_task(batches, s):
             component, names = task["component"].tolist(), task["class"].tolist()
             root = {c: c for c in component}
 
@@ -370,7 +414,7 @@ def _links_within(rows: DataFrame, s: Settings) -> DataFrame:
 
 def linked_classes(documents: DataFrame, reps: DataFrame, s: Settings) -> DataFrame:
     """``(node, component)`` of all classes that have a link. ``reps``: ``(class, bands, sketch)``."""
-    banded = reps.select("class", F.explode("bands").alias("bucket"))
+    banded = reps.select("class", F.explode(F.array_distinct("bands")).alias("bucket"))
     several = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     several = stored(several, "several")  # so that Spark can split a frequent bucket's tasks
     found = stored(banded.join(several, "bucket"), "met")
