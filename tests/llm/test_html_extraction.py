@@ -1,5 +1,7 @@
 """Blocks of odd markup, gradients, and held-out accuracy of the labeller."""
 
+import zlib
+
 import numpy as np
 import pytest
 
@@ -94,3 +96,26 @@ def test_long_page_is_whole():
     assert len(page) == 3001 and len(page[-1].text) == 200_000
     s = Settings()
     assert len(Labeller.new(s).label([features(page, s)])[0]) == 3001
+
+
+def test_all_words_names_and_digits_of_a_block_count():
+    s = Settings()
+    ahead = " ".join(f"w{i}" for i in range(400))
+    utilities = " ".join(f"u{'abcdefgh'[i]}" for i in range(8))
+    pages = [
+        f"<div>{ahead} one</div>",
+        f"<div>{ahead} two</div>",
+        f"<div class='{utilities} sidebar'>{ahead} one</div>",
+        f"<div class='{utilities} comments'>{ahead} one</div>",
+        f"<div>{ahead} {'7' * 500}</div>",
+    ]
+    paths, words, numbers = zip(*(features(blocks_of(p), s) for p in pages), strict=True)
+    bags = [dict(w[0].T.tolist()) for w in words]
+    assert [sum(b.values()) for b in bags] == [401] * 5 and bags[0] != bags[1]
+    assert "class:sidebar" in blocks_of(pages[2])[0].path
+    assert dict(paths[2][0].T.tolist()) != dict(paths[3][0].T.tolist())
+    text = blocks_of(pages[4])[0].text
+    assert numbers[4][0, 4] == sum(c.isdigit() for c in text) / len(text) > numbers[0][0, 4]
+    x = Labeller.new(s)._inputs([features(blocks_of(pages[0]), s)])[0][0, 0]
+    names = [zlib.crc32(w.encode()) % s.buckets for w in f"{ahead} one".split()]
+    assert x[s.embed : 2 * s.embed] == pytest.approx(Labeller.new(s).weights["word"][names].mean(0))

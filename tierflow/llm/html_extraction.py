@@ -10,7 +10,8 @@ with words of the given pages, so it does not rely on elements that name their c
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -47,24 +48,32 @@ def _bucket(name: str, n: int) -> int:
     return zlib.crc32(name.encode("utf-8", "surrogatepass")) % n
 
 
+def _counts(names: Iterable[str], n: int) -> np.ndarray:
+    """Buckets of names and how many names fall into each: two rows, at most ``n`` columns."""
+    found: Counter[int] = Counter()
+    for name, k in Counter(iter(names)).items():
+        found[_bucket(name, n)] += k
+    return np.array([list(found), list(found.values())])
+
+
 def features(page: list[Block], s: Settings) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
-    """Of each block: buckets of its path, buckets of its words, and its numbers."""
+    """Of each block: counted buckets of its path, counted buckets of all its words, and its
+    numbers."""
     paths, words, numbers = [], [], np.zeros((len(page), N_NUMBERS))
     known: dict[tuple, np.ndarray] = {}
     for i, b in enumerate(page):
         if b.path not in known:
             names = dict.fromkeys([*b.path, f"last:{b.path[-1]}" if b.path else "none"])
-            known[b.path] = np.array([_bucket(n, s.buckets) for n in names])
+            known[b.path] = _counts(names, s.buckets)
         paths.append(known[b.path])
-        tokens = b.text[:2000].lower().split()[:60]  # enough to tell its kind; the text stays whole
-        words.append(np.array([_bucket(t, s.buckets) for t in tokens] or [0]))
+        words.append(_counts(b.text.lower().split(), s.buckets))
         n = len(b.text)
         numbers[i] = (
             np.log1p(n) / 6,
             b.linked / n,
             (b.text.count(".") + b.text.count(",")) * 20 / (n + 20),
             b.text[-1] in ".!?…:;\"'",
-            sum(c.isdigit() for c in b.text[:200]) / min(n, 200),
+            sum(map(str.isdigit, b.text)) / n,
             i / len(page),
             (len(page) - 1 - i) / len(page),
             min(b.depth, 12) / 12,
@@ -150,11 +159,12 @@ class Labeller:
         bags = []
         for k, name in enumerate(("path", "word")):
             lists = [b for p in pages for b in p[k]]
-            sizes = np.array([len(b) for b in lists])
-            ids, of = np.concatenate(lists), np.repeat(np.arange(len(lists)), sizes)
-            first = np.cumsum(sizes) - sizes
-            mean = np.add.reduceat(self.weights[name][ids], first, axis=0) / sizes[:, None]
-            bags.append((ids, of, sizes, mean))
+            lengths = np.array([b.shape[1] for b in lists])
+            (ids, n), of = np.concatenate(lists, 1), np.repeat(np.arange(len(lists)), lengths)
+            first = np.cumsum(lengths) - lengths
+            share = n / np.add.reduceat(n, first)[of]
+            mean = np.add.reduceat(self.weights[name][ids] * share[:, None], first, axis=0)
+            bags.append((ids, of, share, mean))
         at = 0
         where_t = np.concatenate([np.arange(len(p[2])) for p in pages])
         where_p = np.repeat(np.arange(len(pages)), [len(p[2]) for p in pages])
@@ -205,9 +215,9 @@ class Labeller:
         d_x += self._lstm_back("b", x[::-1], mask[::-1], kept_b, d_both[::-1, :, n:], grads)[::-1]
         d_blocks = d_x[where_t, where_p]
         for k, name in enumerate(("path", "word")):
-            ids, of, sizes, _ = bags[k]
-            part = d_blocks[:, k * self.settings.embed : (k + 1) * self.settings.embed] / sizes[:, None]
-            np.add.at(grads[name], ids, part[of])
+            ids, of, share, _ = bags[k]
+            part = d_blocks[:, k * self.settings.embed : (k + 1) * self.settings.embed]
+            np.add.at(grads[name], ids, part[of] * share[:, None])
         return grads
 
     def train(self, pages: list[tuple], labels: list[np.ndarray]) -> None:

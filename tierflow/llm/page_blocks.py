@@ -52,7 +52,7 @@ def _names(tag: str, attrs: str) -> list[str]:
     names = [tag]
     for m in _NAMED.finditer(attrs):
         value = html.unescape(m[2] or m[3] or m[4] or "").lower()
-        names += [f"{m[1].lower()}:{part}" for part in _NAME_PART.findall(value)[:8]]
+        names += [f"{m[1].lower()}:{part}" for part in _NAME_PART.findall(value)]
     return names
 
 
