@@ -9,6 +9,7 @@ from tierflow.llm.html_extraction import Labeller, Settings, extract, features,
 from tierflow.llm.page_blocks import blocks_of
 
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi".split()
+UNCLOSED = ["svg", "math", "object", "audio", "video", "template"]
 SMALL = Settings(layouts=900, epochs=8)
 
 
@@ -28,6 +29,16 @@ SMALL = Settings(layouts=900, epochs=8)
         ("<p>cut <a href='x", ["cut"]),
         ("<script>never closed <p>x", []),
         ("<P CLASS='A'>up</P>", ["up"]),
+        ("<html><head><title>t</title><meta a><h1>Article</h1><p>x", ["Article", "x"]),
+        ("<head><template><p>no</p></template><style>p{}</style>\n</head><p>yes", ["yes"]),
+        ("<head><title>t</title>text<p>yes", ["text", "yes"]),
+        *((f"<p>a<{t} b='c'>no<p>d</p><div>e</div>", ["a", "d", "e"]) for t in UNCLOSED),
+        *((f"<p>a</p><{t}>no<p>no</p></{t.upper()}>f", ["a", "f"]) for t in UNCLOSED),
+        *((f"<{t}>no<p>a</p><{t}><p>no</p></{t}>b<{t}>no<p>c", ["a", "b", "c"]) for t in UNCLOSED),
+        *((f"<{t}><{t}><p>no</p></{t}>no</{t}>yes<{t}/>too", ["yestoo"]) for t in UNCLOSED),
+        ("<object><p>a<svg><p>b</p><object><p>no</object>c", ["a", "b", "c"]),
+        ("\u0130" * 20 + "<script>no</SCRIPT><title>no</title>yes", ["\u0130" * 20 + "yes"]),
+        ("<script>a</scripts></\u017fcript>no</script >yes", ["yes"]),
     ],
 )
 def test_blocks(html, texts):
@@ -119,3 +130,8 @@ def test_all_words_names_and_digits_of_a_block_count():
     x = Labeller.new(s)._inputs([features(blocks_of(pages[0]), s)])[0][0, 0]
     names = [zlib.crc32(w.encode()) % s.buckets for w in f"{ahead} one".split()]
     assert x[s.embed : 2 * s.embed] == pytest.approx(Labeller.new(s).weights["word"][names].mean(0))
+
+
+def test_unclosed_elements_are_read_in_linear_time():
+    page = "".join(f"<{UNCLOSED[i % 6]}><p>{i}</p>" for i in range(20_000))
+    assert [b.text for b in blocks_of(page)] == [str(i) for i in range(20_000)]

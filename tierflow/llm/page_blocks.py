@@ -18,9 +18,9 @@ VOID_TAGS = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
 HIDDEN_TAGS = frozenset(
-    "script style head title noscript template svg math iframe object textarea audio video".split()
+    "script style title noscript noframes template svg math iframe object textarea audio video".split()
 )
-RAW_TAGS = frozenset("script style textarea title iframe noscript".split())
+RAW_TAGS = frozenset("script style textarea title iframe noscript noframes".split())
 ENDED_BY = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"),
     "td": ("td", "th"), "th": ("td", "th"), "option": ("option",),
@@ -33,6 +33,8 @@ _TOKEN = re.compile(
     r"|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)",
     re.DOTALL,
 )
+# Case counts in no tag name; ASCII, or a long s would be an s.
+_RAW_ENDS = {t: re.compile(rf"</{t}(?=[\s/>]|\Z)", re.IGNORECASE | re.ASCII) for t in RAW_TAGS}
 _NAMED = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.IGNORECASE)
 _NAME_PART = re.compile(r"[a-z]+|[0-9]+")
 
@@ -113,15 +115,31 @@ class _Reader:
 
 def blocks_of(page: str) -> list[Block]:
     """The page's blocks in order. Broken markup never fails: unknown ends are ignored,
-    missing ones implied, and a tag that the page's end cuts off is dropped."""
-    reader, at, hidden = _Reader(), 0, None
-    lowered = None
-    while at < len(page):
+    missing ones implied, and a tag that the page's end cuts off is dropped.
+
+    ``<head>`` hides nothing itself, as all that can stand in it is hidden by its own tag.
+    A hidden element that is never closed ends with the next block tag.
+    """
+    reader, at = _Reader(), 0
+    hidden, starts = "", []  # the hidden element and where it and those of its name in it start
+    resume = -1  # the first block tag in it: what is read again if its end is missing
+    unclosed: set[int] = set()
+    loose = False  # whether the hidden element is known to be one of these
+    while at < len(page) or hidden and not loose:
+        if at >= len(page):
+            # The page ends within it. Each name reads to the end at most once, since all
+            # starts without an end are known then.
+            unclosed.update(starts)
+            if resume < 0:
+                break
+            hidden, at = "", resume
+            continue
         mark = page.find("<", at)
         if mark < 0:
             if not hidden:
                 reader.text(page[at:])
-            break
+            at = len(page)
+            continue
         m = _TOKEN.match(page, mark)
         if not m:  # a lone "<"
             if not hidden:
@@ -134,28 +152,31 @@ def blocks_of(page: str) -> list[Block]:
         tag = (m["tag"] or m["tag2"] or "").lower()
         if not tag:
             continue
-        ends = bool(m["end"] or m["end2"])
-        if hidden:
-            if ends and tag == hidden:
-                hidden = None
-            elif not ends and hidden == "head" and tag == "body":
-                hidden = None
-                reader.start(tag, m["attrs"] or "")
-            elif not ends and tag in RAW_TAGS:
-                lowered = lowered if lowered is not None else page.lower()
-                close = lowered.find(f"</{tag}", at)
-                at = len(page) if close < 0 else close
-            continue
-        if ends:
-            reader.end(tag)
-        elif tag in RAW_TAGS:
+        ends, attrs = bool(m["end"] or m["end2"]), m["attrs"] or ""
+        if hidden and tag in BLOCK_TAGS:
+            if loose:
+                hidden = ""
+            elif resume < 0:
+                resume = mark
+        if not ends and tag in RAW_TAGS:
             # Its content ends at its end tag alone, whatever else is in there.
-            lowered = lowered if lowered is not None else page.lower()
-            close = lowered.find(f"</{tag}", at)
-            at = len(page) if close < 0 else close
-        elif tag in HIDDEN_TAGS and not (m["attrs"] or "").endswith("/"):
-            hidden = tag
+            close = _RAW_ENDS[tag].search(page, at)
+            at = close.start() if close else len(page)
+        elif hidden:
+            if tag != hidden or loose:
+                pass
+            elif not ends:
+                if not attrs.endswith("/"):
+                    starts.append(mark)
+            else:
+                starts.pop()
+                if not starts:
+                    hidden = ""
+        elif ends:
+            reader.end(tag)
+        elif tag in HIDDEN_TAGS and not attrs.endswith("/"):
+            hidden, starts, resume, loose = tag, [mark], -1, mark in unclosed
         else:
-            reader.start(tag, m["attrs"] or "")
+            reader.start(tag, attrs)
     reader.flush()
     return reader.blocks
