@@ -55,6 +55,20 @@ def test_repeats_are_cut_to_whole_characters(spark, root):
     assert {r["doc_id"]: r["n_chars"] for r in got.collect()} == {0: 2, 1: 2, 2: 1, 3: 0, 4: 0, 5: 5}
 
 
+def test_a_passage_of_51_words_is_cut(spark, root):
+    rng = random.Random(9)
+
+    def some(n):
+        return " ".join("".join(rng.choices("abcdefghij", k=5)) for _ in range(n))
+
+    passage = some(51)
+    # No two texts have the same letter before or behind the passage.
+    parts = [(some(rng.randint(20, 200)) + e, e + some(rng.randint(20, 200))) for e in "klmnop"]
+    docs = stored(spark, frame(spark, [f"{a} {passage} {b}" for a, b in parts]), f"{root}/d")
+    got = kept(corpus_pipeline.cut_repeats(spark, docs, ""))
+    assert got == {i: a + b for i, (a, b) in enumerate(parts)}
+
+
 def test_benchmark_documents_go(spark, root, texts):
     docs = stored(spark, frame(spark, texts), f"{root}/d")
     items = spark.createDataFrame([(1, " ".join(texts[5].split()[3:20])), (2, "no such words here")], "item_id long, text string")
