@@ -109,6 +109,24 @@ def test_labels_teach_only_where_they_may(spark):
     assert toxicity.toxicity(docs.limit(0), labels).count() == 0
 
 
+def test_long_texts_teach_too(spark):
+    rng = random.Random(6)
+    vocabulary = [f"word{i}" for i in range(300)]
+    rows = []
+    for i in range(40):
+        text = rng.choices(vocabulary, k=4000)
+        if i % 2:
+            text[rng.randrange(4000)] = "grobian"
+        rows.append((i, " ".join(text)))
+    assert min(len(t) for _, t in rows) > 20_000
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    s = toxicity.Settings(buckets=1 << 14)
+    got = toxicity.toxicity(docs, labels, s).collect()
+    assert {r["doc_id"]: r["predicted"] for r in got} == {i: i % 2 for i in range(40)}
+    assert toxicity.Settings().train_rows == 4000
+
+
 def test_whole_run(spark):
     got = corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()
     assert len(corpus_pipeline.STAGES) == 5 and got

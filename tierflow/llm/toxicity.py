@@ -29,11 +29,9 @@ _CACHED_WORDS = 150_000
 
 @dataclass(frozen=True)
 class Settings:
-    """``train_rows``: labelled texts of each class used for training, the first by id hash.
-    ``train_chars``: longer texts are left out of training (never out of scoring)."""
+    """``train_rows``: labelled texts of each class used for training, whole, the first by id hash."""
 
-    train_rows: int = 1500
-    train_chars: int = 20_000
+    train_rows: int = 4000
     buckets: int = 1 << 18
     dims: int = 8
     shortest: int = 3
@@ -250,7 +248,6 @@ def fit(documents: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Mo
     ids = spark.createDataFrame([(r["doc_id"], int(r["toxic"])) for r in picked], "doc_id long, toxic int")
     sample = (
         documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-        .where(F.length("text") <= s.train_chars)
         .join(F.broadcast(ids), "doc_id")  # at most two times train_rows ids
         .dropDuplicates(["doc_id"])
     )
