@@ -1,8 +1,9 @@
 """Bulk-synchronous best-fit packing of all texts into sequences of a fixed capacity.
 
 Lengths and gaps are whole numbers up to the capacity. Spark sorts and numbers the texts
-within their lengths; the rounds then work on runs of equal length and of equal gap, of
-which there are no more than the capacity allows, whatever the number of texts. A round
+within their lengths; the rounds then work on runs of equal length, of which there are no
+more than the capacity allows, and of equal gap, of which each match leaves at most one,
+whatever the number of texts. A round
 sweeps both in order: each run of texts goes for its successor, the smallest gap that
 holds it. Where runs want the same gap, the longer texts rank first and the rest waits;
 short texts of a run stack up in a gap. Texts that no gap holds open new sequences.
