@@ -32,7 +32,6 @@ SCHEMA = "doc_id long, text string, piece string"
 @pytest.fixture(scope="module")
 def plain():
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     return lambda text: [*t.encode(text or "", add_special_tokens=False).ids, 0]
 
 

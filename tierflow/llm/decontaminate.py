@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow.llm.tables import free_name, numbered, stored, table
+from tierflow.llm.tables import free_name, numbered, scan, stored, table
 
 NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -203,7 +203,7 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def without_benchmark(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """All columns of the rows in which no benchmark window occurs."""
-    row = free_name(documents, "_row")
+    documents, row = scan(documents), free_name(documents, "_row")
     found = hits(numbered(documents.select("text")), benchmark)
     gone = stored(found.where("n_hit > 0").select(F.col("_row").alias(row)), "contaminated")
     return numbered(documents, row).join(gone, row, "left_anti").drop(row)

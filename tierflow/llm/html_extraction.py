@@ -21,18 +21,17 @@ from pyspark.sql import functions as F
 
 from tierflow.llm.page_blocks import Block, blocks_of
 from tierflow.llm.page_layouts import Layouts
-from tierflow.llm.tables import smallest, table
+from tierflow.llm.tables import id_as_long, id_as_text, smallest, table
 
 N_NUMBERS = 8
 
 
 @dataclass(frozen=True)
 class Settings:
-    """``word_pages``: pages that lend their words to the made-up layouts, at most so many
-    characters of each; ``layouts``: pages trained on."""
+    """``word_pages``: pages that lend their words to the made-up layouts; ``layouts``: pages
+    trained on."""
 
     word_pages: int = 200
-    word_chars: int = 20_000
     layouts: int = 3000
     epochs: int = 10
     buckets: int = 1024
@@ -261,7 +260,7 @@ def fit(pages: DataFrame, s: Settings = Settings()) -> Labeller:
     sample = (
         smallest(pages.where("html IS NOT NULL").select("html"), key, s.word_pages)
         .groupBy(key.alias("key"))
-        .agg(F.min(F.substring("html", 1, s.word_chars)).alias("html"))
+        .agg(F.min("html").alias("html"))
         .orderBy("key")
         .collect()
     )
@@ -297,7 +296,9 @@ def extract(pages: DataFrame, s: Settings = Settings()) -> DataFrame:
                 out["n_chars"] = out["text"].str.len()
                 yield out
 
-    return rows.mapInPandas(run, "page_id long, url string, text string, n_chars long")
+    rows = id_as_text(rows, "page_id")
+    out = rows.mapInPandas(run, "page_id string, url string, text string, n_chars long")
+    return id_as_long(out, "page_id")
 
 
 def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow.llm.tables import stored, table, texts_of
+from tierflow.llm.tables import id_as_long, id_as_text, stored, table, texts_of
 from tierflow.llm.words import mix, word_hashes
 
 _U = np.uint64
@@ -226,7 +226,7 @@ def blocked(documents: DataFrame, s: Settings) -> DataFrame:
     """``documents`` (_row, doc_id, text) with their block, and whether they train."""
     remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7
     long = F.length("text") > s.long_chars
-    # Row numbers count up within a partition, so a block's rows stand together.
+    # Row numbers count up within a file, so a block's rows stand together.
     block = F.when(long, F.col("_row") * 2 + 1).otherwise(
         F.call_function("div", "_row", F.lit(s.block_rows)) * (2 * s.block_rows)
     )
@@ -273,11 +273,12 @@ def language_model_scores(documents: DataFrame, s: Settings = Settings()) -> Dat
         )
 
     schema = (
-        "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
+        "doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, "
         "base_score double, score double"
     )
     theirs = got.where("block >= 0").groupBy("block")
-    return rows.groupBy("block").cogroup(theirs).applyInPandas(run, schema)
+    scored = id_as_text(rows, "doc_id").groupBy("block").cogroup(theirs).applyInPandas(run, schema)
+    return id_as_long(scored, "doc_id")
 
 
 def op2_language_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

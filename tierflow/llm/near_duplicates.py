@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from tierflow.llm.components import components
 from tierflow.llm.suffix_dedup import byte_rows, squeezed
-from tierflow.llm.tables import free_name, numbered, stored, table, texts_of
+from tierflow.llm.tables import free_name, id_as_long, id_as_text, numbered, scan, stored, table, texts_of
 from tierflow.llm.words import mix, shingle_hashes, word_hashes
 
 _U = np.uint64
@@ -216,9 +216,10 @@ def sign(rows: DataFrame, s: Settings = Settings()) -> DataFrame:
                 out["sketch"] = sketches
                 yield out
 
-    return rows.mapInPandas(
-        run, "_row long, doc_id long, hi long, lo long, bands array<long>, sketch binary"
+    out = id_as_text(rows, "doc_id").mapInPandas(
+        run, "_row long, doc_id string, hi long, lo long, bands array<long>, sketch binary"
     )
+    return id_as_long(out, "doc_id")
 
 
 def shingles(rows: DataFrame, s: Settings) -> DataFrame:
@@ -476,7 +477,7 @@ def near_duplicates(documents: DataFrame, s: Settings = Settings()) -> DataFrame
 
 def without_copies(documents: DataFrame, s: Settings = Settings()) -> DataFrame:
     """All columns of the rows that stay: one row of each group."""
-    row = free_name(documents, "_row")
+    documents, row = scan(documents), free_name(documents, "_row")
     found = near_duplicates(texts_of(documents), s)
     gone = stored(found.where("NOT kept").select(F.col("_row").alias(row)), "copies")
     return numbered(documents, row).join(gone, row, "left_anti").drop(row)

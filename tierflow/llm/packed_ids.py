@@ -17,7 +17,7 @@ import public_tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-from tierflow.llm.tables import table, texts_of
+from tierflow.llm.tables import id_as_text, table, texts_of
 from tierflow.llm.token_ids import Encoder, pieces_of
 
 SCHEMA = (
@@ -122,7 +122,7 @@ def packed_ids(documents: DataFrame, tokenizer: str, s: Settings = Settings()) -
             raise ValueError(f"{s.id_type} is too narrow for the vocabulary")
         buffer, held, sequence = [], 0, TaskContext.get().partitionId() << 33
         for batch in batches:
-            docs = [None if pd.isna(d) else int(d) for d in batch["doc_id"]]
+            docs = [None if d is None else int(d) for d in batch["doc_id"]]
             texts = batch["text"].tolist()
             for a in range(0, len(texts), 64):
                 for doc, ids in zip(docs[a : a + 64], encoder.encode_many(texts[a : a + 64])):
@@ -136,7 +136,8 @@ def packed_ids(documents: DataFrame, tokenizer: str, s: Settings = Settings()) -
         if buffer:
             yield _packed(buffer, s, sequence)
 
-    return texts_of(documents).select("doc_id", "text").mapInPandas(run, SCHEMA)
+    rows = id_as_text(texts_of(documents).select("doc_id", "text"), "doc_id")
+    return rows.mapInPandas(run, SCHEMA)
 
 
 def matrix(rows: pd.DataFrame, s: Settings = Settings()) -> np.ndarray:

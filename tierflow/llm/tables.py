@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import re
 from pathlib import Path
 
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,14 +60,67 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
+#: Bits of a row number; the operators that derive further numbers from one have the rest.
+_ROW_BITS = 60
+
+
+def scan(df: DataFrame) -> DataFrame:
+    """``df`` if it is a scan of stored files, else its rows stored in the shared folder.
+
+    A function that numbers the same rows more than once takes this first.
+    """
+    plan = df._jdf.queryExecution().analyzed()
+    while plan.nodeName() in ("Project", "Filter"):
+        plan = plan.children().head()
+    hidden = plan.metadataOutput() if plan.children().isEmpty() else plan.output().take(0)
+    if any(hidden.apply(i).name() == "_metadata" for i in range(hidden.size())):
+        return df
+    return stored(df, "scan")
+
+
+def _plain_path(path: str) -> str:
+    return re.sub(":/+", ":/", path)
+
+
+def _file_bits(files: list[str]) -> tuple[int, str]:
+    """How many bits of a salted path hash tell the files apart, and the salt."""
+    bits = 0 if len(files) < 2 else 2 * (len(files) - 1).bit_length()
+    for n in range(1000):
+        salt = f"#{n}"
+        hashes = {xxhash.xxh64_intdigest(_plain_path(f) + salt, seed=42) & ((1 << bits) - 1) for f in files}
+        if len(hashes) == len(files):
+            return bits, salt
+    raise ValueError("no hash tells the files apart")
+
+
 def numbered(df: DataFrame, row: str = "_row") -> DataFrame:
-    """A number for each row, the same on every read of a stored table.
+    """A number for each row, the same on every read whatever the splits or the cluster's size.
 
-    Ids need not be unique or present, so rows are told apart by this number. It
-    follows file splits: ``df`` has to be a scan of stored files, at most with
-    columns or filters on it, not the result of a shuffle.
+    It is made of the row's place in its file and a hash of the file's path, so rows that
+    stand together in a file have numbers that do. What is not a scan of stored files, at
+    most with columns or filters on it, is stored first. A file may have 2^60 rows divided
+    by the square of the number of files; beyond that the read fails.
     """
-    return df.withColumn(row, F.monotonically_increasing_id())
+    df = scan(df)
+    files = df.inputFiles()
+    bits, salt = _file_bits(files) if files else (0, "")
+    at, path = df.metadataColumn("_metadata")["row_index"], df.metadataColumn("_metadata")["file_path"]
+    room = 1 << (_ROW_BITS - bits)
+    place = F.when(at < room, at).otherwise(F.raise_error(F.lit("a file has too many rows to number")).cast("long"))
+    if not bits:
+        return df.withColumn(row, place)
+    path = F.concat(F.regexp_replace(path, ":/+", ":/"), F.lit(salt))
+    file = F.xxhash64(path).bitwiseAND(F.lit((1 << bits) - 1))
+    return df.withColumn(row, file * F.lit(room) + place)
+
+
+def id_as_text(df: DataFrame, name: str) -> DataFrame:
+    """Ids on their way to pandas, which would turn a column with nulls to doubles."""
+    return df.withColumn(name, F.col(name).cast("string"))
+
+
+def id_as_long(df: DataFrame, name: str) -> DataFrame:
+    return df.withColumn(name, F.col(name).cast("long"))
 
 
 def texts_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

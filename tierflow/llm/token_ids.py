@@ -13,9 +13,12 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from tierflow.llm.tables import id_as_long, id_as_text
+
 _CACHED = 200_000
-# White space on which Python and the tokenizer might not agree: such texts are encoded whole.
-_ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+# White space on which Python and the tokenizer might not agree, and letters whose lower case
+# depends on what is next to them or is two characters: such texts are encoded whole.
+_ODD = re.compile("[\x1c-\x1f\x85\xa0\u0130\u03a3\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 # Signs next to a comma or full stop make one token run with it. (The pattern begins with the
 # rare characters, which is what makes the search quick.)
 _SIGN_RUN = re.compile(r"[.,](?:[^\s\w]|_|(?<=[^\s\w].)|(?<=_.))")
@@ -25,8 +28,8 @@ END = b"\0\0\0\0"
 class Encoder:
     """Ids of a tokenizer that cuts at white space first, so words can be encoded apart.
 
-    Ids come as unsigned 32-bit little-endian bytes. Strings of special tokens in a text
-    are ordinary text.
+    Ids come as unsigned 32-bit little-endian bytes, as a plain call gives them: a string of
+    a special token in a text becomes that token.
     """
 
     _open: dict[str, Encoder] = {}
@@ -36,7 +39,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cache: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -66,7 +69,7 @@ class Encoder:
     def encode_many(self, texts: list[str]) -> list[bytes]:
         out = []
         for text in texts:
-            words = words_of(text)
+            words = None if any(s in text for s in self.special) else words_of(text)
             if words is None:
                 ids = self.tokenizer.encode(text, add_special_tokens=False).ids
                 out.append(np.array(ids, "<u4").tobytes())
@@ -87,7 +90,7 @@ def words_of(text: str) -> list[str] | None:
     It lower-cases and cuts at white space, and between letters and signs, itself; doing
     so before makes for fewer distinct words.
     """
-    if _ODD_SPACE.search(text) or "\u03a3" in text or not unicodedata.is_normalized("NFC", text):
+    if _ODD.search(text) or not unicodedata.is_normalized("NFC", text):
         return None
     if not _SIGN_RUN.search(text):
         text = text.replace(",", " , ").replace(".", " . ")
@@ -116,8 +119,9 @@ def pieces(rows: DataFrame, path: str, capacity: int) -> DataFrame:
             found = pd.DataFrame(
                 out, columns=["_row", "doc_id", "piece", "start", "length", "ids_crc32"]
             )
-            yield found.assign(doc_id=found["doc_id"].astype("Int64"))
+            yield found
 
-    return rows.mapInPandas(
-        run, "_row long, doc_id long, piece int, start long, length long, ids_crc32 long"
+    out = id_as_text(rows, "doc_id").mapInPandas(
+        run, "_row long, doc_id string, piece int, start long, length long, ids_crc32 long"
     )
+    return id_as_long(out, "doc_id")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow.llm.tables import table, texts_of
+from tierflow.llm.tables import id_as_long, id_as_text, table, texts_of
 from tierflow.llm.words import mix
 
 WORD = re.compile(r"\w+")
@@ -229,7 +229,8 @@ def fit(documents: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Mo
 
     The sample is picked from the label table alone, ``train_rows`` of each class, so
     only that many texts are ever read out. Rows without id or label are not used; an
-    id with several labels counts as toxic if one says so. One task trains on the sample,
+    id with several labels counts as toxic if one says so, of several texts the one of the
+    smallest hash. One task trains on the sample,
     so that the driver holds no more than the finished weights.
     """
     spark = documents.sparkSession
@@ -249,7 +250,8 @@ def fit(documents: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Mo
     sample = (
         documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
         .join(F.broadcast(ids), "doc_id")  # at most two times train_rows ids
-        .dropDuplicates(["doc_id"])
+        .groupBy("doc_id", "toxic")
+        .agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
     )
     prior = min(prior, 0.49)
 
@@ -299,7 +301,7 @@ def toxicity(documents: DataFrame, labels: DataFrame, s: Settings = Settings())
     alike. A null id is never held out. Other columns are ignored, whatever their names.
     """
     model = fit(documents, labels, s)
-    scored = score(texts_of(documents), model, ["doc_id"])
+    scored = id_as_long(score(id_as_text(texts_of(documents), "doc_id"), model, ["doc_id"]), "doc_id")
     return scored.select(
         "doc_id",
         F.coalesce(remainder("doc_id", 5) == 0, F.lit(False)).alias("held_out"),

@@ -20,7 +20,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow.llm.tables import table
+from tierflow.llm.tables import id_as_long, id_as_text, table
 
 # Fixed values: (host, path, verdict) of the rules.
 RULES = (
@@ -244,7 +244,8 @@ def judge(pages: DataFrame, vocabulary: str, rules=RULES) -> DataFrame:
             ]
             yield batch.assign(verdict=says)
 
-    return ruled.mapInPandas(run, ruled.schema)
+    ruled = id_as_text(ruled, "page_id")
+    return id_as_long(ruled.mapInPandas(run, ruled.schema), "page_id")
 
 
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
