@@ -12,6 +12,7 @@ from tierflow.llm.decontaminate import op8_benchmark_decontamination
 from tierflow.llm.embedding_links import op6_embedding_links
 from tierflow.llm.html_extraction import op7_html_extraction
 from tierflow.llm.language_model import op2_language_model_scores
+from tierflow.llm.mixing import op13_source_mix
 from tierflow.llm.near_duplicates import op4_near_duplicates
 from tierflow.llm.packed_ids import op3_packed_token_ids
 from tierflow.llm.suffix_dedup import op1_suffix_dedup
@@ -31,6 +32,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_benchmark_decontamination": op8_benchmark_decontamination,
         "op9_url_filter": op9_url_filter,
         "op10_toxicity": op10_toxicity,
+        "op13_source_mix": op13_source_mix,
         "pipeline": corpus_pipeline.run,
     }
 
