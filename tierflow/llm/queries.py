@@ -15,6 +15,7 @@ from tierflow.llm.language_model import op2_language_model_scores
 from tierflow.llm.mixing import op13_source_mix
 from tierflow.llm.near_duplicates import op4_near_duplicates
 from tierflow.llm.packed_ids import op3_packed_token_ids
+from tierflow.llm.spelling import op12_spelling_groups
 from tierflow.llm.suffix_dedup import op1_suffix_dedup
 from tierflow.llm.toxicity import op10_toxicity
 from tierflow.llm.urls import op9_url_filter
@@ -32,6 +33,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_benchmark_decontamination": op8_benchmark_decontamination,
         "op9_url_filter": op9_url_filter,
         "op10_toxicity": op10_toxicity,
+        "op12_spelling_groups": op12_spelling_groups,
         "op13_source_mix": op13_source_mix,
         "pipeline": corpus_pipeline.run,
     }
@@ -76,6 +78,51 @@ OP6 = """
     FROM least_id LEFT JOIN n ON n.a = vec_id"""
 
 
+# CRC-32 byte by byte with a table made by its rule (the reversed polynomial is a fixed value),
+# near words by what is left without one character.
+OP12 = r"""
+    WITH RECURSIVE crc AS (
+        SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) ORDER BY i) AS t
+        FROM (SELECT unnest(range(256)) AS i)),
+    runs AS (
+        SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{00C0}-\x{00FF}]+')) AS run
+        FROM documents),
+    counted AS (SELECT id, run, count(*) AS m FROM runs WHERE length(run) >= 6 GROUP BY id, run),
+    coded AS (
+        SELECT run, m, xor(list_reduce(
+            [4294967295] || flatten(list_transform(string_split(id || ':' || run, ''), lambda c:
+                CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [195, unicode(c)::BIGINT - 64] END)),
+            lambda h, b: xor(h // 256, t[xor(h % 256, b) + 1])), 4294967295) AS h
+        FROM counted, crc),
+    words AS (
+        SELECT word, sum(m)::BIGINT AS n
+        FROM (SELECT m, CASE WHEN h % 199 = 0 THEN run[:(h % length(run))] || run[(h % length(run)) + 2:] ELSE run END AS word
+              FROM coded)
+        WHERE length(word) >= 6 GROUP BY word HAVING sum(m) >= 5),
+    cut AS (SELECT word, i, word[:i - 1] || word[i + 1:] AS rest FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)),
+    pairs AS (
+        SELECT a.word, b.word AS near FROM cut a JOIN cut b USING (i, rest) WHERE a.word <> b.word
+        UNION SELECT cut.word, w.word FROM cut JOIN words w ON w.word = cut.rest
+        UNION SELECT w.word, cut.word FROM cut JOIN words w ON w.word = cut.rest),
+    best AS (
+        SELECT p.word, count(*) AS n_near, arg_min(p.near, (-w.n, p.near)) AS near, max(w.n) AS near_n
+        FROM pairs p JOIN words w ON w.word = p.near GROUP BY p.word),
+    forms AS (
+        SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 5 * n THEN near END AS form,
+               CASE WHEN near_n >= 5 * n THEN near_n END AS form_n
+        FROM words LEFT JOIN best USING (word)),
+    steps AS (
+        SELECT word, form AS at FROM forms WHERE form IS NOT NULL
+        UNION SELECT steps.word, forms.form FROM steps JOIN forms ON forms.word = steps.at WHERE forms.form IS NOT NULL),
+    roots AS (SELECT steps.word, min(steps.at) AS root FROM steps JOIN forms ON forms.word = steps.at WHERE forms.form IS NULL GROUP BY steps.word)
+    SELECT word, form, coalesce(root, word) AS root, n, n_near, form_n FROM forms LEFT JOIN roots USING (word)"""
+
+
 def oracle_sql() -> dict[str, str]:
     """Only what SQL can say; the other queries have plain versions in tests/llm."""
-    return {"op6_embedding_links": OP6, "op8_benchmark_decontamination": OP8}
+    return {
+        "op6_embedding_links": OP6,
+        "op8_benchmark_decontamination": OP8,
+        "op12_spelling_groups": OP12,
+    }
