@@ -10,6 +10,7 @@ import corpus_pipeline
 from tierflow.llm.best_fit import op5_best_fit_packing
 from tierflow.llm.decontaminate import op8_benchmark_decontamination
 from tierflow.llm.embedding_links import op6_embedding_links
+from tierflow.llm.hard_negatives import op11_hard_negatives
 from tierflow.llm.html_extraction import op7_html_extraction
 from tierflow.llm.language_model import op2_language_model_scores
 from tierflow.llm.mixing import op13_source_mix
@@ -33,6 +34,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_benchmark_decontamination": op8_benchmark_decontamination,
         "op9_url_filter": op9_url_filter,
         "op10_toxicity": op10_toxicity,
+        "op11_hard_negatives": op11_hard_negatives,
         "op12_spelling_groups": op12_spelling_groups,
         "op13_source_mix": op13_source_mix,
         "pipeline": corpus_pipeline.run,
@@ -78,6 +80,27 @@ OP6 = """
     FROM least_id LEFT JOIN n ON n.a = vec_id"""
 
 
+# Every anchor against every row.
+OP11 = """
+    WITH q AS (
+        SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (
+        SELECT a.r AS anchor, a.vec_id AS anchor_id, b.vec_id AS id, b.r, a.label = b.label AS same,
+               list_inner_product(a.v, b.v)::BIGINT AS score
+        FROM q a JOIN q b ON a.r <> b.r WHERE a.vec_id % 50 = 0),
+    p AS (
+        SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id, r) AS k FROM s WHERE same),
+    n AS (
+        SELECT p.anchor_id, p.id AS positive_id, s.id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+               row_number() OVER (PARTITION BY p.anchor, p.k ORDER BY s.score DESC, s.id, s.r) AS rank
+        FROM p JOIN s ON s.anchor = p.anchor AND NOT s.same
+        WHERE p.k <= 5 AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
+    SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3"""
+
 # CRC-32 byte by byte with a table made by its rule (the reversed polynomial is a fixed value),
 # near words by what is left without one character.
 OP12 = r"""
@@ -124,5 +147,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op6_embedding_links": OP6,
         "op8_benchmark_decontamination": OP8,
+        "op11_hard_negatives": OP11,
         "op12_spelling_groups": OP12,
     }
