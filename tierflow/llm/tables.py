@@ -21,9 +21,13 @@ _GIVE_BACK = {
 }
 
 
+#: What goes to a Python worker at a time; the default holds 64 MB of whole texts on both sides.
+_BATCH = ("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+
+
 def importable(spark: SparkSession) -> None:
     """Lets Python workers on this machine import the package, wherever the driver started,
-    and keep no memory that they do not use.
+    and keep no memory that they do not use. Batches are small unless the session says otherwise.
 
     Elsewhere the package comes with ``--py-files`` or is installed.
     """
@@ -34,6 +38,8 @@ def importable(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([root, *paths])
     for name, value in _GIVE_BACK.items():
         env.setdefault(name, value)
+    if _BATCH[0] not in spark.conf.getAll:
+        spark.conf.set(*_BATCH)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
