@@ -214,14 +214,24 @@ def events_per_device(spark: SparkSession, sf: str) -> DataFrame:
 
 def revenue_of_any_size(spark: SparkSession, sf: str) -> DataFrame:
     """Order prices as they are, in ten millions (a billion and more), and in hundred
-    millionths of the customer number, summed up exactly."""
+    millionths of the customer number, summed up exactly; the same for prices times 1e290
+    and 1e18 next to billionths of the customer number."""
     orders = feeds.table(spark, sf, "orders")
 
-    def part(amount) -> DataFrame:
-        return orders.select(F.col("o_orderpriority").alias("product"), amount.alias("amount"))
+    def part(amount, name: str = "") -> DataFrame:
+        product = F.concat("o_orderpriority", F.lit(name)).alias("product")
+        return orders.select(product, amount.alias("amount"))
+
+    def power(number, exponent: str):
+        return F.concat(number.cast("long"), F.lit(exponent)).cast("double")
 
     price = F.col("o_totalprice")
     rows = part(price).unionByName(part(price * 1e7)).unionByName(part(F.col("o_custkey") / 1e8))
+    whole = F.floor(price)
+    for name, exponent in ((" huge", "e290"), (" large", "e18")):
+        rows = rows.unionByName(part(power(whole, exponent), name))
+        rows = rows.unionByName(part(power(F.col("o_custkey"), "e-9"), name))
+    rows = rows.unionByName(part(power(F.col("o_custkey"), "e-9"), " tiny"))
     return marts.revenue_per_product(rows)
 
 

@@ -137,8 +137,20 @@ def _two_decimals(cents: str) -> str:
     return f"(({cents} // 100)::VARCHAR || '.' || lpad(({cents} % 100)::VARCHAR, 2, '0'))::DOUBLE"
 
 
-# Every amount as the decimal that it is written as, in units of 1e-8.
+# Every amount as the decimal that it is written as, in units of 1e-8. Of very large amounts
+# the small ones beside them do not reach the double nearest to the sum.
 ANY_SIZE = f"""
+    WITH o AS (SELECT o_orderpriority AS product, floor(o_totalprice)::BIGINT AS whole, o_custkey AS k FROM orders),
+    g AS (SELECT product, sum(whole)::HUGEINT AS s, sum(k)::HUGEINT AS t, count(*) AS n FROM o GROUP BY product),
+    p AS (SELECT * FROM (VALUES (' huge', 290), (' large', 18)) AS v(name, e))
+    SELECT product || name AS product, (s::VARCHAR || 'e' || e)::DOUBLE AS total_revenue, 2 * n AS order_count,
+           ((s * 100000000000000000000::HUGEINT // (2 * n))::VARCHAR || 'e' || (e - 20))::DOUBLE AS avg_order_value
+    FROM g, p
+    UNION ALL
+    SELECT product || ' tiny', {_two_decimals("((2 * t + 10000000) // 20000000)")}, n,
+           {_two_decimals("((2 * t + 10000000 * n) // (20000000 * n))")}
+    FROM g
+    UNION ALL
     SELECT product, {_two_decimals("((2 * s + 1000000) // 2000000)")} AS total_revenue,
            n AS order_count,
            {_two_decimals("((2 * s + 1000000 * n) // (2000000 * n))")} AS avg_order_value

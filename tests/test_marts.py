@@ -1,9 +1,12 @@
 """Gold marts."""
 
 import math
-from decimal import ROUND_HALF_UP, Decimal
+import random
+from decimal import ROUND_HALF_UP, Decimal, localcontext
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tests.helpers import at, bronze_clicks, bronze_orders, click, never, order, plan
@@ -34,8 +37,19 @@ def test_revenue_per_product(spark):
 
 
 def sum_and_mean(df):
-    got = df.agg(*money.sums(F.col("amount")), F.count(F.lit(1)).alias("n"))
-    return tuple(got.select(money.total(), money.mean("n")).first())
+    """Of all rows, by way of partial sums."""
+    one = df.withColumn("k", F.lit(0))
+    got = money.totals(money.partial_sums(one, ["k"], "amount"), ["k"], "total", "n", "mean")
+    return tuple(got.select("total", "mean").first())
+
+
+def exact(amounts):
+    """Sum and mean of the amounts as Spark writes them, rounded once."""
+    with localcontext() as c:
+        c.prec = 1500
+        total = sum(Decimal(a) for a in amounts)
+        cents = [x.quantize(Decimal("0.01"), ROUND_HALF_UP) for x in (total, total / len(amounts))]
+    return tuple(float(x) for x in cents)
 
 
 INF = float("inf")
@@ -55,16 +69,26 @@ INF = float("inf")
         ([1e9] * 8 + [0.3], (8_000_000_000.3, 888_888_888.92)),
         ([3e15, 0.25, 3e15, 0.01], (6_000_000_000_000_000.0, 1_500_000_000_000_000.06)),
         ([1e-7] * 100_000, (0.01, 0.0)),
+        ([1e-9] * 5_000_000, (0.01, 0.0)),
         ([0.005, 1e-8], (0.01, 0.0)),
+        ([0.004999999999], (0.0, 0.0)),
         ([-0.005], (-0.01, -0.01)),
         ([1e19, 0.01], (1e19, 5e18)),
-        ([1e300, 1.0], (INF, INF)),
-        ([INF], (INF, INF)),
-        ([-1e20, 5.0], (-INF, -INF)),
+        ([1e300, 1.0], (1e300, 5e299)),
+        ([1e300, 0.015, -1e300], (0.02, 0.01)),
+        ([1e20, 1e-9, -1e20], (0.0, 0.0)),
+        ([-1e20, 5.0], (-1e20, -5e19)),
+        ([5e-324] * 3, (0.0, 0.0)),
+        ([1.7e308] * 30, (INF, 1.7e308)),
+        ([INF, -1e300], (INF, INF)),
+        ([-INF, 1.0], (-INF, -INF)),
     ],
 )
 def test_sums_and_means_round_half_away_from_zero(spark, amounts, expected):
-    assert sum_and_mean(spark.createDataFrame([(a,) for a in amounts], "amount double")) == expected
+    df = spark.createDataFrame([(a,) for a in amounts[:100]], "amount double")
+    if len(amounts) > 100:
+        df = spark.range(len(amounts)).select(F.lit(amounts[0]).alias("amount"))
+    assert sum_and_mean(df) == expected
 
 
 def test_sum_of_nothing_is_null(spark):
@@ -73,22 +97,23 @@ def test_sum_of_nothing_is_null(spark):
 
 def test_sum_does_not_depend_on_partitioning(spark):
     df = spark.range(100_000).select((F.col("id") % 1000 / 100 + 0.01).alias("amount"))
-    assert {sum_and_mean(df.repartition(n)) for n in (1, 3, 8)} == {(500_500.0, 5.01)}
+    written = [r[0] for r in df.select(F.col("amount").cast("string")).collect()]
+    assert {sum_and_mean(df.repartition(n)) for n in (1, 3, 8)} == {exact(written)}
 
 
-@pytest.mark.parametrize("scale", [1e-7, 0.01, 1.0, 1e9, 3e15])
+@pytest.mark.parametrize("scale", [1e-300, 1e-7, 0.01, 1.0, 1e9, 3e15, 1e20, 1e290])
 def test_sum_is_exact_for_amounts_of_any_size(spark, scale):
     """Like an exact decimal sum, however the rows are spread."""
-    amounts = [i % 97 * scale + i % 7 / 10 for i in range(3000)]
-    exact = sum(Decimal(repr(a)).quantize(Decimal("1e-8"), ROUND_HALF_UP) for a in amounts)
-    want = float(exact.quantize(Decimal("0.01"), ROUND_HALF_UP))
-    mean = float((exact / 3000).quantize(Decimal("0.01"), ROUND_HALF_UP))
+    draw = random.Random(str(scale))
+    amounts = [i % 97 * scale + i % 7 / 10 for i in range(1000)]
+    amounts += [draw.choice([-1, 1]) * draw.random() * scale for _ in range(500)]
     df = spark.createDataFrame([(a,) for a in amounts], "amount double")
-    assert {sum_and_mean(df.repartition(n)) for n in (1, 3, 7)} == {(want, mean)}
+    want = exact([r[0] for r in df.select(F.col("amount").cast("string")).collect()])
+    assert {sum_and_mean(df.repartition(n)) for n in (1, 3, 7)} == {want}
 
 
 def test_nan_and_both_infinities_have_no_sum(spark):
-    for amounts in ([float("nan"), 1.0], [1e20, -1e20]):
+    for amounts in ([float("nan"), 1.0], [INF, -INF], [float("nan"), INF]):
         got = sum_and_mean(spark.createDataFrame([(a,) for a in amounts], "amount double"))
         assert all(math.isnan(x) for x in got)
 
@@ -96,12 +121,27 @@ def test_nan_and_both_infinities_have_no_sum(spark):
 def test_sums_hold_beyond_64_bit_millionths(spark):
     """A trillion rows of 2499.99, from the partial sums of ten thousand tasks."""
     parts = spark.createDataFrame(
-        [(0, 249_999 * 10**8, None, None, 10**8)] * 10_000,
-        "_high bigint, _low bigint, _fine decimal(38,8), _beyond double, n bigint",
+        [(0, None, 0, 249_999 * 10**8, None, 0, 0, 0, 10**8, 10**8)] * 10_000, f"k int, {money.PARTIAL_SCHEMA}"
     )
-    merged = parts.agg(*[F.sum(c).alias(c) for c in (*money.SUM_COLUMNS, "n")])
-    got = merged.select(money.total(), money.mean("n")).first()
-    assert tuple(got) == (2.49999e15, 2499.99)
+    got = money.totals(money.merged(parts, ["k"]), ["k"], "total", "n", "mean").first()
+    assert tuple(got) == (0, 2.49999e15, 10**12, 2499.99)
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 2), st.floats() | st.just(0.1) | st.none(), st.booleans()), min_size=1, max_size=60))
+def test_rows_taken_back_leave_the_sums_of_the_others(spark, data):
+    schema = "k int, amount double, gone boolean, sign int"
+    rows = spark.createDataFrame([(*d, 1) for d in data], schema)
+    back = rows.where("gone").withColumn("sign", F.lit(-1))
+    kept = money.partial_sums(rows.where("NOT gone"), ["k"], "amount")
+    changes = money.partial_sums(rows.where("gone").unionByName(back), ["k"], "amount", "sign")
+    later = money.merged(money.partial_sums(rows, ["k"], "amount").unionByName(money.partial_sums(back, ["k"], "amount", "sign")), ["k"])
+
+    def end(partials):
+        return sorted(map(str, money.totals(partials, ["k"], "total", "n", "mean").collect()))
+
+    assert end(later) == end(kept)
+    assert money.merged(changes, ["k"]).count() == 0
 
 
 def test_status_counts_and_shares(spark):

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tests.helpers import at, click, envelopes, facts, order
 from tierflow.contracts import CLICKS, ORDERS
-from tierflow.functions import records
+from tierflow.functions import money, records
 from tierflow.operators import live
 from tierflow.plans import silver
 from tierflow.plans.lake import Lake
@@ -255,7 +255,8 @@ def test_revenue_without_time_and_with_a_new_checkpoint(spark, root):
     minutes = f"{root}/revenue/minutes"
     assert len(bronze.extents(spark, minutes)) == 2
     unfinished = f"{minutes}/live/run={aggregates.current_run(spark, minutes)}/batch_id=7"
-    spark.createDataFrame([(None, 1.0)], "minute timestamp, revenue double").write.parquet(unfinished)
+    wrong = spark.createDataFrame([(None, 1.0)], "minute timestamp, amount double")
+    money.partial_sums(wrong, ["minute"], "amount").write.parquet(unfinished)
     os.remove(f"{unfinished}/_SUCCESS")
     got = {str(r["minute"])[14:16]: r["revenue"] for r in aggregates.read_revenue(spark, f"{root}/revenue").collect()}
     assert got == {"": 21.5, "00": 99.0}

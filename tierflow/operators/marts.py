@@ -3,11 +3,16 @@
 Each mart is one aggregation with partial results before the shuffle, so a hot
 product or page sends one row per task. Every sort ends with the group key: equal
 measures come out in a fixed order.
+
+Every mart but for its order and limit is made of sums, kept as :class:`Sums`: those of one
+part of Silver can be added to those of another, and rows can be taken back, so that a
+stored mart follows changed rows without reading the others.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,8 +21,69 @@ from tierflow.contracts import CLICKS, ORDERS
 from tierflow.functions import money
 
 
-def _count_by(df: DataFrame, key: str, name: str) -> DataFrame:
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias(name))
+@dataclass(frozen=True)
+class Sums:
+    """Partial sums of a mart by ``key``. ``of`` takes rows, and the name of a column with 1 or -1
+    if some are to be taken back; ``add`` makes one line of each group's lines; ``mart``
+    gives the mart's rows from such lines. ``reads`` are the columns of Silver that it needs."""
+
+    key: str
+    reads: tuple[str, ...]
+    schema: str
+    of: Callable[[DataFrame, str | None], DataFrame]
+    add: Callable[[DataFrame], DataFrame]
+    mart: Callable[[DataFrame], DataFrame]
+
+
+def _counts(key: str, name: str) -> Sums:
+    def of(rows: DataFrame, sign: str | None = None) -> DataFrame:
+        n = F.count(F.lit(1)) if sign is None else F.sum(sign).cast("long")
+        return rows.groupBy(key).agg(n.alias(name))
+
+    def add(lines: DataFrame) -> DataFrame:
+        return lines.groupBy(key).agg(F.sum(name).alias(name)).where(F.col(name) != 0)
+
+    return Sums(key, (key,), f"{key} string, {name} bigint", of, add, lambda lines: lines)
+
+
+def _revenue(
+    key: str, kind: str, reads: tuple[str, ...], keyed: Callable[[DataFrame], DataFrame], names: tuple[str, ...]
+) -> Sums:
+    def of(rows: DataFrame, sign: str | None = None) -> DataFrame:
+        return money.partial_sums(keyed(rows), [key], "amount", sign)
+
+    return Sums(
+        key,
+        reads,
+        f"{key} {kind}, {money.PARTIAL_SCHEMA}",
+        of,
+        lambda lines: money.merged(lines, [key]),
+        lambda lines: money.totals(lines, [key], *names),
+    )
+
+
+def _by_minute(orders: DataFrame) -> DataFrame:
+    return orders.withColumn("minute", F.date_trunc("minute", "event_timestamp"))
+
+
+SUMS: dict[str, Sums] = {
+    "orders_revenue_per_product": _revenue(
+        "product", "string", ("product", "amount"), lambda orders: orders,
+        ("total_revenue", "order_count", "avg_order_value"),
+    ),
+    "orders_by_status": _counts("status", "order_count"),
+    "orders_revenue_per_minute": _revenue(
+        "minute", "timestamp", ("event_timestamp", "amount"), _by_minute, ("revenue",)
+    ),
+    "clicks_top_pages": _counts("page", "views"),
+    "clicks_top_actions": _counts("action", "events"),
+    "clicks_events_per_device": _counts("device", "events"),
+}
+
+
+def _made(mart: str, rows: DataFrame) -> DataFrame:
+    sums = SUMS[mart]
+    return sums.mart(sums.of(rows.select(*sums.reads), None))
 
 
 def _ranked(df: DataFrame, measure: str, key: str, ordered: bool = True) -> DataFrame:
@@ -25,43 +91,35 @@ def _ranked(df: DataFrame, measure: str, key: str, ordered: bool = True) -> Data
 
 
 def revenue_per_product(orders: DataFrame, ordered: bool = True) -> DataFrame:
-    sums = orders.groupBy("product").agg(
-        *money.sums(F.col("amount")), F.count(F.lit(1)).alias("order_count")
-    )
-    mart = sums.select(
-        "product",
-        money.total().alias("total_revenue"),
-        "order_count",
-        money.mean("order_count").alias("avg_order_value"),
-    )
-    return _ranked(mart, "total_revenue", "product", ordered)
+    return _ranked(_made("orders_revenue_per_product", orders), "total_revenue", "product", ordered)
 
 
 def orders_by_status(orders: DataFrame, ordered: bool = True) -> DataFrame:
-    return _ranked(_count_by(orders, "status", "order_count"), "order_count", "status", ordered)
+    return _ranked(_made("orders_by_status", orders), "order_count", "status", ordered)
 
 
 def revenue_per_minute(orders: DataFrame, ordered: bool = True) -> DataFrame:
     """Orders without a readable event time share the null minute."""
-    mart = (
-        orders.groupBy(F.date_trunc("minute", "event_timestamp").alias("minute"))
-        .agg(*money.sums(F.col("amount")))
-        .select("minute", money.total().alias("revenue"))
-    )
+    mart = _made("orders_revenue_per_minute", orders)
     return mart.orderBy("minute") if ordered else mart
 
 
 def top_pages(clicks: DataFrame, limit: int = 10, ordered: bool = True) -> DataFrame:
     """The rows are picked by rank either way; ``ordered`` has no further cost here."""
-    return _ranked(_count_by(clicks, "page", "views"), "views", "page").limit(limit)
+    return most_viewed(_made("clicks_top_pages", clicks), limit)
+
+
+def most_viewed(views: DataFrame, limit: int = 10) -> DataFrame:
+    """The first pages of all pages' views."""
+    return _ranked(views, "views", "page").limit(limit)
 
 
 def top_actions(clicks: DataFrame, ordered: bool = True) -> DataFrame:
-    return _ranked(_count_by(clicks, "action", "events"), "events", "action", ordered)
+    return _ranked(_made("clicks_top_actions", clicks), "events", "action", ordered)
 
 
 def events_per_device(clicks: DataFrame, ordered: bool = True) -> DataFrame:
-    return _ranked(_count_by(clicks, "device", "events"), "events", "device", ordered)
+    return _ranked(_made("clicks_events_per_device", clicks), "events", "device", ordered)
 
 
 def status_share(orders: DataFrame) -> DataFrame:
@@ -69,7 +127,7 @@ def status_share(orders: DataFrame) -> DataFrame:
 
     The total is a scalar subquery over the same counts; Spark reuses their exchange.
     """
-    counts = _count_by(orders, "status", "order_count")
+    counts = _made("orders_by_status", orders)
     total = counts.agg(F.sum("order_count")).scalar()
     shares = counts.withColumn("share", F.col("order_count") / total)
     return _ranked(shares, "order_count", "status")
