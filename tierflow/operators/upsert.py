@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierflow.operators.clean import latest_per_key
@@ -64,6 +64,43 @@ def merge_newest(
     return latest_per_key(both, keys, [*[c for c in survivor if c in both.columns], *rest])
 
 
+SIGN = "_sign"
+
+
+def matched(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of the table that an update is about. Where the updates are too large to be
+    broadcast, Spark puts a Bloom filter of their keys before the table's shuffle."""
+    return target.alias("t").join(updates.select(*keys).alias("u"), _same_key(keys, True), "left_semi")
+
+
+def changes(
+    old: DataFrame, updates: DataFrame, keys: Sequence[str], survivor: Sequence[str], mode: str = "newest"
+) -> DataFrame:
+    """What the updates do to the table: every row that comes, with ``_sign`` 1, and the row that
+    it replaces, if there was one, with -1. Updates that lose to the old row are left out.
+
+    ``old`` has the :func:`matched` rows. ``newest`` ranks as :func:`merge_newest` does, and of
+    equal rows the old one stays; with ``replace`` the update always wins.
+    """
+    old, updates = _widen(old, updates), _widen(updates, old)
+    both = old.withColumn(SIGN, F.lit(-1)).unionByName(updates.withColumn(SIGN, F.lit(1)))
+    ranked = [c for c in survivor if c in old.columns and c not in keys]
+    ranked += [c for c in old.columns if c not in ranked and c not in keys]
+    order = [F.col(c).desc_nulls_last() for c in ranked] + [F.col(SIGN)]
+    if mode == "replace":
+        order = [F.col(SIGN).desc()]
+    won = F.first(SIGN).over(Window.partitionBy(*keys).orderBy(*order))
+    return both.withColumn("_won", won).where("_won = 1").drop("_won")
+
+
+def with_changes(target: DataFrame, changed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The table after its :func:`changes`: rows replaced or added, all others as they are."""
+    new = changed.where(F.col(SIGN) == 1).drop(SIGN)
+    same = _same_key(keys, True)
+    kept = target.alias("t").join(new.select(*keys).alias("u"), same, "left_anti")
+    return kept.unionByName(new, allowMissingColumns=True)
+
+
 def merge_newest_narrow(
     target: DataFrame,
     updates: DataFrame,

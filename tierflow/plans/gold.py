@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierflow.contracts import MART_SCHEMAS, Feed
-from tierflow.operators.marts import MART_ORDER, MARTS, in_mart_order
+from tierflow.operators.marts import MART_ORDER, MARTS, SUMS, in_mart_order, most_viewed
+from tierflow.operators.upsert import SIGN
 from tierflow.plans.lake import Lake
-from tierflow.plans.silver import Outcome, read_silver, silver_version
+from tierflow.plans.silver import Outcome, changes_since, read_silver, silver_version
 from tierflow.session import require_utc
 from tierflow.sources import files, snapshots
 
@@ -17,6 +18,30 @@ def _source_note(path: str, number: int) -> str:
     return f"{snapshots.snapshot_dir(path, number)}/made_from"
 
 
+def _sums(path: str, number: int) -> str:
+    return f"{snapshots.snapshot_dir(path, number)}/sums"
+
+
+def _by_change(
+    spark: SparkSession, lake: Lake, feed: Feed, mart: str, path: str, current: int | None, number: int
+) -> tuple[DataFrame, str | None]:
+    """The mart from its sums, which are stored beside it: those of the last version with the
+    rows that came since added and those that went taken back, or all of Silver's."""
+    sums = SUMS[mart]
+    lines, note = None, None
+    if current is not None and files.is_complete(spark, _sums(path, current)):
+        changed = changes_since(spark, lake, feed, files.read_text(spark, _source_note(path, current)))
+        if changed is not None:
+            before = spark.read.schema(sums.schema).parquet(_sums(path, current))
+            lines = before.unionByName(sums.of(changed.select(*sums.reads, SIGN), SIGN))
+            note = "by change"
+    if lines is None:
+        lines = sums.of(read_silver(spark, lake, feed).select(*sums.reads), None)
+    sums.add(lines).write.mode("overwrite").parquet(_sums(path, number))
+    made = sums.mart(spark.read.schema(sums.schema).parquet(_sums(path, number)))
+    return (most_viewed(made) if mart == "clicks_top_pages" else made), note
+
+
 def refresh_mart(
     spark: SparkSession, lake: Lake, feed: Feed, mart: str, force: bool = False
 ) -> Outcome:
@@ -24,6 +49,7 @@ def refresh_mart(
 
     Silver is not cached between marts: each reads only the one or two columns it
     needs, which is less than writing the whole table to executor storage would cost.
+    Where Silver is kept in parts, only the rows that changed are read.
     """
     require_utc(spark)
     source = silver_version(spark, lake, feed)
@@ -37,10 +63,14 @@ def refresh_mart(
     number = snapshots.next_snapshot(spark, path)
     files.write_text(spark, _source_note(path, number), source)
     # Files carry no order, so there is no sort before the write; reading sorts.
-    made = MARTS[feed.name][mart](read_silver(spark, lake, feed), ordered=False)
+    note = None
+    if lake.silver_parted(feed):
+        made, note = _by_change(spark, lake, feed, mart, path, None if force else current, number)
+    else:
+        made = MARTS[feed.name][mart](read_silver(spark, lake, feed), ordered=False)
     rows = snapshots.write_table(spark, path, made, number)
     snapshots.drop_old_snapshots(spark, path)
-    return Outcome("ok", rows)
+    return Outcome("ok", rows, note)
 
 
 def load_marts(spark: SparkSession, lake: Lake, feed: Feed) -> dict[str, DataFrame]:

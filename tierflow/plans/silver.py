@@ -3,18 +3,22 @@
 from __future__ import annotations
 
 import json
+import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierflow.contracts import Feed
 from tierflow.operators.clean import clean, intake
-from tierflow.operators.upsert import merge_newest, merge_newest_narrow, merge_replace
+from tierflow.operators.upsert import (
+    SIGN, changes, matched, merge_newest, merge_newest_narrow, merge_replace, with_changes,
+)
 from tierflow.plans.lake import Lake
 from tierflow.session import require_utc, work_dir
-from tierflow.sources import bronze, files, snapshots
+from tierflow.sources import bronze, files, parts, snapshots
 
 
 @dataclass(frozen=True)
@@ -45,12 +49,19 @@ def _cleaned(
 
 
 def read_silver(spark: SparkSession, lake: Lake, feed: Feed) -> DataFrame:
+    table = lake.silver_parted(feed)
+    if table:
+        return spark.table(table.view)
     name = lake.silver_table(feed)
     return spark.table(name) if name else snapshots.read_table(spark, lake.silver(feed))
 
 
 def silver_version(spark: SparkSession, lake: Lake, feed: Feed) -> str | None:
     """A text that changes with every refresh; None if there is no table yet."""
+    table = lake.silver_parted(feed)
+    if table:
+        says = parts.properties(spark, table)
+        return f"{says['version']}@{says['made']}" if says else None
     name = lake.silver_table(feed)
     if not name:
         return snapshots.version(spark, lake.silver(feed))
@@ -125,6 +136,97 @@ def upsert_table(
     return rows, seen.get["n"]
 
 
+def _publish_parts(
+    spark: SparkSession, table: parts.Parted, number: int, schema: T.StructType,
+    lie: dict[int, str], n_parts: int, rows: int, marks: dict[str, int],
+) -> None:
+    says = {"parts": str(n_parts), "rows": str(rows), "marks": json.dumps(marks), "made": str(time.time_ns())}
+    parts.publish(spark, table, number, schema, lie, says)
+    parts.drop_old_versions(spark, table)
+
+
+def load_parts(
+    spark: SparkSession, table: parts.Parted, rows: DataFrame, feed: Feed, n_parts: int, marks: dict[str, int]
+) -> int:
+    """All rows of a table as its next version; returns their number."""
+    number = parts.next_version(spark, table)
+    here = f"{table.folder(number)}/rows"
+    dealt = rows.withColumn(parts.PART, parts.part_of(feed.dedup, n_parts)).repartition(parts.PART)
+    seen = Observation()
+    dealt.observe(seen, F.count(F.lit(1)).alias("n")).write.partitionBy(parts.PART).parquet(here)
+    lie = {int(d.split("=")[1]): f"{here}/{d}" for d in files.child_dirs(spark, here)}
+    _publish_parts(spark, table, number, rows.schema, lie, n_parts, seen.get["n"], marks)
+    return seen.get["n"]
+
+
+def upsert_parts(
+    spark: SparkSession, table: parts.Parted, updates: DataFrame, feed: Feed, n_parts: int,
+    mode: str = "newest", marks: dict[str, int] | None = None,
+) -> tuple[int, int]:
+    """Merges ``updates`` into a table in parts; returns its row count and theirs.
+
+    Reads the parts that updates belong to and rewrites those where one takes effect; all
+    others stay where they lie. What changes is kept in the version's folder, the old row
+    beside the new one, for whatever is derived from the table.
+    """
+    if mode not in ("newest", "replace"):
+        raise ValueError(f"unknown mode {mode!r}")
+    says = parts.properties(spark, table)
+    if says is None:
+        rows = load_parts(spark, table, updates, feed, n_parts, marks or {})
+        return rows, rows
+    n_parts, last = int(says["parts"]), int(says["version"])
+    marks = json.loads(says["marks"]) if marks is None else marks
+    number = parts.next_version(spark, table)
+    here, keys = table.folder(number), feed.dedup
+    staging = f"{here}/updates"
+    seen = Observation()
+    dealt = updates.withColumn(parts.PART, parts.part_of(keys, n_parts))
+    dealt.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(staging)
+    staged = spark.read.schema(dealt.schema).parquet(staging)
+    if mode == "replace":
+        _require_unique(staged, keys)
+
+    def parts_of(rows: DataFrame) -> list[int]:
+        return sorted(r[0] for r in rows.select(parts.PART).distinct().collect())  # at most all parts
+
+    named = parts_of(staged)
+    mine = staged.where(F.col(parts.PART).isin(named))  # all; tells Spark that a filter of their keys is worth it
+    old = matched(parts.read_version(spark, table, last, named), mine, keys)
+    survivor = [c for c in feed.survivor if c in updates.columns]
+    found = changes(old, staged, keys, survivor, mode)
+    found.write.parquet(f"{here}/changes")
+    changed = spark.read.schema(found.schema).parquet(f"{here}/changes")
+    signs = changed.agg(F.sum(SIGN).alias("added")).first()
+    hit = parts_of(changed)
+    lie = parts.locations(spark, table, last)
+    if hit:
+        after = with_changes(parts.read_version(spark, table, last, hit), changed, keys)
+        if files.size_in_bytes(spark, f"{here}/changes") > _broadcast_limit(spark):
+            after = after.repartition(parts.PART)  # joined by key, a task has rows of all parts
+        after.write.partitionBy(parts.PART).parquet(f"{here}/rows")
+        lie.update({k: f"{here}/rows/{parts.PART}={k}" for k in hit})
+    files.delete(spark, staging)
+    rows = int(says["rows"]) + (signs["added"] or 0)
+    _publish_parts(spark, table, number, found.drop(SIGN).schema, lie, n_parts, rows, marks)
+    return rows, seen.get["n"]
+
+
+def changes_since(spark: SparkSession, lake: Lake, feed: Feed, version: str) -> DataFrame | None:
+    """All :func:`changes` of the table since that version; None if they are not all kept."""
+    table = lake.silver_parted(feed)
+    says = parts.properties(spark, table) if table else None
+    if says is None or not version.split("@")[0].isdigit():
+        return None
+    numbers = range(int(version.split("@")[0]) + 1, int(says["version"]) + 1)
+    kept = files.numbered(spark, table.path, "version")
+    folders = [f"{table.folder(n)}/changes" for n in numbers if n in kept]
+    # A version that was loaded as a whole, or a writer that died, has no changes.
+    if not folders or len(folders) < len(numbers) or not all(files.complete(spark, folders)):
+        return None
+    return spark.read.option("mergeSchema", "true").parquet(*folders)
+
+
 def _upsert_catalog_table(
     spark: SparkSession, lake: Lake, feed: Feed, updates: DataFrame, mode: str, marks: dict[str, int]
 ) -> tuple[int, int]:
@@ -155,12 +257,16 @@ def refresh_silver(
     """Takes in the Bronze batches landed since the last refresh, and only those.
 
     ``newest`` keeps the later of old and new row; with ``replace`` the update always wins.
-    Where the lake names a catalog for Silver, only the files concerned are rewritten;
-    snapshots are copied as a whole.
+    Where Silver is kept in parts, or in a catalog that takes row-level changes, only the
+    parts or files concerned are rewritten; snapshots are copied as a whole.
     """
     require_utc(spark)
-    in_catalog = lake.silver_table(feed) is not None
-    if in_catalog:
+    table = lake.silver_parted(feed)
+    in_catalog = table is None and lake.silver_table(feed) is not None
+    if table:
+        says = parts.properties(spark, table)
+        done = json.loads(says["marks"]) if says else {}
+    elif in_catalog:
         text = files.read_text(spark, f"{lake.silver(feed)}/marks.json")
         done = json.loads(text) if text else {}
     else:
@@ -171,6 +277,8 @@ def refresh_silver(
         return Outcome("skipped", note="no new bronze batches" if done else "no bronze table")
     updates, report = _cleaned(rows, feed, as_of)
     marks = {**done, **bronze.marks_of(found)}
+    if table:
+        return report(*upsert_parts(spark, table, updates, feed, lake.silver_parts, mode, marks))
     if in_catalog:
         return report(*_upsert_catalog_table(spark, lake, feed, updates, mode, marks))
     return report(*upsert_table(spark, lake.silver(feed), updates, feed, mode, marks))
@@ -188,6 +296,10 @@ def rebuild_silver(
         return Outcome("skipped", note="no bronze table")
     marks = bronze.marks_of(found)
     cleaned, report = _cleaned(rows, feed, as_of)
+    table = lake.silver_parted(feed)
+    if table:
+        n = load_parts(spark, table, cleaned, feed, lake.silver_parts, marks)
+        return report(n, n)
     name = lake.silver_table(feed)
     if name:
         cleaned.write.mode("overwrite").saveAsTable(name)
