@@ -271,7 +271,7 @@ CYCLE = "\n UNION ALL ".join(
 
 def oracle_sql() -> dict[str, str]:
     silver_rows = f"SELECT {ORDER_FIELDS}, event_timestamp FROM ({SILVER_LINES})"
-    return {
+    found = {
         "envelope_roundtrip": f"""
             SELECT order_id AS kafka_key, {ORDER_FIELDS} FROM ({ORDER_LINES})
             UNION ALL SELECT order_id, {ORDER_FIELDS} FROM ({PURCHASES})""",
@@ -394,6 +394,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT ({LINE_BATCH})::BIGINT AS batch_id, {ORDER_FIELDS}, event_timestamp
             FROM ({ORDER_LINES})""",
         "incremental_silver": silver_rows,
+        "incremental_silver_parts": silver_rows,
         "silver_rebuild": silver_rows,
         "refresh_cycle": CYCLE,
         "gold_catalog": _catalog(GOLD),
@@ -441,3 +442,7 @@ def oracle_sql() -> dict[str, str]:
                    '/' || o_orderstatus, o_orderstatus, NULL, NULL, 'unreadable', NULL::TIMESTAMP
             FROM orders""",
     }
+    found["marts_by_change"] = (
+        f"SELECT *, 'by change' AS made FROM ({found['load_marts_orders']} UNION ALL {found['load_marts_clicks']})"
+    )
+    return found

@@ -27,6 +27,8 @@ def build_session(app: str = "tierflow", master: str | None = None, **conf: str)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.showConsoleProgress": "false",
+        # Updates of up to this size have their keys filter a large table before its shuffle.
+        "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "64m",
         "spark.sql.streaming.stateStore.providerClass": (
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
         ),
