@@ -10,18 +10,18 @@ from __future__ import annotations
 import os
 import sys
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import DataFrame, SparkSession, Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 import duckdb_queries  # noqa: E402
 from tierflow.contracts import CLICKS, ORDERS  # noqa: E402
 from tierflow.functions import records  # noqa: E402
 from tierflow.operators import clean, layers, live, marts, upsert  # noqa: E402
-from tierflow.plans import cycle, gold, silver, upkeep  # noqa: E402
+from tierflow.plans import cycle, figures, gold, silver, upkeep  # noqa: E402
 from tierflow.plans.lake import Lake  # noqa: E402
 from tierflow.session import work_dir  # noqa: E402
 from tierflow.sources import bronze, feeds, snapshots, topics  # noqa: E402
@@ -365,6 +365,33 @@ def summary_contract(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _summary_log(spark: SparkSession, lake: Lake, log: DataFrame, steps: int) -> Iterator[int]:
+    """Lands the log in so many batches a topic, oldest first; yields after each."""
+    log = log.persist()
+    for step in range(steps):
+        share = F.ntile(steps).over(Window.partitionBy("topic").orderBy("batch_id")) - 1
+        for feed in (ORDERS, CLICKS):
+            part = log.withColumn("_step", share).where((F.col("_step") == step) & (F.col("topic") == feed.topic))
+            bronze.land_batch(part.drop("_step", "batch_id").coalesce(1), lake.summaries(feed), RUN, step)
+        yield step
+
+
+def running_totals(spark: SparkSession, sf: str) -> DataFrame:
+    """Records per kind from kept figures, refreshed after each part of the log but the last."""
+    lake = Lake.under(work_dir(spark, "running-totals"))
+    for step in _summary_log(spark, lake, event_summaries(spark, sf), 3):
+        if step < 2:
+            figures.refresh_figures(spark, lake)
+    return live.totals_from(figures.running_figures(spark, lake))
+
+
+def running_header(spark: SparkSession, sf: str) -> DataFrame:
+    lake = Lake.under(work_dir(spark, "running-header"))
+    for _ in _summary_log(spark, lake, event_summaries(spark, sf, MINUTE), 3):
+        figures.refresh_figures(spark, lake)
+    return live.header_from(figures.running_figures(spark, lake))
+
+
 def live_feed(spark: SparkSession, sf: str) -> DataFrame:
     return _sample_as_text(live.live_feed(event_summaries(spark, sf, sampled=True)))
 
@@ -734,6 +761,8 @@ _QUERIES = [
     current_rate,
     dashboard_header,
     summary_contract,
+    running_totals,
+    running_header,
     live_feed,
     replay_buffer,
     layer_summary,

@@ -442,6 +442,8 @@ def oracle_sql() -> dict[str, str]:
                    '/' || o_orderstatus, o_orderstatus, NULL, NULL, 'unreadable', NULL::TIMESTAMP
             FROM orders""",
     }
+    found["running_totals"] = found["topic_totals"]
+    found["running_header"] = found["dashboard_header"]
     found["marts_by_change"] = (
         f"SELECT *, 'by change' AS made FROM ({found['load_marts_orders']} UNION ALL {found['load_marts_clicks']})"
     )

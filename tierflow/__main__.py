@@ -9,13 +9,14 @@ from tierflow.contracts import FEEDS
 from tierflow.operators import live
 from tierflow.operators.marts import MARTS
 from tierflow.plans.cycle import run_cycle
+from tierflow.plans.figures import refresh_figures, running_figures
 from tierflow.plans.gold import gold_catalog, load_marts, refresh_mart
 from tierflow.plans.lake import Lake
 from tierflow.plans.silver import rebuild_silver, refresh_silver
 from tierflow.plans.stats import stored_layers
 from tierflow.plans.upkeep import Packing, pack
 from tierflow.session import build_session, require_utc
-from tierflow.streaming.ingest import TRIGGER_SECONDS, read_summaries, run_streams
+from tierflow.streaming.ingest import TRIGGER_SECONDS, newest_summaries, run_streams
 
 
 def main() -> None:
@@ -74,9 +75,9 @@ def main() -> None:
                 print(mart)
                 df.show(truncate=False)
     else:
-        log = read_summaries(spark, lake)
-        live.header(log).show()
-        live.live_feed(log).show(truncate=60)
+        refresh_figures(spark, lake)
+        live.header_from(running_figures(spark, lake)).show()
+        live.live_feed(newest_summaries(spark, lake, live.FEED_ROWS)).show(truncate=60)
     spark.stop()
 
 

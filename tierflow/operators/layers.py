@@ -23,6 +23,12 @@ def layer_summary(layers: Mapping[str, Mapping[str, DataFrame]]) -> DataFrame:
             )
             counts = row if counts is None else counts.unionByName(row)
 
+    return layer_totals(counts)
+
+
+def layer_totals(counts: DataFrame) -> DataFrame:
+    """``(layer, orders, clicks, total)`` of ``(layer, feed, n)``."""
+
     def of(feed: str):
         return F.sum(F.when(F.col("feed") == feed, F.col("n")).otherwise(0)).alias(feed)
 

@@ -304,6 +304,98 @@ def header(summaries: DataFrame, as_of: Column | None = None) -> DataFrame:
     )
 
 
+# --- running figures: sums that can be kept and added to
+
+#: A line for each kind, for each second of the rate's window, and for the newest summary
+#: of any type (``any``) and of type batch (``batch``).
+FIGURES = (
+    "part string, kind string, second bigint, records bigint, orders bigint, clicks bigint, "
+    "at timestamp, batch_id bigint, text string"
+)
+_FIGURE_COLUMNS = [c.split()[0] for c in FIGURES.split(", ")]
+
+
+def _figure_lines(part: str, df: DataFrame) -> DataFrame:
+    kinds = dict(c.split() for c in FIGURES.split(", "))
+    given = {"part": F.lit(part), **{c: F.col(c) for c in df.columns}}
+    return df.select(*[given.get(c, F.lit(None)).cast(kinds[c]).alias(c) for c in _FIGURE_COLUMNS])
+
+
+def figures_of(summaries: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """The figures of some summaries, as lines that :func:`added_figures` can add to others'."""
+    batches, text = _normalised(summaries, as_of), _time_text(as_of)
+
+    def of(kind: str) -> Column:
+        return F.sum(F.when(F.col("kind") == kind, F.col("records")).otherwise(0)).alias(kind)
+
+    def newest(at: Column, shown: Column) -> Column:
+        return F.max(F.struct(at.alias("at"), F.col("batch_id"), shown.alias("text"))).alias("n")
+
+    per_kind = batches.groupBy("kind").agg(F.sum("records").alias("records"))
+    per_second = batches.groupBy(F.unix_seconds("_at").alias("second")).agg(of(ORDERS_KIND), of(CLICKS_KIND))
+    last = batches.agg(newest(F.col("_at"), F.col("timestamp"))).select("n.*")
+    seen = summaries.agg(F.sum(records_or_zero(F.col("records"))).alias("records"), newest(parse_instant(text), text))
+    return (
+        _figure_lines("kind", per_kind)
+        .unionByName(_figure_lines("second", per_second))
+        .unionByName(_figure_lines("batch", last))
+        .unionByName(_figure_lines("any", seen.select("records", "n.*")))
+    )
+
+
+def added_figures(lines: DataFrame, window_seconds: int = RATE_WINDOW_SECONDS) -> DataFrame:
+    """One line where there were several, without the seconds that left the rate's window."""
+    newest = F.max(F.struct("at", "batch_id", "text"))
+    summed = lines.groupBy("part", "kind", "second").agg(
+        *[F.sum(c).alias(c) for c in ("records", "orders", "clicks")], newest.alias("n")
+    )
+    summed = summed.select("part", "kind", "second", "records", "orders", "clicks", "n.*")
+    last = summed.agg(F.max("second")).scalar()
+    gone = (F.col("part") == "second") & (F.col("second") < last - window_seconds)
+    return summed.where(~F.coalesce(gone, F.lit(False)))
+
+
+def totals_from(figures: DataFrame) -> DataFrame:
+    """:func:`topic_totals` of all summaries that the figures are of."""
+    kinds = figures.where(F.col("part") == "kind").select("kind", F.coalesce("records", F.lit(0)).alias("records"))
+    counted = F.when(F.col("kind").isin(ORDERS_KIND, CLICKS_KIND), F.col("records"))
+    total = kinds.agg(F.coalesce(F.sum(counted), F.lit(0)).alias("records"), F.count(F.lit(1)).alias("n")).where("n > 0")
+    return kinds.unionByName(total.select(F.lit("total").alias("kind"), "records"))
+
+
+def stats_from(figures: DataFrame) -> DataFrame:
+    """:func:`stream_stats` of all summaries that the figures are of."""
+    seen = figures.where(F.col("part") == "any")
+    return seen.agg(F.coalesce(F.sum("records"), F.lit(0)).alias("total_events"), F.max("text").alias("last_batch_at"))
+
+
+def throughput_from(figures: DataFrame, window_seconds: int = RATE_WINDOW_SECONDS) -> DataFrame:
+    """:func:`throughput_per_second`, for at most the seconds that the figures have."""
+    seconds = figures.where(F.col("part") == "second")
+    newest, t = seconds.agg(F.max("second")).scalar(), F.timestamp_seconds("second")
+    shown = [t.alias("t"), F.date_format(t, MINUTE_CLOCK_FORMAT).alias("time"), "orders", "clicks"]
+    return seconds.where(F.col("second") >= newest - window_seconds).select(*shown).orderBy("t")
+
+
+def header_from(figures: DataFrame) -> DataFrame:
+    """:func:`header` of all summaries that the figures are of."""
+
+    def of(kind: str) -> Column:
+        test = (F.col("part") == "kind") & (F.col("kind") == kind)
+        return F.coalesce(F.sum(F.when(test, F.col("records"))), F.lit(0)).alias(kind)
+
+    second = F.when(F.col("part") == "second", F.col("second"))
+    rate = F.coalesce(F.max_by(F.col("orders") + F.col("clicks"), second), F.lit(0)).alias("records_per_second")
+    last = F.max(F.when(F.col("part") == "batch", F.col("text"))).alias("last")
+    return figures.agg(of(ORDERS_KIND), of(CLICKS_KIND), rate, last).select(
+        (F.col(ORDERS_KIND) + F.col(CLICKS_KIND)).alias("total_events"),
+        "records_per_second",
+        clock(parse_instant(F.col("last")), NO_BATCH).alias("last_batch"),
+        ORDERS_KIND,
+        CLICKS_KIND,
+    )
+
+
 def live_feed(
     summaries: DataFrame, limit: int = FEED_ROWS, as_of: Column | None = None
 ) -> DataFrame:

@@ -101,6 +101,34 @@ def extents(spark: SparkSession, path: str, after: Mapping[str, int] | None = No
     return found
 
 
+def newest_extents(spark: SparkSession, path: str, batches: int) -> list[Extent]:
+    """Of each run the folders of at least its last ``batches`` committed batches, if it has so many.
+
+    Commit marks are asked for from the newest on, and packed folders only where the live
+    batches are too few; so what is read later does not grow with the layer.
+    """
+    found = []
+    runs = set()
+    for kind in ("packed", "live"):
+        runs |= {d.removeprefix("run=") for d in files.child_dirs(spark, f"{path}/{kind}")}
+    for run in sorted(runs):
+        names = files.numbered(spark, f"{path}/live/run={run}", "batch_id")
+        live: list[int] = []
+        while names and len(live) < batches:
+            step, names = names[-batches:], names[:-batches]
+            live = [*_committed(spark, {n: _live_dir(path, run, n) for n in step}), *live]
+        packed: list[int] = []
+        names = files.numbered(spark, f"{path}/packed/run={run}", "upto")
+        names = _committed(spark, {n: _packed_dir(path, run, n) for n in names})
+        if names:  # what is packed counts there, its live folders may go at any time
+            live = [n for n in live if n > names[-1]]
+        while names and len(live) + (packed[-1] - names[-1] if packed else 0) < batches:
+            packed.insert(0, names.pop())
+        if packed or live:
+            found.append(Extent(run, tuple(packed), tuple(live[-batches:])))
+    return found
+
+
 def _above(after: Mapping[str, int]) -> Column:
     """Row test for packed files, which may reach across a mark."""
     run, batch = F.col("run"), F.col("batch_id")
@@ -140,6 +168,11 @@ def read_bronze(
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def folders(path: str, found: list[Extent]) -> list[str]:
+    live = [_live_dir(path, e.run, n) for e in found for n in e.live]
+    return live + [_packed_dir(path, e.run, n) for e in found for n in e.packed]
+
+
 def marks_of(found: list[Extent]) -> dict[str, int]:
     return {e.run: e.last for e in found}
 

@@ -22,27 +22,24 @@ from tierflow.streaming.ingest import run_id
 # Fixed value: how late an order may arrive and still be counted.
 LATENESS = "10 minutes"
 PARTS = ("minutes", "undated")
-_SCHEMA = "minute timestamp, revenue double, run string, batch_id bigint"
+_SCHEMA = f"minute timestamp, {money.PARTIAL_SCHEMA}, run string, batch_id bigint"
+_SUMS = [c.split()[0] for c in money.PARTIAL_SCHEMA.split(", ")]
 
 
 def revenue_windows(orders: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """Running money sums per event minute. State is one row per open minute; the
-    watermark closes minutes and drops what arrives after."""
-    return (
-        orders.withWatermark("event_timestamp", lateness)
-        .groupBy(F.window("event_timestamp", "1 minute"))
-        .agg(*money.sums(F.col("amount")))
-        .select(F.col("window.start").alias("minute"), money.total().alias("revenue"))
-    )
+    """Running money sums per event minute, put together when read. State is one row per open
+    minute, and one for each bin of odd amounts in it; the watermark closes minutes and
+    drops what arrives after."""
+    marked = orders.withWatermark("event_timestamp", lateness)
+    window = F.window("event_timestamp", "1 minute")
+    return money.partial_sums(marked, [window], "amount").select(F.col("window.start").alias("minute"), *_SUMS)
 
 
 def undated_revenue(orders: DataFrame) -> DataFrame:
-    """The running sum of orders without an event time: one row of state."""
+    """The running sums of orders without an event time: one row of state, and one for each bin."""
     undated = orders.where(F.col("event_timestamp").isNull())
     none = F.lit(None).cast("timestamp").alias("minute")
-    return undated.groupBy(none).agg(*money.sums(F.col("amount"))).select(
-        "minute", money.total().alias("revenue")
-    )
+    return money.partial_sums(undated, [none], "amount").select("minute", *_SUMS)
 
 
 def _write(path: str, changed: DataFrame, batch_id: int) -> None:
@@ -83,7 +80,7 @@ def current_run(spark: SparkSession, path: str) -> str | None:
 
 
 def read_revenue(spark: SparkSession, out: str) -> DataFrame:
-    """The current value of each minute: the one that the last batch of the current run
+    """The current value of each minute, of the sums that the last batches of the current run
     wrote. Folders of unfinished batches are not read."""
     changes = spark.createDataFrame([], _SCHEMA)
     for part in PARTS:
@@ -92,8 +89,6 @@ def read_revenue(spark: SparkSession, out: str) -> DataFrame:
         rows = bronze.read_bronze(spark, path, changes.schema, found=found)
         if rows is not None:
             changes = changes.unionByName(rows.select(*changes.columns))
-    return (
-        changes.groupBy("minute")
-        .agg(F.max_by("revenue", "batch_id").alias("revenue"))
-        .orderBy("minute")
-    )
+    latest = changes.groupBy("minute", "_bin").agg(F.max_by(F.struct(*_SUMS[1:]), "batch_id").alias("s"))
+    sums = latest.select("minute", "_bin", "s.*")
+    return money.totals(sums, ["minute"], "revenue").orderBy("minute")

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 # Fixed value: how long a key is remembered after its event time.
 REMEMBERED = "10 minutes"
 SALTS = 16
+# Where a record stands in its topic: tells its deliveries apart.
+PLACE = ("partition", "offset")
 
 
 def _first(rows: DataFrame, keys: Sequence[str], time: str, remembered: str, spread_by, salts) -> DataFrame:
@@ -25,7 +27,7 @@ def first_within(
     rows: DataFrame,
     keys: Sequence[str],
     remembered: str = REMEMBERED,
-    spread_by: Sequence[str] = (),
+    spread_by: Sequence[str] | None = None,
     salts: int = SALTS,
     arrival: str = "ingestion_timestamp",
 ) -> DataFrame:
@@ -37,10 +39,13 @@ def first_within(
     counts as one value) and remembered by their ``arrival`` instead.
 
     Streaming deduplication has no map-side step: all rows of a key meet in
-    one task. With ``spread_by`` (columns that differ between deliveries, such as
-    ``partition`` and ``offset``) a first round works on key and salt, so the task that
-    sees a hot key whole gets at most ``salts`` of its rows.
+    one task. So a first round works on key and salt, and the task that sees a hot key whole
+    gets at most ``salts`` of its rows. The salt is a hash of ``spread_by``, columns that
+    differ between deliveries: ``partition`` and ``offset`` if the rows have them, else all
+    columns. An empty list leaves the first round out.
     """
+    if spread_by is None:
+        spread_by = [c for c in PLACE if c in rows.columns] or rows.columns
     dated = F.col("event_timestamp").isNotNull()
     known = _first(rows.where(dated), keys, "event_timestamp", remembered, spread_by, salts)
     undated = rows.where(~dated).withColumn(arrival, F.coalesce(F.col(arrival), F.current_timestamp()))

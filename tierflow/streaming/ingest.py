@@ -48,6 +48,22 @@ def read_summaries(spark: SparkSession, lake: Lake, feeds: Sequence[Feed] = FEED
     return log
 
 
+def newest_summaries(spark: SparkSession, lake: Lake, batches: int, feeds: Sequence[Feed] = FEEDS) -> DataFrame:
+    """The summaries of at least the last ``batches`` batches of each run, from folder names.
+
+    A run writes its summaries in the order of their times, so the newest ones of the whole
+    log are among them. The files read do not grow with the log.
+    """
+    log = spark.createDataFrame([], SUMMARY)
+    for feed in feeds:
+        path = lake.summaries(feed)
+        found = bronze.newest_extents(spark, path, batches)
+        part = bronze.read_bronze(spark, path, SUMMARY, found=found)
+        if part is not None:
+            log = log.unionByName(part.select(*SUMMARY.fieldNames()))
+    return log
+
+
 def run_id(spark: SparkSession) -> str:
     """The id of the streaming checkpoint that the current micro-batch belongs to."""
     run = spark.sparkContext.getLocalProperty(_QUERY_ID)
