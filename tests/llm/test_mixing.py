@@ -103,17 +103,15 @@ ROWS = [
 ]
 
 
-@pytest.mark.parametrize("bucket", [100_000, 7])
-def test_documents_follow_the_plan(spark, bucket):
+def test_documents_follow_the_plan(spark):
     rows = [(*r, "s", "n", "t") for r in ROWS]
-    s = Settings(bucket=bucket)
-    got = mix(spark.createDataFrame(rows, SCHEMA).repartition(5), s).collect()
+    got = mix(spark.createDataFrame(rows, SCHEMA).repartition(5)).collect()
     assert sorted(str((r["doc_id"], r["source"])) for r in got) == sorted(str((r[0], r[2])) for r in ROWS)
     sizes = {(i, t, src): len((t or "").replace(" ", "_").split()) for i, t, src in ROWS}
     assert sorted(r["size"] for r in got) == sorted(sizes[r] for r in ROWS)
     # Texts of one length leave half of it at most; two uses of the longest come nearest.
     _check(got, {"hot": 0.5, "small": 2, None: 1.5, "empty": 0, "long": 1334})
-    again = mix(spark.createDataFrame(rows[::-1], SCHEMA).repartition(3), s).collect()
+    again = mix(spark.createDataFrame(rows[::-1], SCHEMA).repartition(3)).collect()
     assert sorted(map(str, got)) == sorted(map(str, again))
 
 

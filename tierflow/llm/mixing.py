@@ -35,8 +35,7 @@ class Settings:
     """``weights`` of the sources in their order, again from the start beyond the last;
     ``share``: words to take, of all there are; ``most``: times that a document may be used.
 
-    ``exact``: up to this many words the rest of a budget is fitted exactly. ``bucket``:
-    documents of one length that a task ranks.
+    ``exact``: up to this many words the rest of a budget is fitted exactly.
     """
 
     weights: tuple[int, ...] = (5, 2, 1)
@@ -44,7 +43,6 @@ class Settings:
     most: int = 2
     seed: int = 13
     exact: int = 1 << 20
-    bucket: int = 100_000
 
 
 # --- how many documents of each length -------------------------------------------
@@ -192,13 +190,14 @@ def planned(lengths: DataFrame, s: Settings = Settings()) -> DataFrame:
 def _given(docs: DataFrame) -> DataFrame:
     """``used``: how many of the ``m`` documents of each row are taken once more.
 
-    Where some of a length are, its buckets of the hash are filled one after the other.
+    Where some of a length are, its buckets of the hash are filled one after the other, and
+    only within a bucket are documents ranked.
     """
     some = (F.col("extra") > 0) & (F.col("extra") < F.col("n"))
     whole = docs.where(~some).withColumn("used", F.when(F.col("extra") > 0, F.col("m")).otherwise(0))
     group = ["source", "size"]
     part = docs.where(some).withColumn("bucket", F.pmod("h", "buckets"))
-    counts = part.where("buckets > 1").groupBy(*group, "bucket").agg(F.sum("m").alias("in_bucket"))
+    counts = part.groupBy(*group, "bucket").agg(F.sum("m").alias("in_bucket"))
     behind = W.partitionBy(*group).orderBy("bucket")
     counts = counts.withColumn("earlier", F.sum("in_bucket").over(behind) - F.col("in_bucket"))
     counts = stored(counts, "buckets")
@@ -206,8 +205,7 @@ def _given(docs: DataFrame) -> DataFrame:
     same = F.col("p.source").eqNullSafe(F.col("c.source"))
     for name in ("size", "bucket"):
         same = same & (F.col(f"p.{name}") == F.col(f"c.{name}"))
-    quota = F.col("extra") - F.coalesce("c.earlier", F.lit(0).cast("long"))
-    part = p.join(c, same, "left").select("p.*", quota.alias("quota"))
+    part = p.join(c, same).select("p.*", (F.col("extra") - F.col("c.earlier")).alias("quota"))
     # Rows that tie have one id and one size, so it does not matter which of them comes first.
     rank = W.partitionBy(*group, "bucket").orderBy("h", "doc_id", "split")
     before = F.sum("m").over(rank) - F.col("m")
@@ -235,7 +233,8 @@ def mix(documents: DataFrame, s: Settings = Settings()) -> DataFrame:
     aims = targets(lengths.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")), s)
     same = F.col("l.source").eqNullSafe(F.col("a.source"))
     plan = lengths.alias("l").join(aims.alias("a"), same).select("l.*", "a.source_size", "a.target")
-    plan = planned(plan, s).withColumn("buckets", F.ceil(F.col("entries") / s.bucket)).drop("entries")
+    # As many buckets as documents in each, so neither is too many for a task.
+    plan = planned(plan, s).withColumn("buckets", F.ceil(F.sqrt("entries"))).drop("entries")
     plan = stored(plan, "plan")
     same = F.col("d.source").eqNullSafe(F.col("p.source")) & (F.col("d.size") == F.col("p.size"))
     docs = docs.alias("d").join(plan.alias("p"), same)
