@@ -33,7 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow.llm.tables import free_name, numbered, stored, table
+from tierflow.llm.tables import few, free_name, numbered, stored, table
 from tierflow.llm.words import _BYTE, _Powers, mix
 
 _U = np.uint64
@@ -381,7 +381,7 @@ def without_repeats(documents: DataFrame, s: Settings = Settings()) -> DataFrame
     at = columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in few(whole)):
             arrays = batch.select(columns).columns
             texts = arrays[at].to_pylist()
             cuts = zip(batch.column(starts).to_pylist(), batch.column(ends).to_pylist(), strict=True)

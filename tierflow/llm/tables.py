@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterator
 from pathlib import Path
 
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,13 +23,9 @@ _GIVE_BACK = {
 }
 
 
-#: What goes to a Python worker at a time; the default holds 64 MB of whole texts on both sides.
-_BATCH = ("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
-
-
 def importable(spark: SparkSession) -> None:
     """Lets Python workers on this machine import the package, wherever the driver started,
-    and keep no memory that they do not use. Batches are small unless the session says otherwise.
+    and keep no memory that they do not use.
 
     Elsewhere the package comes with ``--py-files`` or is installed.
     """
@@ -38,8 +36,6 @@ def importable(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([root, *paths])
     for name, value in _GIVE_BACK.items():
         env.setdefault(name, value)
-    if _BATCH[0] not in spark.conf.getAll:
-        spark.conf.set(*_BATCH)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -120,6 +116,12 @@ def numbered(df: DataFrame, row: str = "_row") -> DataFrame:
     return df.withColumn(row, file * F.lit(room) + place)
 
 
+def few(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """A batch in pieces, so that not all its texts are Python strings at a time."""
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
 def id_as_text(df: DataFrame, name: str) -> DataFrame:
     """Ids on their way to pandas, which would turn a column with nulls to doubles."""
     return df.withColumn(name, F.col(name).cast("string"))

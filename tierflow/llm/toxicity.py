@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow.llm.tables import id_as_long, id_as_text, table, texts_of
+from tierflow.llm.tables import few, id_as_long, id_as_text, table, texts_of
 from tierflow.llm.words import mix
 
 WORD = re.compile(r"\w+")
@@ -288,8 +288,9 @@ def without_toxic(documents: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or "" for t in batch.column(at).to_pylist()]
-            yield batch.filter(pa.array(shared.value.scores(texts) < 0.5))
+            for part in few(batch):
+                texts = [t or "" for t in part.column(at).to_pylist()]
+                yield part.filter(pa.array(shared.value.scores(texts) < 0.5))
 
     return documents.mapInArrow(run, documents.schema)
 
