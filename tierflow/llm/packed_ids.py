@@ -124,15 +124,14 @@ def packed_ids(documents: DataFrame, tokenizer: str, s: Settings = Settings()) -
         for batch in batches:
             docs = [None if d is None else int(d) for d in batch["doc_id"]]
             texts = batch["text"].tolist()
-            for a in range(0, len(texts), 64):
-                for doc, ids in zip(docs[a : a + 64], encoder.encode_many(texts[a : a + 64])):
-                    for number, start, part in pieces_of(ids, s.capacity):
-                        buffer.append((doc, number, start, part))
-                        held += len(part) // 4
-                        if held >= s.buffer_tokens:
-                            out = _packed(buffer, s, sequence)
-                            sequence, buffer, held = sequence + len(out), [], 0
-                            yield out
+            for doc, ids in zip(docs, encoder.encode_many(texts), strict=True):
+                for number, start, part in pieces_of(ids, s.capacity):
+                    buffer.append((doc, number, start, part))
+                    held += len(part) // 4
+                    if held >= s.buffer_tokens:
+                        out = _packed(buffer, s, sequence)
+                        sequence, buffer, held = sequence + len(out), [], 0
+                        yield out
         if buffer:
             yield _packed(buffer, s, sequence)
 

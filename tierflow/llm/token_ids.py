@@ -15,7 +15,9 @@ from pyspark.sql import DataFrame
 
 from tierflow.llm.tables import id_as_long, id_as_text
 
-_CACHED = 200_000
+_CACHED = 300_000
+#: Characters whose new words are encoded together.
+_TOGETHER = 1 << 20
 # White space on which Python and the tokenizer might not agree, and letters whose lower case
 # depends on what is next to them or is two characters: such texts are encoded whole.
 _ODD = re.compile("[\x1c-\x1f\x85\xa0\u0130\u03a3\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
@@ -40,6 +42,10 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # Ids that end a run of letters; empty if the tokenizer does not mark them.
+        ends = [i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.ends[ends] = True
         self.cache: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -50,37 +56,55 @@ class Encoder:
             cls._open[path] = cls(path)
         return cls._open[path]
 
-    def _learn(self, words: list[str]) -> None:
+    def _learn(self, words: set[str]) -> None:
         """Adds words to the cache. When it is full, words not used since the last time go."""
         if len(self.cache) > _CACHED:
             self.older, self.cache = self.cache, {}
         new = []
-        for word in dict.fromkeys(words):
-            if word not in self.cache:
-                if word in self.older:
-                    self.cache[word] = self.older[word]
-                else:
-                    new.append(word)
-        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        for word, encoding in zip(new, found, strict=True):
+        for word in words.difference(self.cache):
+            ids = self.older.get(word)
+            if ids is None:
+                new.append(word)
+            else:
+                self.cache[word] = ids
+        # A word of letters alone is one run: many are encoded as one text and cut at run ends.
+        letters = [w for w in new if w.isalpha()]
+        apart = [w for w in new if not w.isalpha()]
+        for k in range(0, len(letters), 1024):
+            part = letters[k : k + 1024]
+            ids = self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids
+            ids = np.array(ids, "<u4")
+            cuts = [0, *(4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()]
+            if len(cuts) != len(part) + 1 or cuts[-1] != 4 * len(ids):
+                apart += part
+                continue
+            data = ids.tobytes()
+            for word, a, b in zip(part, cuts, cuts[1:]):
+                self.cache[word] = data[a:b]
+        found = self.tokenizer.encode_batch_fast(apart, add_special_tokens=False)
+        for word, encoding in zip(apart, found, strict=True):
             ids = encoding.ids
             self.cache[word] = struct.pack(f"<{len(ids)}I", *ids)
 
     def encode_many(self, texts: list[str]) -> list[bytes]:
-        out = []
-        for text in texts:
-            words = None if any(s in text for s in self.special) else words_of(text)
-            if words is None:
-                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-                out.append(np.array(ids, "<u4").tobytes())
-                continue
-            found = self.cache
-            try:
-                out.append(b"".join([found[w] for w in words]))
-            except KeyError:
-                self._learn(words)
-                found = self.cache
-                out.append(b"".join([found[w] for w in words]))
+        out: list[bytes] = []
+        at = 0
+        while at < len(texts):
+            parts, chars = [], 0
+            while at < len(texts) and chars < _TOGETHER:
+                text = texts[at]
+                whole = any(s in text for s in self.special)
+                parts.append((text, None if whole else words_of(text)))
+                chars += len(text)
+                at += 1
+            self._learn(set().union(*[words for _, words in parts if words]))
+            found = self.cache.__getitem__
+            for text, words in parts:
+                if words is None:
+                    ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+                    out.append(np.array(ids, "<u4").tobytes())
+                else:
+                    out.append(b"".join(map(found, words)))
         return out
 
 
