@@ -291,7 +291,7 @@ def agreeing(pairs: DataFrame, sketches: DataFrame, s: Settings) -> DataFrame:
 def _centred(buckets: DataFrame) -> DataFrame:
     """Pairs of each bucket's centre with its other classes."""
     centre = buckets.groupBy("bucket").agg(F.max(F.struct("degree", -F.col("class"))).alias("c"))
-    centre = centre.select("bucket", (-F.col("c")["col2"]).alias("centre"))
+    centre = stored(centre.select("bucket", (-F.col("c")["col2"]).alias("centre")), "centres")
     pairs = buckets.join(centre, "bucket").where(F.col("class") != F.col("centre"))
     return pairs.select("centre", "class").distinct()
 
@@ -421,7 +421,8 @@ def linked_classes(documents: DataFrame, reps: DataFrame, s: Settings) -> DataFr
     found = stored(banded.join(several, "bucket"), "met")
     degrees = found.groupBy("class").agg(F.sum("n").alias("degree"))
     buckets = stored(found.join(degrees, "class").select("bucket", "class", "degree"), "buckets")
-    involved = buckets.select("class").distinct()
+    # Stored, so that its size is known before any text or register would be shuffled to it.
+    involved = stored(buckets.select("class").distinct(), "involved")
     sketches = stored(reps.join(involved, "class").select("class", "bands", "sketch"), "sketches")
     rows = involved.select(F.col("class").alias("_row"))
     packed = squeezed(byte_rows(documents)).join(rows, "_row")
@@ -434,7 +435,7 @@ def linked_classes(documents: DataFrame, reps: DataFrame, s: Settings) -> DataFr
         "bucket", "class", F.coalesce("component", "class").alias("component")
     )
     mixed = labelled.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b"))
-    mixed = mixed.where("a <> b").select("bucket")
+    mixed = stored(mixed.where("a <> b").select("bucket"), "mixed")
     left = stored(labelled.join(mixed, "bucket"), "open")
     worth = stored(_worth_reading(left.join(sketches, "class"), s), "worth")
     left = left.join(worth, ["bucket", "class"]).join(sketches, "class")
