@@ -5,6 +5,8 @@ import random
 import zlib
 from collections import Counter
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from tierflow.llm.language_model import Settings, language_model_scores
@@ -68,5 +70,27 @@ def test_like_dictionaries(spark, rows):
         assert tuple(g)[5:] == pytest.approx(w[5:], rel=1e-9)
 
 
+def test_blocks_of_split_files(spark, tmp_path):
+    """Row groups of ten, each read by a task of its own, in blocks of sixteen."""
+    rows = [(n, t) for n, (_, t) in enumerate(corpus())]
+    columns = {"doc_id": [r[0] for r in rows], "text": [r[1] for r in rows]}
+    pq.write_table(pa.table(columns), tmp_path / "t.parquet", row_group_size=10)
+    s = Settings(block_rows=16, long_chars=3000, shard_chars=900)
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    try:
+        for name in names:
+            spark.conf.set(name, "64")
+        df = spark.read.parquet(str(tmp_path / "t.parquet"))
+        assert df.rdd.getNumPartitions() > len(rows) // 10
+        got = sorted(language_model_scores(df, s).collect(), key=str)
+    finally:
+        for name in names:
+            spark.conf.unset(name)
+    want = sorted(plain(rows, s.prior), key=str)
+    assert [tuple(g)[:5] for g in got] == [w[:5] for w in want]
+    for g, w in zip(got, want):
+        assert tuple(g)[5:] == pytest.approx(w[5:], rel=1e-9)
+
+
 def test_empty_table(spark):
     assert language_model_scores(spark.createDataFrame([], SCHEMA)).count() == 0

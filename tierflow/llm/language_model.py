@@ -127,9 +127,10 @@ def _large(data: bytes) -> np.ndarray:
 
 
 def answers(asked: DataFrame) -> DataFrame:
-    """``(block, kind, shard, counts)`` over all training texts, in the order asked for.
+    """``(block, kind, shard, counts)`` over all training texts, in the order of the keys.
 
-    The line of block -1 has the shard's own totals: tokens, distinct ones, and those
+    Where a file is split inside a block, each of the tasks asks for the keys of its share;
+    the block gets one answer, on the keys of all of them. The line of block -1 has the shard's own totals: tokens, distinct ones, and those
     seen once and twice.
     """
 
@@ -140,11 +141,14 @@ def answers(asked: DataFrame) -> DataFrame:
         distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
         total = np.bincount(at, counts, len(distinct)).astype(np.int64)
         ends = np.cumsum([len(k) for k in keys])
-        given = [_small(t) for t in np.split(total[at], ends[:-1])]
+        wanted: dict[int, np.ndarray] = {}
+        for block, places in zip(group["block"], np.split(at, ends[:-1]), strict=True):
+            wanted[block] = np.union1d(wanted[block], places) if block in wanted else places
+        given = [_small(total[places]) for places in wanted.values()]
         facts = np.array([total.sum(), (total > 0).sum(), (total == 1).sum(), (total == 2).sum()])
         return pd.DataFrame(
             {
-                "block": [*group["block"], -1],
+                "block": [*wanted, -1],
                 "kind": kind,
                 "shard": shard,
                 "counts": [*given, facts.astype("<i8").tobytes()],
