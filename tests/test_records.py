@@ -115,3 +115,11 @@ def test_null_fields_are_left_out(spark):
     sent = records.encode(orders(spark, [order(status=None)]), "order_id").first()
     assert "status" not in json.loads(bytes(sent["value"]))
     assert bytes(sent["key"]) == b"o1"
+
+
+def test_faults_are_counted_without_parsing_again(spark):
+    raw = envelopes(spark, [GOOD, None, "{", GOOD])
+    counted = records.fault_counts(records.decode_checked(raw, ORDERS))
+    text = counted._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("from_json(") == 2  # typed, and behind a condition as texts
+    assert {tuple(r) for r in counted.collect()} == {("null_value", 1), ("malformed_json", 1)}
