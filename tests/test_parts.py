@@ -200,10 +200,30 @@ def test_changes_are_old_and_new_rows(spark):
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
     table = upsert.with_changes(old, got, ["k"]).collect()
     assert sorted(map(str, map(tuple, table))) == sorted(map(str, [("a", 2, 9), ("b", 5, 2), (None, 2, 9), ("same", 1, 1), ("c", 0, 9)]))
+    dealt = upsert.with_changes_in(parts.cell_of(("k",), 3), old, got, ["k"])
+    assert sorted(map(str, map(tuple, dealt.collect()))) == sorted(map(str, map(tuple, table)))
     replaced = upsert.changes(old, new, ["k"], ["t"], "replace").where("_sign = 1").collect()
     assert len(replaced) == 5
 
 
+def test_many_changes_take_one_shuffle(spark, root, monkeypatch):
+    """Rows that go to new files are shuffled once, to more cells than parts."""
+    monkeypatch.setattr(silver, "CELL_ROWS", 20)
+    monkeypatch.setattr(silver, "_broadcast_limit", lambda spark: -1)
+    seen = []
+    deal = silver.with_changes_in
+    monkeypatch.setattr(silver, "with_changes_in", lambda *a: seen.append(deal(*a)) or seen[-1])
+    lake = parted(root, 2)
+    first = [order(f"o{i}", timestamp=at(1)) for i in range(200)]
+    second = [order(f"o{i}", timestamp=at(2), amount=2.0) for i in range(100, 300)]
+    for n, rows in enumerate((first, second)):
+        land(spark, lake, n, rows)
+        silver.refresh_silver(spark, lake, ORDERS)
+    got = {r["order_id"]: r["amount"] for r in silver.read_silver(spark, lake, ORDERS).collect()}
+    assert got == {f"o{i}": 1.0 if i < 100 else 2.0 for i in range(300)}
+    assert len(seen) == 1 and plan(seen[0]).count("Exchange hashpartitioning") == 1
+
+
 @pytest.mark.parametrize("small", [True, False])
 def test_plans(spark, root, small):
     """Only named parts are opened, and a filter of the updates' keys stands before the shuffle."""

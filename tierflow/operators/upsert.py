@@ -101,6 +101,23 @@ def with_changes(target: DataFrame, changed: DataFrame, keys: Sequence[str]) ->
     return kept.unionByName(new, allowMissingColumns=True)
 
 
+def with_changes_in(
+    cell: Column, target: DataFrame, changed: DataFrame, keys: Sequence[str], group: Sequence[str] = ()
+) -> DataFrame:
+    """:func:`with_changes` where many rows change: table and new rows are shuffled once, to
+    ``group`` and ``cell``, and stay there, so that a task has rows of few groups.
+
+    Both must follow from the key. Rows are unique by key on both sides, so none is hot.
+    """
+    new = changed.where(F.col(SIGN) == 1)
+    both = target.withColumn(SIGN, F.lit(0)).unionByName(new, allowMissingColumns=True)
+    dealt = both.withColumn("_cell", cell).repartition(*group, "_cell")
+    # A window over more columns than rows are dealt by needs no shuffle of its own.
+    window = Window.partitionBy(*group, "_cell", *keys).orderBy(F.col(SIGN).desc())
+    ranked = dealt.withColumn("_rank", F.row_number().over(window))
+    return ranked.where("_rank = 1").drop("_rank", "_cell", SIGN)
+
+
 def merge_newest_narrow(
     target: DataFrame,
     updates: DataFrame,

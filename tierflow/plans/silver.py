@@ -14,13 +14,17 @@ from pyspark.sql import types as T
 from tierflow.contracts import Feed
 from tierflow.operators.clean import clean, intake
 from tierflow.operators.upsert import (
-    SIGN, changes, matched, merge_newest, merge_newest_narrow, merge_replace, with_changes,
+    SIGN, changes, matched, merge_newest, merge_newest_narrow, merge_replace, with_changes, with_changes_in,
 )
 from tierflow.plans.lake import Lake
 from tierflow.session import require_utc, work_dir
 from tierflow.sources import bronze, files, parts, snapshots
 
 
+# Rows of a part that one task sorts at a time when many of them change.
+CELL_ROWS = 1_000_000
+
+
 @dataclass(frozen=True)
 class Outcome:
     """What a step did. ``rows`` is the table's count afterwards; the others account for the
@@ -151,7 +155,8 @@ def load_parts(
     """All rows of a table as its next version; returns their number."""
     number = parts.next_version(spark, table)
     here = f"{table.folder(number)}/rows"
-    dealt = rows.withColumn(parts.PART, parts.part_of(feed.dedup, n_parts)).repartition(parts.PART)
+    # Rebalanced, not repartitioned: a task that would get too much of a part for its memory is split.
+    dealt = rows.withColumn(parts.PART, parts.part_of(feed.dedup, n_parts)).hint("rebalance", parts.PART)
     seen = Observation()
     dealt.observe(seen, F.count(F.lit(1)).alias("n")).write.partitionBy(parts.PART).parquet(here)
     lie = {int(d.split("=")[1]): f"{here}/{d}" for d in files.child_dirs(spark, here)}
@@ -201,9 +206,12 @@ def upsert_parts(
     hit = parts_of(changed)
     lie = parts.locations(spark, table, last)
     if hit:
-        after = with_changes(parts.read_version(spark, table, last, hit), changed, keys)
+        target = parts.read_version(spark, table, last, hit)
         if files.size_in_bytes(spark, f"{here}/changes") > _broadcast_limit(spark):
-            after = after.repartition(parts.PART)  # joined by key, a task has rows of all parts
+            cells = 1 + int(says["rows"]) // (n_parts * CELL_ROWS)
+            after = with_changes_in(parts.cell_of(keys, cells), target, changed, keys, (parts.PART,))
+        else:
+            after = with_changes(target, changed, keys)
         after.write.partitionBy(parts.PART).parquet(f"{here}/rows")
         lie.update({k: f"{here}/rows/{parts.PART}={k}" for k in hit})
     files.delete(spark, staging)

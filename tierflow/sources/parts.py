@@ -46,6 +46,11 @@ def part_of(keys: tuple[str, ...], parts: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int").alias(PART)
 
 
+def cell_of(keys: tuple[str, ...], cells: int) -> Column:
+    """Deals the rows of a part further, by a hash that does not follow :func:`part_of`."""
+    return F.pmod(F.xxhash64(F.lit("cell"), *keys), F.lit(cells))
+
+
 def properties(spark: SparkSession, table: Parted) -> dict[str, str] | None:
     """What was said when the newest version was published; None if there is none."""
     if not spark.catalog.tableExists(table.view):
