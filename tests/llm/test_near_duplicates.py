@@ -142,3 +142,14 @@ def test_pairs_that_differ_in_how_often_a_line_repeats(spark):
     got = nd.near_duplicates(texts_of(rows)).orderBy("doc_id").collect()
     by_row = {r["_row"]: r["doc_id"] for r in got}
     assert [by_row[r["group_row"]] for r in got] == want
+
+
+def test_one_python_function_a_stage(spark, capsys):
+    documents = spark.createDataFrame([(1, "a b"), (2, "c d")], "_row long, text string")
+    involved = spark.createDataFrame([(1,)], "class long")  # small enough to be broadcast
+    lists = nd.shingles(nd._packed_texts(documents, involved), nd.Settings())
+    lists.explain()
+    plan = capsys.readouterr().out
+    assert "Broadcast" not in plan
+    assert plan.index("MapInPandas") < plan.index("Exchange") < plan.index("MapInArrow")
+    assert [r["class"] for r in lists.collect()] == [1]

@@ -13,6 +13,7 @@ from tierflow.llm import (
     best_fit, decontaminate, embedding_links, html_extraction, language_model, near_duplicates,
     packed_ids, suffix_dedup, toxicity, urls,
 )
+from tierflow.llm import tables
 from tierflow.llm.tables import numbered, scan, texts_of
 from tierflow.llm.token_ids import Encoder
 
@@ -165,3 +166,19 @@ def test_ids_like_a_plain_call_on_awkward_letters():
         want = plain.encode(text, add_special_tokens=False).ids
         assert [int.from_bytes(ids[k : k + 4], "little") for k in range(0, len(ids), 4)] == want, text
     assert zlib.crc32(got[0]) >= 0
+
+
+def test_memory_is_given_back_once_after_all_batches(monkeypatch):
+    told = []
+    monkeypatch.setattr(tables, "_trim", lambda: told.append("trim"))
+
+    @tables.giving_back
+    def double(batches):
+        for b in batches:
+            yield 2 * b
+
+    for x in double(iter([1, 2])):
+        told.append(x)
+    assert told == [2, 4, "trim"]
+    monkeypatch.undo()
+    tables._trim()

@@ -29,7 +29,9 @@ from pyspark.sql import functions as F
 
 from tierflow.llm.components import components
 from tierflow.llm.suffix_dedup import byte_rows, squeezed
-from tierflow.llm.tables import free_name, id_as_long, id_as_text, numbered, scan, stored, table, texts_of
+from tierflow.llm.tables import (
+    free_name, giving_back, id_as_long, id_as_text, numbered, scan, stored, table, texts_of,
+)
 from tierflow.llm.words import mix, shingle_hashes, word_hashes
 
 _U = np.uint64
@@ -189,6 +191,7 @@ def sign(rows: DataFrame, s: Settings = Settings()) -> DataFrame:
     hashes, and a byte of each register; null where a text has no words. A text that repeats
     shingles has the bands and registers of its plain set behind those of its counts."""
 
+    @giving_back
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = batch["text"].tolist()
@@ -226,6 +229,7 @@ def shingles(rows: DataFrame, s: Settings) -> DataFrame:
     """``(class, shingles)`` of ``(_row, packed)``: sorted hashes as bytes, and weights if they
     are not all one."""
 
+    @giving_back
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
@@ -258,6 +262,7 @@ def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
 def verify(pairs: DataFrame, lists: DataFrame, s: Settings) -> DataFrame:
     """The pairs ``(centre, class)`` that are as similar as asked for."""
 
+    @giving_back
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             keep = [
@@ -277,6 +282,7 @@ def verify(pairs: DataFrame, lists: DataFrame, s: Settings) -> DataFrame:
 def agreeing(pairs: DataFrame, sketches: DataFrame, s: Settings) -> DataFrame:
     """The pairs whose registers agree often enough to be worth reading their shingles."""
 
+    @giving_back
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
@@ -366,6 +372,7 @@ def _near(task: dict[str, np.ndarray], s: Settings) -> Iterator[tuple[int, np.nd
 def _worth_reading(rows: DataFrame, s: Settings) -> DataFrame:
     """The ``(bucket, class)`` rows that have somebody near in their bucket."""
 
+    @giving_back
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for task in _by_task(batches, s):
             found = np.zeros(len(task["class"]), bool)
@@ -382,6 +389,7 @@ def _worth_reading(rows: DataFrame, s: Settings) -> DataFrame:
 def _links_within(rows: DataFrame, s: Settings) -> DataFrame:
     """Links between components of a bucket, one for each two that a task finds connected."""
 
+    @giving_back
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for task in _by_task(batches, s):
             component, names = task["component"].tolist(), task["class"].tolist()
@@ -413,6 +421,16 @@ def _links_within(rows: DataFrame, s: Settings) -> DataFrame:
     return tasks.mapInPandas(run, "centre long, class long")
 
 
+def _packed_texts(documents: DataFrame, involved: DataFrame) -> DataFrame:
+    """``(_row, packed)`` of the classes' texts.
+
+    Always dealt out, as it is where the classes are too many to be broadcast: two Python
+    functions in one stage would have two workers for each core, which stay.
+    """
+    rows = involved.select(F.col("class").alias("_row"))
+    return squeezed(byte_rows(documents)).join(rows.hint("merge"), "_row")
+
+
 def linked_classes(documents: DataFrame, reps: DataFrame, s: Settings) -> DataFrame:
     """``(node, component)`` of all classes that have a link. ``reps``: ``(class, bands, sketch)``."""
     banded = reps.select("class", F.explode(F.array_distinct("bands")).alias("bucket"))
@@ -424,9 +442,7 @@ def linked_classes(documents: DataFrame, reps: DataFrame, s: Settings) -> DataFr
     # Stored, so that its size is known before any text or register would be shuffled to it.
     involved = stored(buckets.select("class").distinct(), "involved")
     sketches = stored(reps.join(involved, "class").select("class", "bands", "sketch"), "sketches")
-    rows = involved.select(F.col("class").alias("_row"))
-    packed = squeezed(byte_rows(documents)).join(rows, "_row")
-    lists = stored(shingles(packed, s), "shingles")
+    lists = stored(shingles(_packed_texts(documents, involved), s), "shingles")
 
     close = stored(agreeing(_centred(buckets), sketches.drop("bands"), s), "close")
     links = stored(verify(close, lists, s), "links")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow.llm.tables import few, id_as_long, id_as_text, table, texts_of
+from tierflow.llm.tables import few, giving_back, id_as_long, id_as_text, table, texts_of
 from tierflow.llm.words import mix
 
 WORD = re.compile(r"\w+")
@@ -271,6 +271,7 @@ def score(documents: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     rows = documents.select(*keep, F.coalesce("text", F.lit("")).alias("text"))
     shared = documents.sparkSession.sparkContext.broadcast(model)  # buckets x 8 bytes
 
+    @giving_back
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = batch.drop(columns="text")
@@ -286,6 +287,7 @@ def without_toxic(documents: DataFrame, model: Model) -> DataFrame:
     shared = documents.sparkSession.sparkContext.broadcast(model)
     at = documents.columns.index("text")
 
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in few(batch):
