@@ -40,6 +40,8 @@ MINUTE = 60
 DAY = 24 * 3600
 # Longer than the test data, so that no row counts as late.
 WHOLE_PERIOD = "60 days"
+# At most so many micro-batches, for topics of more than two files each.
+MICRO_BATCHES = 4
 
 
 # --- the given tables as events -------------------------------------------------
@@ -626,6 +628,17 @@ def _line_topic(spark: SparkSession, sf: str, path: str) -> None:
     topics.publish(sent, ORDERS.topic, "parquet", {"path": path})
 
 
+def _in_files(records: DataFrame, least: int) -> DataFrame:
+    """Records of one scan as they lie, or dealt out anew where they would give too few files."""
+    return records if records.rdd.getNumPartitions() >= least else records.repartition(least)
+
+
+def _files_per_trigger(spark: SparkSession, path: str) -> str:
+    """Two files a micro-batch, or more where the topic would then take over ``MICRO_BATCHES``:
+    each one goes through all state that is kept, so their number must not grow with the topic."""
+    return str(max(2, -(-len(spark.read.parquet(path).inputFiles()) // MICRO_BATCHES)))
+
+
 def _click_topic(spark: SparkSession, sf: str, path: str, deliveries: int = 1) -> None:
     """Clicks as records; ``offset`` tells the deliveries of one click apart."""
     visits = clicks(spark, sf)
@@ -713,8 +726,8 @@ def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
         "o_orderkey",
     )
     sent = records.encode(undated, CLICKS.key, CLICKS.topic, offset=F.xxhash64("o_orderkey"))
-    topics.publish(sent.repartition(3), CLICKS.topic, "parquet", {"path": f"{root}/topic"})
-    options = {"path": f"{root}/topic", "maxFilesPerTrigger": "2"}
+    topics.publish(_in_files(sent, 3), CLICKS.topic, "parquet", {"path": f"{root}/topic"})
+    options = {"path": f"{root}/topic", "maxFilesPerTrigger": _files_per_trigger(spark, f"{root}/topic")}
     raw = topics.topic_stream(spark, CLICKS.topic, "parquet", options)
     rows = records.decode(raw, CLICKS.event, CLICKS.topic, keep=["partition", "offset"])
     passed = dedup.first_within(

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+import __spark_entry__ as entry_points
 from tests.helpers import at, click, envelopes, facts, order
 from tierflow.contracts import CLICKS, ORDERS
 from tierflow.functions import money, records
@@ -326,3 +327,13 @@ def test_kafka_settings():
         "format": "kafka", "subscribe": "t", "startingOffsets": "latest",
         "failOnDataLoss": "false", "kafka.bootstrap.servers": "b:1",
     }
+
+
+def test_micro_batches_do_not_grow_with_the_files_of_a_topic(spark, root):
+    for files, each in ((3, 2), (8, 2), (20, 5), (21, 6)):
+        path = f"{root}/{files}"
+        spark.range(100).repartition(files).write.parquet(path)
+        assert entry_points._files_per_trigger(spark, path) == str(each)
+    few = entry_points._in_files(spark.range(9, numPartitions=1), 3)
+    many = entry_points._in_files(spark.range(9, numPartitions=7), 3)
+    assert [d.rdd.getNumPartitions() for d in (few, many)] == [3, 7]
