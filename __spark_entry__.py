@@ -717,7 +717,7 @@ def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
     but only a few keys; over several micro-batches the stream lets one of each key pass."""
     root = work_dir(spark, "stream-dedup")
     _click_topic(spark, sf, f"{root}/topic", deliveries=2)
-    undated = feeds.table(spark, sf, "orders").select(
+    undated = feeds.table(spark, sf, "orders", as_it_lies=True).select(
         F.concat(F.lit("customer-"), "o_custkey").alias("session_id"),
         F.col("o_custkey").cast("string").alias("user_id"),
         F.concat(F.lit("/"), "o_orderstatus").alias("page"),

@@ -14,15 +14,44 @@ from tierflow.contracts import Feed
 from tierflow.functions.records import with_bronze_columns
 from tierflow.functions.times import iso_of_utc_wall
 from tierflow.session import require_utc
+from tierflow.sources import files
 
 NO_IP = "0.0.0.0"
 # Ingest time of repeatable runs.
 AS_OF = "2024-02-01 00:00:00"
+# At most about so many rows of a table that is dealt out anew go to one task.
+TASK_ROWS = 1_000_000
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, as_it_lies: bool = False) -> DataFrame:
+    """A given table, its rows dealt out anew where few tasks would read most of them."""
     require_utc(spark)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    rows = spark.read.parquet(path)
+    small = files.size_in_bytes(spark, path) <= _open_cost(spark)
+    return rows if as_it_lies or small else spread(rows)
+
+
+def _open_cost(spark: SparkSession) -> int:
+    """No split of a scan is made smaller than this."""
+    return spark._jsparkSession.sessionState().conf().filesOpenCostInBytes()
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows of stored files, dealt out by their place if a task would read over twice its share.
+
+    Spark splits files by bytes but reads a row group in one task, so a large file of few row
+    groups keeps one task busy and the others idle, with all that is done up to the next
+    shuffle. Only footers are read to count the rows of each split. Filters and column choices
+    still reach the reader.
+    """
+    tasks = rows.sparkSession.sparkContext.defaultParallelism
+    split = rows.groupBy(F.spark_partition_id().alias("split")).agg(F.count(F.lit(1)).alias("n"))
+    read = split.agg(F.sum("n").alias("all"), F.max("n").alias("most")).first()
+    if not read["all"] or read["most"] * tasks <= 2 * read["all"]:
+        return rows
+    place = rows.metadataColumn("_metadata")["row_index"]
+    return rows.repartition(max(tasks, -(-read["all"] // TASK_ROWS)), place)
 
 
 def as_of() -> Column:
