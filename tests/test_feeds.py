@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from tests.helpers import plan
 from tests.test_oracle import SF_DIR
-from tierflow.sources import feeds
+from tierflow.sources import feeds, files
 
 OPEN_COST = "spark.sql.files.openCostInBytes"
 
@@ -53,3 +53,12 @@ def _check_no_exchange(spark, root):
     assert "Exchange" not in plan(feeds.table(spark, root, "lineitem"))
     feeds.table(spark, root, "lineitem").limit(0).write.parquet(f"{root}/none.parquet")
     assert feeds.spread(spark.read.parquet(f"{root}/none.parquet")).isEmpty()
+
+
+def test_lines_of_one_row_group_are_landed_by_all_tasks(spark, root):
+    lines = spark.read.parquet(f"{SF_DIR}/lineitem.parquet").coalesce(1)
+    lines.write.option("parquet.block.size", 1 << 30).parquet(f"{root}/sf/lineitem.parquet")
+    _with_small_splits(spark, lambda: entry._land_lines_by_period(spark, f"{root}/sf", f"{root}/bronze", range(2)))
+    for n in range(2):
+        path = f"{root}/bronze/live/run={entry.RUN}/batch_id={n}"
+        assert len([f for f in files.child_files(spark, path) if f.endswith(".parquet")]) >= 8
