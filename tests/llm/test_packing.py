@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from tierflow.llm import best_fit, packed_ids
+from tierflow.llm import best_fit, packed_ids, tables
 from tierflow.llm.token_ids import Encoder
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -123,3 +123,11 @@ def test_id_rows_round_trip(spark, plain):
 @pytest.mark.parametrize("run", [best_fit.pack_documents, packed_ids.packed_ids])
 def test_empty_table(spark, run):
     assert run(spark.createDataFrame([], SCHEMA), PATH).count() == 0
+
+
+def test_encoders_go_when_a_worker_turns_to_training():
+    first = Encoder.of(PATH)
+    assert Encoder.of(PATH) is first
+    tables.let_go()
+    again = Encoder.of(PATH)
+    assert again is not first and again.encode_many(["some words"]) == first.encode_many(["some words"])

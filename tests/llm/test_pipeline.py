@@ -1,6 +1,7 @@
 """The stages one by one against plain versions, and the whole run."""
 
 import random
+import tracemalloc
 
 import pytest
 
@@ -139,3 +140,17 @@ def test_whole_run(spark):
             assert offset == at
             at += length
         assert at <= 2048
+
+
+def test_training_works_in_little_memory_on_many_words():
+    rng = random.Random(3)
+    texts = [" ".join(f"word{rng.randrange(10**7)}" for _ in range(200)) for _ in range(300)]
+    s = toxicity.Settings(warm_epochs=1, epochs=1)
+    tracemalloc.start()
+    try:
+        toxicity.train(texts, [i % 2 for i in range(300)], 0.5, s)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    tables = 3 * s.buckets * s.dims * 8
+    assert peak < tables + 80e6

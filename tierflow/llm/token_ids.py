@@ -13,7 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from tierflow.llm.tables import id_as_long, id_as_text
+from tierflow.llm.tables import _LET_GO, giving_back, id_as_long, id_as_text
 
 _CACHED = 300_000
 #: Characters whose new words are encoded together.
@@ -108,6 +108,9 @@ class Encoder:
         return out
 
 
+_LET_GO.append(Encoder._open.clear)
+
+
 def words_of(text: str) -> list[str] | None:
     """What the tokenizer may encode apart, or None if only the whole text is safe.
 
@@ -132,6 +135,7 @@ def pieces_of(ids: bytes, capacity: int) -> Iterator[tuple[int, int, bytes]]:
 def pieces(rows: DataFrame, path: str, capacity: int) -> DataFrame:
     """A row for each piece of ``(_row, doc_id, text)``; an empty text is one piece, its end id."""
 
+    @giving_back
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = Encoder.of(path)
         for batch in batches:

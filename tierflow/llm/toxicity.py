@@ -20,11 +20,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow.llm.tables import few, giving_back, id_as_long, id_as_text, table, texts_of
+from tierflow.llm.tables import few, giving_back, id_as_long, id_as_text, let_go, table, texts_of
 from tierflow.llm.words import mix
 
 WORD = re.compile(r"\w+")
 _CACHED_WORDS = 150_000
+# Words, and rows of the embeddings, that training works on at a time; they bound its work space.
+_TRAINED_WORDS = 5_000
+_TRAINED_ROWS = 16_384
 
 
 @dataclass(frozen=True)
@@ -141,16 +144,16 @@ def train(texts: list[str], labels: list[int], prior: float, s: Settings) -> Mod
     y, ids = y[[len(i) > 0 for i in ids]], [i for i in ids if len(i)]
     words = list(vocabulary)
     n_words = len(words)
-    step = 20_000  # words at a time, which bounds the work space
-    parts = []
-    for k in range(0, n_words, step):
-        ids_, of = subwords(words[k : k + step], s)
-        order = np.argsort(of, kind="stable")
-        parts.append((ids_[order].astype(np.int32), (of[order] + k).astype(np.int32)))
-    grams, owner = (np.concatenate([p[side] for p in parts]) for side in (0, 1))
-    del vocabulary, words, parts
-    n_grams = np.maximum(np.bincount(owner, minlength=n_words), 1)
-    begins = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=n_words))])
+    parts, counts = [], []
+    for k in range(0, n_words, _TRAINED_WORDS):
+        ids_, of = subwords(words[k : k + _TRAINED_WORDS], s)
+        parts.append(ids_[np.argsort(of, kind="stable")].astype(np.int32))
+        counts.append(np.bincount(of, minlength=min(_TRAINED_WORDS, n_words - k)))
+    del vocabulary, words
+    grams, counts = np.concatenate(parts), np.concatenate(counts)
+    del parts
+    n_grams = np.maximum(counts, 1)
+    begins = np.concatenate([[0], np.cumsum(counts)])
 
     rng = np.random.default_rng(s.seed)
     params = [
@@ -165,7 +168,7 @@ def train(texts: list[str], labels: list[int], prior: float, s: Settings) -> Mod
         table_, softmax, bias = params
         if epoch >= s.warm_epochs:
             delta = table_ @ (softmax[:, 1] - softmax[:, 0])
-            clue = np.bincount(owner, delta[grams], n_words) / n_grams
+            clue = _sums_by_word(delta, grams, counts, begins) / n_grams
         spans = [_worst_span(clue[i], s.window) for i in ids]
         word = np.concatenate([i[a:b] for i, (a, b) in zip(ids, spans, strict=True)])
         bag = np.repeat(np.arange(len(ids)), [b - a for a, b in spans])
@@ -188,21 +191,35 @@ def train(texts: list[str], labels: list[int], prior: float, s: Settings) -> Mod
         d_vector = np.stack(
             [np.bincount(where, d_mean[bag, d], len(used)) for d in range(s.dims)], 1
         ) / n_grams[used, None]
-        d_table = np.stack(
-            [np.bincount(grams[take], d_vector[of, d], s.buckets) for d in range(s.dims)], 1
-        )
-        gradients = (d_table + s.decay * table_ / len(y), mean.T @ error, error.sum(0))
-        for k, g in enumerate(gradients):
-            first[k] = 0.9 * first[k] + 0.1 * g
-            second[k] = 0.99 * second[k] + 0.01 * g * g
-            a = first[k] / (1 - 0.9 ** (epoch + 1))
-            b = second[k] / (1 - 0.99 ** (epoch + 1))
-            params[k] = params[k] - s.rate * a / (np.sqrt(b) + 1e-8)
+        d_table = np.empty((s.buckets, s.dims))
+        for d in range(s.dims):
+            d_table[:, d] = np.bincount(grams[take], d_vector[of, d], s.buckets)
+        for k, g in enumerate((d_table, mean.T @ error, error.sum(0))):
+            for at in range(0, len(g), _TRAINED_ROWS):  # in place, a few rows at a time
+                part = slice(at, at + _TRAINED_ROWS)
+                slope, value, f, v = g[part], params[k][part], first[k][part], second[k][part]
+                if k == 0:
+                    slope = slope + s.decay * value / len(y)
+                f *= 0.9
+                f += 0.1 * slope
+                v *= 0.99
+                v += 0.01 * slope * slope
+                value -= s.rate * (f / (1 - 0.9 ** (epoch + 1))) / (np.sqrt(v / (1 - 0.99 ** (epoch + 1))) + 1e-8)
     table_, softmax, bias = params
     delta = softmax[:, 1] - softmax[:, 0]
     return Model(s, table_ @ delta, float(bias[1] - bias[0]), prior)
 
 
+def _sums_by_word(delta: np.ndarray, grams: np.ndarray, counts: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """The sum of ``delta`` over each word's n-grams, some words at a time."""
+    out = np.zeros(len(counts))
+    for k in range(0, len(counts), _TRAINED_WORDS):
+        n = counts[k : k + _TRAINED_WORDS]
+        mine = grams[begins[k] : begins[k + len(n)]]
+        out[k : k + len(n)] = np.bincount(np.repeat(np.arange(len(n)), n), delta[mine], len(n))
+    return out
+
+
 def _contrast(ids: list[np.ndarray], y: np.ndarray, n_words: int) -> np.ndarray:
     """For each word the log ratio of its text shares in the two classes, smoothed."""
     found = [np.zeros(n_words), np.zeros(n_words)]
@@ -256,6 +273,7 @@ def fit(documents: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Mo
     prior = min(prior, 0.49)
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
+        let_go()  # training takes the most memory of all tasks
         rows = rows.sort_values("doc_id")
         model = train(rows["text"].tolist(), rows["toxic"].tolist(), prior, s)
         return pd.DataFrame({"weight": [model.weight.astype("<f4").tobytes()], "bias": [model.bias]})
