@@ -605,8 +605,9 @@ def refresh_cycle(spark: SparkSession, sf: str) -> DataFrame:
 
 def gold_catalog(spark: SparkSession, sf: str) -> DataFrame:
     lake, _ = _refreshed_lake(spark, sf)
-    # A folder that is no table.
-    landed_lines(spark, sf).write.parquet(f"{lake.gold_root}/scratch")
+    # A folder that is no table: the lines as they were landed.
+    lines = bronze.read_batch(spark, lake.bronze(ORDERS), RUN, 0, ORDERS.bronze)
+    lines.write.parquet(f"{lake.gold_root}/scratch")
     return gold.gold_catalog(spark, lake).withColumn("valid", F.col("valid").cast("int"))
 
 

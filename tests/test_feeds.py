@@ -62,3 +62,11 @@ def test_lines_of_one_row_group_are_landed_by_all_tasks(spark, root):
     for n in range(2):
         path = f"{root}/bronze/live/run={entry.RUN}/batch_id={n}"
         assert len([f for f in files.child_files(spark, path) if f.endswith(".parquet")]) >= 8
+
+
+def test_gold_catalog_makes_events_of_the_lines_once(spark, monkeypatch):
+    made, order_lines = [], entry.order_lines
+    monkeypatch.setattr(entry, "order_lines", lambda *args: made.append(args) or order_lines(*args))
+    rows = {r["table"]: (r["valid"], r["rows"]) for r in entry.gold_catalog(spark, "/root/testdata/sf0.001").collect()}
+    assert rows["scratch"] == (0, None) and rows["orders_by_status"][0] == 1
+    assert len(made) == 1
