@@ -307,6 +307,7 @@ def without_toxic(documents: DataFrame, model: Model) -> DataFrame:
 
     @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             for part in few(batch):
                 texts = [t or "" for t in part.column(at).to_pylist()]
