@@ -131,3 +131,10 @@ def test_encoders_go_when_a_worker_turns_to_training():
     tables.let_go()
     again = Encoder.of(PATH)
     assert again is not first and again.encode_many(["some words"]) == first.encode_many(["some words"])
+
+
+def test_an_encoder_keeps_few_words():
+    encoder = Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    for k in range(0, 400_000, 50_000):
+        encoder.encode_many([" ".join(f"w{i}" for i in range(k, k + 50_000))])
+    assert len(encoder.cache) + len(encoder.older) <= 350_000

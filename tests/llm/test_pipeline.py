@@ -154,3 +154,15 @@ def test_training_works_in_little_memory_on_many_words():
         tracemalloc.stop()
     tables = 3 * s.buckets * s.dims * 8
     assert peak < tables + 80e6
+
+
+def test_the_training_sample_does_not_pass_through_the_driver(spark, root, texts, monkeypatch):
+    docs = stored(spark, frame(spark, texts), f"{root}/d")
+    labels = spark.createDataFrame([(i, 0, i % 2) for i in range(len(texts))], "doc_id long, quality int, toxic int")
+
+    def refused(*args, **kwargs):
+        raise AssertionError("rows of the sample were collected")
+
+    monkeypatch.setattr(type(spark), "createDataFrame", refused)
+    s = toxicity.Settings(train_rows=10, buckets=1 << 10, warm_epochs=1, epochs=1)
+    assert 0 < toxicity.fit(docs, labels, s).prior < 1

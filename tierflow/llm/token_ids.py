@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 
 from tierflow.llm.tables import _LET_GO, giving_back, id_as_long, id_as_text
 
-_CACHED = 300_000
+_CACHED = 100_000
 #: Characters whose new words are encoded together.
 _TOGETHER = 1 << 20
 # White space on which Python and the tokenizer might not agree, and letters whose lower case

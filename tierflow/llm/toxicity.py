@@ -250,20 +250,16 @@ def fit(documents: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Mo
     smallest hash. One task trains on the sample,
     so that the driver holds no more than the finished weights.
     """
-    spark = documents.sparkSession
     seen = labels.select(F.col("doc_id"), F.col("toxic")).dropna()
     seen = seen.where(remainder("doc_id", 5) != 0).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     rates = seen.agg(F.count(F.lit(1)), F.sum(F.col("toxic").cast("long"))).first()
     prior = (float(rates[1] or 0) + 0.5) / (rates[0] + 1.0)
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    picked = [
-        row
-        for value in (0, 1)
-        for row in seen.where(F.col("toxic") == value).orderBy(*order).limit(s.train_rows).collect()
-    ]
-    if not picked:
-        return train([], [], min(prior, 0.49), s)
-    ids = spark.createDataFrame([(r["doc_id"], int(r["toxic"])) for r in picked], "doc_id long, toxic int")
+    clean, toxic = (
+        seen.where(F.col("toxic") == value).orderBy(*order).limit(s.train_rows) for value in (0, 1)
+    )
+    # At most two times train_rows, and they stay a query: no picked rows pass through the driver.
+    ids = clean.unionByName(toxic).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     sample = (
         documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
         .join(F.broadcast(ids), "doc_id")  # at most two times train_rows ids
