@@ -5,6 +5,7 @@ import zlib
 import numpy as np
 import pytest
 
+from tierflow.llm import html_extraction
 from tierflow.llm.html_extraction import Labeller, Settings, extract, features, made_pages
 from tierflow.llm.page_blocks import blocks_of
 
@@ -135,3 +136,22 @@ def test_all_words_names_and_digits_of_a_block_count():
 def test_unclosed_elements_are_read_in_linear_time():
     page = "".join(f"<{UNCLOSED[i % 6]}><p>{i}</p>" for i in range(20_000))
     assert [b.text for b in blocks_of(page)] == [str(i) for i in range(20_000)]
+
+
+def test_names_are_hashed_once_and_counted_as_before(monkeypatch):
+    s, told, plain = Settings(buckets=64), [], zlib.crc32
+    page = blocks_of("<div class='a'><p>some words some ٣ 1 words</p><p>words 22</p></div>")
+    html_extraction._Buckets.of.cache_clear()
+    monkeypatch.setattr(html_extraction.zlib, "crc32", lambda b: told.append(b) or plain(b))
+    for _ in range(2):
+        _, words, numbers = features(page, s)
+    html_extraction._Buckets.of.cache_clear()
+    assert len(told) == len(set(told))
+    for block, found, row in zip(page, words, numbers, strict=True):
+        want = {}
+        for w in block.text.lower().split():
+            b = plain(w.encode()) % 64
+            want[b] = want.get(b, 0) + 1
+        assert dict(found.T.tolist()) == want
+        assert row[0] == np.log1p(len(block.text)) / 6
+        assert row[4] == sum(map(str.isdigit, block.text)) / len(block.text)

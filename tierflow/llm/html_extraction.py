@@ -9,6 +9,7 @@ with words of the given pages, so it does not rely on elements that name their c
 
 from __future__ import annotations
 
+import functools
 import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -43,22 +44,42 @@ class Settings:
     batch_blocks: int = 20_000
 
 
-def _bucket(name: str, n: int) -> int:
-    return zlib.crc32(name.encode("utf-8", "surrogatepass")) % n
+class _Buckets(dict):
+    """The bucket of each name met so far; names come again and again, in texts and in paths."""
+
+    most = 200_000
+
+    def __init__(self, n: int):
+        self.n = n
+
+    def __missing__(self, name: str) -> int:
+        if len(self) >= self.most:
+            self.clear()
+        found = self[name] = zlib.crc32(name.encode("utf-8", "surrogatepass")) % self.n
+        return found
+
+    @classmethod
+    @functools.cache
+    def of(cls, n: int) -> _Buckets:
+        return cls(n)
 
 
 def _counts(names: Iterable[str], n: int) -> np.ndarray:
     """Buckets of names and how many names fall into each: two rows, at most ``n`` columns."""
-    found: Counter[int] = Counter()
-    for name, k in Counter(iter(names)).items():
-        found[_bucket(name, n)] += k
-    return np.array([list(found), list(found.values())])
+    found = Counter(map(_Buckets.of(n).__getitem__, names))
+    return np.array([*found, *found.values()], np.int64).reshape(2, -1)
+
+
+def _digits(text: str) -> int:
+    if text.isascii():
+        return sum(map(text.count, "0123456789"))
+    return sum(map(str.isdigit, text))
 
 
 def features(page: list[Block], s: Settings) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
     """Of each block: counted buckets of its path, counted buckets of all its words, and its
     numbers."""
-    paths, words, numbers = [], [], np.zeros((len(page), N_NUMBERS))
+    paths, words, numbers = [], [], []
     known: dict[tuple, np.ndarray] = {}
     for i, b in enumerate(page):
         if b.path not in known:
@@ -67,16 +88,20 @@ def features(page: list[Block], s: Settings) -> tuple[list[np.ndarray], list[np.
         paths.append(known[b.path])
         words.append(_counts(b.text.lower().split(), s.buckets))
         n = len(b.text)
-        numbers[i] = (
-            np.log1p(n) / 6,
-            b.linked / n,
-            (b.text.count(".") + b.text.count(",")) * 20 / (n + 20),
-            b.text[-1] in ".!?…:;\"'",
-            sum(map(str.isdigit, b.text)) / n,
-            i / len(page),
-            (len(page) - 1 - i) / len(page),
-            min(b.depth, 12) / 12,
+        numbers.append(
+            (
+                n,
+                b.linked / n,
+                (b.text.count(".") + b.text.count(",")) * 20 / (n + 20),
+                b.text[-1] in ".!?…:;\"'",
+                _digits(b.text) / n,
+                i / len(page),
+                (len(page) - 1 - i) / len(page),
+                min(b.depth, 12) / 12,
+            )
         )
+    numbers = np.array(numbers, float).reshape(len(page), N_NUMBERS)
+    numbers[:, 0] = np.log1p(numbers[:, 0]) / 6
     return paths, words, numbers
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 import html
+import itertools
 import re
 from dataclasses import dataclass
 
@@ -50,17 +52,18 @@ class Block:
     depth: int
 
 
-def _names(tag: str, attrs: str) -> list[str]:
+@functools.lru_cache(4096)
+def _names(tag: str, attrs: str) -> tuple[str, ...]:
     names = [tag]
     for m in _NAMED.finditer(attrs):
         value = html.unescape(m[2] or m[3] or m[4] or "").lower()
         names += [f"{m[1].lower()}:{part}" for part in _NAME_PART.findall(value)]
-    return names
+    return tuple(names)
 
 
 class _Reader:
     def __init__(self):
-        self.open: list[tuple[str, list[str]]] = []
+        self.open: list[tuple[str, tuple[str, ...]]] = []
         self.blocks: list[Block] = []
         self.parts: list[str] = []
         self.linked: list[str] = []
@@ -69,8 +72,8 @@ class _Reader:
     def flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            path = tuple(n for _, names in self.open for n in names)
-            linked = len(" ".join("".join(self.linked).split()))
+            path = tuple(itertools.chain.from_iterable([names for _, names in self.open]))
+            linked = len(" ".join("".join(self.linked).split())) if self.linked else 0
             self.blocks.append(Block(path, text, linked, len(self.open)))
         self.parts, self.linked = [], []
 
